@@ -34,16 +34,15 @@ INT_PATTERN = r"^ *[+-]?[0-9]+ *$"
 DECIMAL_PATTERN = r"^ *[+-]?([0-9]+\.?[0-9]*|\.[0-9]+) *$"
 
 # Datetime text forms accepted by ``safe_timestamp``, tried in order. Each is
-# (name, anchored pattern, group index of year, month, day, hour, minute,
-# second); index 0 means "not present" (month/day default to 1, time to 0).
+# (name, anchored pattern, rewrite to the canonical "y-m-d h:m:s" text).
 TIMESTAMP_FORMATS = (
-    ("yyyy-M-d", r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})$", (1, 2, 3, 0, 0, 0)),
+    ("yyyy-M-d", r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})$", "$1-$2-$3 00:00:00"),
     ("yyyy-M-d H:m:s",
      r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})[ T]([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})$",
-     (1, 2, 3, 4, 5, 6)),
-    ("yyyyMMdd", r"^([0-9]{4})([0-9]{2})([0-9]{2})$", (1, 2, 3, 0, 0, 0)),
-    ("yyyy", r"^([0-9]{4})$", (1, 0, 0, 0, 0, 0)),
-    ("M-d-yyyy", r"^([0-9]{1,2})-([0-9]{1,2})-([0-9]{4})$", (3, 1, 2, 0, 0, 0)),
+     "$1-$2-$3 $4:$5:$6"),
+    ("yyyyMMdd", r"^([0-9]{4})([0-9]{2})([0-9]{2})$", "$1-$2-$3 00:00:00"),
+    ("yyyy", r"^([0-9]{4})$", "$1-01-01 00:00:00"),
+    ("M-d-yyyy", r"^([0-9]{1,2})-([0-9]{1,2})-([0-9]{4})$", "$3-$1-$2 00:00:00"),
 )
 # Earliest year of the reference's DATETIME type.
 MIN_YEAR = 1753
@@ -91,22 +90,19 @@ def safe_decimal(c: Column | str, precision: int = 10, scale: int = 2) -> Column
 def safe_timestamp(c: Column | str, formats: Sequence = TIMESTAMP_FORMATS) -> Column:
     """Drop quotes, ``/`` -> ``-``, then the first matching format or NULL.
 
-    Parts are taken with the format's pattern and assembled by
-    ``try_make_timestamp_ntz``, so the result is zone-free and impossible
-    dates (30 February) give NULL instead of an error.
+    The first matching form is rewritten to canonical ``y-m-d h:m:s`` text
+    (one ``regexp_replace``) and cast once to TIMESTAMP_NTZ, so the result is
+    zone-free and impossible dates (30 February) give NULL, not an error.
+    Years before the reference's DATETIME range give NULL too.
     """
     s = F.trim(F.replace(strip_quotes(c), F.lit("/"), F.lit("-")))
-    candidates = []
-    for _name, pattern, groups in formats:
-        def part(i: int, default: int) -> Column:
-            if i == 0:
-                return F.lit(default)
-            return F.regexp_extract(s, pattern, i).try_cast("int")
-        y, mo, d, h, mi, se = (part(groups[0], 1), part(groups[1], 1), part(groups[2], 1),
-                               part(groups[3], 0), part(groups[4], 0), part(groups[5], 0))
-        ts = F.try_make_timestamp_ntz(y, mo, d, h, mi, se)
-        candidates.append(F.when(s.rlike(pattern) & (y >= MIN_YEAR), ts))
-    return F.coalesce(*candidates) if len(candidates) > 1 else candidates[0]
+    canon = None
+    for _name, pattern, rewrite in formats:
+        branch = F.regexp_replace(s, pattern, rewrite)
+        cond = s.rlike(pattern)
+        canon = F.when(cond, branch) if canon is None else canon.when(cond, branch)
+    ts = canon.try_cast("timestamp_ntz")
+    return F.when(F.year(ts) >= MIN_YEAR, ts)
 
 
 def null_outside(x: Column | str, lo, hi) -> Column:

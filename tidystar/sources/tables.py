@@ -10,9 +10,24 @@ from pyspark.sql import functions as F
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
-def load_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has cores.
+
+    A single unsplittable file (one Parquet row group, a multi-line CSV) is
+    read by one task, and all the row-level cleaning after it would run on one
+    core. A large input has many splits and passes through unchanged.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+def load_table(spark: SparkSession, base_dir: str, name: str,
+               parallel: bool = True) -> DataFrame:
     """Scan one Parquet table. Lazy: Catalyst prunes columns and pushes filters."""
-    return spark.read.parquet(os.path.join(base_dir, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(base_dir, f"{name}.parquet"))
+    return spread(df) if parallel else df
 
 
 def with_load_stamp(df: DataFrame, name: str = "fecha_carga") -> DataFrame:
