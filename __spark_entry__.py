@@ -26,7 +26,9 @@ from tidystar.functions import privacy as P  # noqa: E402
 from tidystar.functions import rules as R  # noqa: E402
 from tidystar.operators import checks, model, protect, reports, stage  # noqa: E402
 from tidystar.plans.layers import build_layers  # noqa: E402
+from tidystar.session import scratch_path  # noqa: E402
 from tidystar.sources import driver_raw  # noqa: E402
+from tidystar.sources.csv_folder import load_raw_folder, write_raw_csv  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 COUNTRY = "AMERICA"
@@ -46,6 +48,14 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_report_revenue_by_month_category(spark, SMOKE_DIR)
 
 
+# --- ingest (S1-S5, S13) -------------------------------------------------------
+def q_ingest_raw_csv(spark, sf_dir):
+    """Raw customers written as a CSV folder in the shared scratch area, then ingested."""
+    folder = scratch_path(spark, "ingest")
+    write_raw_csv(driver_raw.raw_customers(spark, sf_dir), os.path.join(folder, "Customers.csv"))
+    return load_raw_folder(spark, folder)["raw_customers"].df
+
+
 # --- rules (C1-C14, C20) -------------------------------------------------------
 def q_rule_clean_text(spark, sf_dir):
     raw = driver_raw.raw_customers(spark, sf_dir)
