@@ -1,0 +1,52 @@
+"""CSV folder ingest (S1-S5, S13) on hand-written files."""
+
+import os
+import tempfile
+
+import pytest
+
+from tidystar.sources.csv_folder import list_csv_tables, load_raw_folder
+
+
+def make_folder(files: dict[str, bytes]) -> str:
+    folder = tempfile.mkdtemp(prefix="tidystar-ingest-")
+    for name, data in files.items():
+        with open(os.path.join(folder, name), "wb") as fh:
+            fh.write(data)
+    return folder
+
+
+UTF8 = ('customer_id,first_name,city\n'
+        '1,José,"Bogotá ""norte"""\n'
+        '2,"Ana\nMaría",\n'
+        '3,NULL,N/A\n'
+        '4,   ,nan\n').encode("utf-8")
+LATIN1 = 'order_id,status\n1,Envío\n2,NA\n'.encode("latin-1")
+
+
+def test_load_folder(spark):
+    folder = make_folder({"customers.csv": UTF8, "Orders.csv": LATIN1, "readme.txt": b"x"})
+    tables = load_raw_folder(spark, folder)
+    assert sorted(tables) == ["raw_customers", "raw_orders"]
+    assert tables["raw_customers"].encoding == "UTF-8"
+    assert tables["raw_orders"].encoding == "ISO-8859-1"
+    cust = tables["raw_customers"].df
+    assert all(t.simpleString() == "string" for t in [f.dataType for f in cust.schema.fields])
+    rows = sorted(tuple(r) for r in cust.collect())
+    assert rows == [("1", "José", 'Bogotá "norte"'), ("2", "Ana\nMaría", None),
+                    ("3", None, None), ("4", "   ", None)]
+    assert tables["raw_customers"].row_count() == 4
+    orders = sorted(tuple(r) for r in tables["raw_orders"].df.collect())
+    assert orders == [("1", "Envío"), ("2", None)]
+
+
+def test_folder_without_csv_loads_nothing(spark):
+    folder = make_folder({"notes.txt": b"hello"})
+    assert list_csv_tables(spark, folder) == {}
+
+
+def test_empty_or_missing_folder_is_an_error(spark):
+    with pytest.raises(FileNotFoundError):
+        list_csv_tables(spark, tempfile.mkdtemp(prefix="tidystar-empty-"))
+    with pytest.raises(FileNotFoundError):
+        list_csv_tables(spark, "/nonexistent/tidystar/folder")
