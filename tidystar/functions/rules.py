@@ -33,16 +33,17 @@ SUPPLIER_PATTERN = r"^PROVEEDOR [A-Z]$"
 INT_PATTERN = r"^ *[+-]?[0-9]+ *$"
 DECIMAL_PATTERN = r"^ *[+-]?([0-9]+\.?[0-9]*|\.[0-9]+) *$"
 
-# Datetime text forms accepted by ``safe_timestamp``, tried in order. Each is
-# (name, anchored pattern, rewrite to the canonical "y-m-d h:m:s" text).
+# Datetime text forms accepted by ``safe_timestamp`` (their shapes never overlap,
+# so the order does not change results). Each is
+# (name, anchored pattern, rewrite to text Spark's TIMESTAMP_NTZ cast reads).
+# ``None`` means the text is already in a form the cast reads as is.
 TIMESTAMP_FORMATS = (
-    ("yyyy-M-d", r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})$", "$1-$2-$3 00:00:00"),
+    ("yyyy-M-d", r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", None),
     ("yyyy-M-d H:m:s",
-     r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})[ T]([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})$",
-     "$1-$2-$3 $4:$5:$6"),
-    ("yyyyMMdd", r"^([0-9]{4})([0-9]{2})([0-9]{2})$", "$1-$2-$3 00:00:00"),
-    ("yyyy", r"^([0-9]{4})$", "$1-01-01 00:00:00"),
-    ("M-d-yyyy", r"^([0-9]{1,2})-([0-9]{1,2})-([0-9]{4})$", "$3-$1-$2 00:00:00"),
+     r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[ T][0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$", None),
+    ("yyyy", r"^[0-9]{4}$", None),
+    ("yyyyMMdd", r"^([0-9]{4})([0-9]{2})([0-9]{2})$", "$1-$2-$3"),
+    ("M-d-yyyy", r"^([0-9]{1,2})-([0-9]{1,2})-([0-9]{4})$", "$3-$1-$2"),
 )
 # Earliest year of the reference's DATETIME type.
 MIN_YEAR = 1753
@@ -87,18 +88,30 @@ def safe_decimal(c: Column | str, precision: int = 10, scale: int = 2) -> Column
                   F.trim(s).try_cast(f"decimal({precision},{scale})"))
 
 
+def _merged_formats(formats: Sequence) -> list[tuple[str, str | None]]:
+    """Join neighbouring formats that need no rewrite into one alternation."""
+    merged: list[tuple[str, str | None]] = []
+    for _name, pattern, rewrite in formats:
+        if rewrite is None and merged and merged[-1][1] is None:
+            merged[-1] = (f"{merged[-1][0]}|{pattern}", None)
+        else:
+            merged.append((pattern, rewrite))
+    return merged
+
+
 def safe_timestamp(c: Column | str, formats: Sequence = TIMESTAMP_FORMATS) -> Column:
     """Drop quotes, ``/`` -> ``-``, then the first matching format or NULL.
 
-    The first matching form is rewritten to canonical ``y-m-d h:m:s`` text
-    (one ``regexp_replace``) and cast once to TIMESTAMP_NTZ, so the result is
-    zone-free and impossible dates (30 February) give NULL, not an error.
-    Years before the reference's DATETIME range give NULL too.
+    A matching text is rewritten (only when its form needs it) to ``y-m-d``
+    order and cast once to TIMESTAMP_NTZ, so the result is zone-free and
+    impossible dates (30 February) give NULL, not an error. Years before the
+    reference's DATETIME range give NULL too. The common ISO forms cost one
+    pattern test and one cast.
     """
     s = F.trim(F.replace(strip_quotes(c), F.lit("/"), F.lit("-")))
     canon = None
-    for _name, pattern, rewrite in formats:
-        branch = F.regexp_replace(s, pattern, rewrite)
+    for pattern, rewrite in _merged_formats(formats):
+        branch = s if rewrite is None else F.regexp_replace(s, pattern, rewrite)
         cond = s.rlike(pattern)
         canon = F.when(cond, branch) if canon is None else canon.when(cond, branch)
     ts = canon.try_cast("timestamp_ntz")

@@ -11,6 +11,8 @@ never swallowed.
 from __future__ import annotations
 
 import os
+import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,15 +60,25 @@ def build_reports(fact: DataFrame, dim_c: DataFrame, dim_p: DataFrame) -> Report
 
 
 def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
-               country: str = stage.DEFAULT_COUNTRY, check: bool = True) -> Reports:
+               country: str = stage.DEFAULT_COUNTRY, check: bool = True,
+               on_step: Callable[[str, float], None] | None = None) -> Reports:
     """Write stage, analytics and protected layers under ``out_dir``; return the reports.
 
     ``raw`` maps ``customers``, ``products`` and ``orders`` to raw text
     tables (from ``sources.csv_folder.load_raw_folder`` or the driver tables).
+    ``on_step(name, seconds)`` is called after each layer is written.
     """
     def path(name: str) -> str:
         return os.path.join(out_dir, name)
 
+    clock = [time.perf_counter()]
+
+    def step(name: str) -> None:
+        now = time.perf_counter()
+        if on_step:
+            on_step(name, now - clock[0])
+        clock[0] = now
+
     # Stage layer: one write per table, load stamp added on write only.
     built = build_layers(raw["customers"], raw["products"], raw["orders"], country)
     for name, df in (("stg_customers", built.stg_customers),
@@ -76,6 +88,7 @@ def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     stg_c = read_layer(spark, path("stg_customers")).drop("fecha_actualizacion_stage")
     stg_p = read_layer(spark, path("stg_products")).drop("fecha_actualizacion_stage")
     stg_o = read_layer(spark, path("stg_orders")).drop("fecha_actualizacion_stage")
+    step("stage")
 
     # Analytics layer (unprotected; kept private to the run).
     dim_c = model.dim_customers(stg_c)
@@ -86,12 +99,14 @@ def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     dim_p = read_layer(spark, path("analytics/dim_products"))
     write_layer(model.fact_sales(stg_o, dim_c, dim_p), path("analytics/fact_ventas"))
     fact = read_layer(spark, path("analytics/fact_ventas"))
+    step("analytics")
 
     if check:
         assert_empty(duplicate_keys(dim_c, "customer_id"), "dim_customers primary key")
         assert_empty(duplicate_keys(dim_p, "product_id"), "dim_products primary key")
         assert_empty(orphans(fact, dim_c, "customer_id"), "fact_ventas -> dim_customers")
         assert_empty(orphans(fact, dim_p, "product_id"), "fact_ventas -> dim_products")
+        step("checks")
 
     # Protected layer: the only one the reports read.
     write_layer(with_load_stamp(protect.protect_customers(dim_c)),
@@ -101,4 +116,5 @@ def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     p_dim_c = read_layer(spark, path("protected/dim_customers")).drop("fecha_carga")
     p_dim_p = read_layer(spark, path("protected/dim_products")).drop("fecha_carga")
     p_fact = read_layer(spark, path("protected/fact_ventas")).drop("fecha_carga")
+    step("protect")
     return build_reports(p_fact, p_dim_c, p_dim_p)
