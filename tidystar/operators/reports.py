@@ -2,9 +2,11 @@
 
 Scale notes
 -----------
-* One-row statistics (latest date, mean, deviation) are scalar subqueries:
-  partial aggregates on every task, one tiny final row, fed to the main plan
-  as a value. There is no cross join and nothing large reaches the driver.
+* One-row statistics are partial aggregates on every task with one tiny final
+  row: the mean and deviation of R3 are a scalar subquery fed to the main
+  plan as a value; the quarter bounds of R1 are read first (one row) so the
+  date range becomes a filter pushed into the Parquet scan. There is no cross
+  join and nothing larger than one row reaches the driver.
 * Facts are aggregated *before* they meet a dimension (per customer for R1,
   per month and product for R2). The join then sees one row per group
   instead of one per sale, and a key holding a third of all sales is already
@@ -23,13 +25,17 @@ SUM_TYPE = "decimal(38,2)"
 def latest_quarter_bounds(fact: DataFrame, date_col: str = "order_date"):
     """A1: (first instant of the newest date's calendar quarter, newest date).
 
-    Returned as one scalar-subquery struct column; the quarter start is
-    assembled zone-free from year and quarter.
+    One partial-aggregate job; a single row reaches the driver. The bounds
+    come back as text so they can be used as TIMESTAMP_NTZ literals, which
+    Catalyst pushes into the Parquet scan (row groups outside the quarter are
+    skipped). ``(None, None)`` when there is no dated row.
     """
     d = F.max(date_col)
     start = F.make_timestamp_ntz(F.year(d), (F.quarter(d) - 1) * 3 + 1, F.lit(1),
                                  F.lit(0), F.lit(0), F.lit(0))
-    return fact.agg(F.struct(start.alias("lo"), d.alias("hi")).alias("b")).scalar()
+    row = fact.agg(F.date_format(start, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("lo"),
+                   F.date_format(d, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("hi")).first()
+    return row.lo, row.hi
 
 
 def full_name(first: str = "first_name", last: str = "last_name"):
@@ -44,9 +50,13 @@ def top_customers_latest_quarter(fact: DataFrame, dim_c: DataFrame, n: int = 3)
     The quarter runs from its first day to the newest order (not 90 days,
     not the last full quarter). Ties: more orders first, then name, then id.
     """
-    b = latest_quarter_bounds(fact)
-    in_quarter = fact.filter((F.col("order_date") >= b.getField("lo"))
-                             & (F.col("order_date") <= b.getField("hi")))
+    lo, hi = latest_quarter_bounds(fact)
+    if hi is None:
+        in_quarter = fact.filter(F.lit(False))
+    else:
+        in_quarter = fact.filter(
+            (F.col("order_date") >= F.lit(lo).cast("timestamp_ntz"))
+            & (F.col("order_date") <= F.lit(hi).cast("timestamp_ntz")))
     counts = in_quarter.groupBy("customer_id").agg(
         F.count_distinct("order_id").alias("cantidad_pedidos"))
     named = counts.join(dim_c.select("customer_id", "first_name", "last_name"),
