@@ -25,10 +25,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tidystar.functions import privacy as P  # noqa: E402
 from tidystar.functions import rules as R  # noqa: E402
 from tidystar.operators import checks, model, protect, reports, stage  # noqa: E402
-from tidystar.plans.layers import build_layers  # noqa: E402
+from tidystar.plans.layers import build_layers, run_layers  # noqa: E402
 from tidystar.session import scratch_path  # noqa: E402
 from tidystar.sources import driver_raw  # noqa: E402
 from tidystar.sources.csv_folder import load_raw_folder, write_raw_csv  # noqa: E402
+from tidystar.sources.tables import read_layer  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 COUNTRY = "AMERICA"
@@ -224,24 +225,38 @@ def q_check_text_lengths(spark, sf_dir):
 
 
 # --- reports (R1-R3) -------------------------------------------------------------
-def _protected(spark, sf_dir):
-    lay = _layers(spark, sf_dir)
-    dim_c, fact = lay.protected()
-    return fact, dim_c, lay.dim_products
+# The reports read the published (protected) layer written by the layered run,
+# as the reference's last phase reads the tables of the earlier phases. The
+# run is written once per Spark application and input folder, under the
+# shared scratch folder, and reused by the three reports.
+_RUNS: dict[tuple[str, str], str] = {}
+
+
+def published_layer(spark: SparkSession, sf_dir: str):
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    out = _RUNS.get(key)
+    if out is None:
+        out = scratch_path(spark, "layers")
+        raw = dict(zip(("customers", "products", "orders"), _raw(spark, sf_dir)))
+        run_layers(spark, raw, out, country=COUNTRY)
+        _RUNS[key] = out
+    def read(name):
+        return read_layer(spark, os.path.join(out, "protected", name)).drop("fecha_carga")
+    return read("fact_ventas"), read("dim_customers"), read("dim_products")
 
 
 def q_report_top_customers_latest_quarter(spark, sf_dir):
-    fact, dim_c, _ = _protected(spark, sf_dir)
+    fact, dim_c, _ = published_layer(spark, sf_dir)
     return reports.top_customers_latest_quarter(fact, dim_c, 3)
 
 
 def q_report_revenue_by_month_category(spark, sf_dir):
-    fact, _, dim_p = _protected(spark, sf_dir)
+    fact, _, dim_p = published_layer(spark, sf_dir)
     return reports.revenue_by_month_category(fact, dim_p)
 
 
 def q_report_zscore_outliers(spark, sf_dir):
-    fact, _, _ = _protected(spark, sf_dir)
+    fact, _, _ = published_layer(spark, sf_dir)
     return reports.zscore_outliers(fact, 2.0)
 
 
