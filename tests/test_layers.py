@@ -5,10 +5,10 @@ import os
 from pyspark.sql import functions as F
 
 from tests.conftest import SF001
-from tidystar.plans.layers import run_layers
+from tidystar.plans.layers import ingest_folder, run_from_folder
 from tidystar.session import scratch_path
 from tidystar.sources import driver_raw
-from tidystar.sources.csv_folder import load_raw_folder, write_raw_csv
+from tidystar.sources.csv_folder import write_raw_csv
 
 
 def _rows(df):
@@ -23,12 +23,14 @@ def test_run_layers_from_csv_twice(spark):
     n_orders = driver_raw.raw_orders(spark, SF001).count()
     answers = []
     for _ in range(2):
-        tables = load_raw_folder(spark, folder)
-        raw = {k[len("raw_"):]: v.df for k, v in tables.items()}
         out = scratch_path(spark, "layers")
-        rep = run_layers(spark, raw, out, country="AMERICA")
+        steps = {}
+        rep = run_from_folder(spark, folder, out, country="AMERICA",
+                              on_step=lambda k, v: steps.__setitem__(k, v))
+        assert set(steps) == {"ingest", "stage", "analytics", "checks", "protect"}
         answers.append((_rows(rep.top_customers), _rows(rep.revenue), _rows(rep.outliers)))
-        assert tables["raw_orders"].row_count() == n_orders
+        raw_orders = spark.read.parquet(os.path.join(out, "raw", "raw_orders"))
+        assert raw_orders.count() == n_orders
         prot = spark.read.parquet(os.path.join(out, "protected/dim_customers"))
         assert prot.filter(F.col("email").contains("@")).count() == 0
         cards = spark.read.parquet(os.path.join(out, "protected/fact_ventas"))
@@ -36,3 +38,12 @@ def test_run_layers_from_csv_twice(spark):
         assert cards.filter((F.col("discount_pct") < 0) | (F.col("discount_pct") > 100)).count() == 0
     assert answers[0] == answers[1]
     assert len(answers[0][0]) == 3 and len(answers[0][1]) > 0
+
+
+def test_ingest_folder_counts(spark):
+    folder = scratch_path(spark, "csv-count")
+    write_raw_csv(driver_raw.raw_products(spark, SF001), os.path.join(folder, "products.csv"))
+    raw, counts = ingest_folder(spark, folder, scratch_path(spark, "raw-out"))
+    assert set(raw) == {"products"}
+    assert counts["raw_products"] == raw["products"].count() == \
+        driver_raw.raw_products(spark, SF001).count()

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import model, protect, reports, stage
 from ..operators.checks import assert_empty, duplicate_keys, orphans
+from ..sources.csv_folder import load_raw_folder
 from ..sources.tables import read_layer, with_load_stamp, write_layer
 
 
@@ -121,3 +122,34 @@ def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     p_fact = read_layer(spark, path("protected/fact_ventas")).drop("fecha_carga")
     step("protect")
     return build_reports(p_fact, p_dim_c, p_dim_p)
+
+
+def ingest_folder(spark: SparkSession, in_dir: str, out_dir: str,
+                  multiline: bool = True) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """Phase 1 (S1-S5, S13): every CSV entry of ``in_dir`` written as ``raw_<name>``.
+
+    Returns the raw tables read back from the written layer (keyed without the
+    ``raw_`` prefix) and the number of rows read per table.
+    """
+    tables = load_raw_folder(spark, in_dir, multiline=multiline)
+    counts: dict[str, int] = {}
+    raw: dict[str, DataFrame] = {}
+    for name, table in tables.items():
+        write_layer(table.df, os.path.join(out_dir, name))
+        counts[name] = table.row_count()
+        raw[name[len("raw_"):]] = read_layer(spark, os.path.join(out_dir, name))
+    return raw, counts
+
+
+def run_from_folder(spark: SparkSession, in_dir: str, out_dir: str,
+                    country: str = stage.DEFAULT_COUNTRY, multiline: bool = True,
+                    on_step: Callable[[str, float], None] | None = None) -> Reports:
+    """E1 whole: CSV folder -> raw -> stage -> analytics -> protected -> reports."""
+    t0 = time.perf_counter()
+    raw, _counts = ingest_folder(spark, in_dir, os.path.join(out_dir, "raw"), multiline)
+    missing = {"customers", "products", "orders"} - set(raw)
+    if missing:
+        raise FileNotFoundError(f"input folder lacks {sorted(missing)} CSV files: {in_dir}")
+    if on_step:
+        on_step("ingest", time.perf_counter() - t0)
+    return run_layers(spark, raw, out_dir, country=country, on_step=on_step)
