@@ -10,7 +10,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from tidystar.operators import reports, stage
+from tidystar.operators import model, reports, stage
 from tidystar.sources.driver_raw import RAW_ORDER_COLUMNS
 
 N = 3000
@@ -117,3 +117,49 @@ def test_reports_with_hot_customer_match_brute_force(spark):
     got3 = sorted((r.order_id, r.z_score) for r in reports.zscore_outliers(fact).collect())
     assert [g[0] for g in got3] == [e[0] for e in exp3]
     assert all(abs(g[1] - e[1]) < 1e-9 for g, e in zip(got3, exp3))
+
+
+def _dims(spark):
+    cust = spark.range(60).select(
+        F.col("id").cast("int").alias("customer_id"), F.lit("A").alias("first_name"),
+        F.lit("B").alias("last_name"), F.lit("e").alias("email"), F.lit("p").alias("phone"),
+        F.lit("c").alias("city"), F.lit("CO").alias("country"), F.lit(1).alias("age"),
+        F.lit(None).cast("timestamp_ntz").alias("registration_date"),
+        F.lit("T").alias("loyalty_tier"))
+    prod = spark.range(13).select(
+        F.col("id").cast("int").alias("product_id"), F.lit("n").alias("product_name"),
+        F.lit("c").alias("category"), F.lit(1).cast("decimal(10,2)").alias("price_usd"),
+        F.lit(1).cast("decimal(10,2)").alias("cost_usd"), F.lit(1).alias("stock_units"),
+        F.lit("S").alias("supplier"), F.lit("ACTIVO").alias("active"))
+    return model.dim_customers(cust), model.dim_products(prod)
+
+
+def test_fact_without_broadcast_splits_the_hot_customer(spark, capsys):
+    """Past the broadcast size check: sort-merge semi joins, skewed partition split."""
+    raw = skewed_raw_orders(spark)
+    dim_c, dim_p = _dims(spark)
+    expected = sorted(tuple(r) for r in
+                      model.fact_sales(stage.stage_orders(raw), dim_c, dim_p).collect())
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    saved = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        fact = model.fact_sales(stage.stage_orders(raw), dim_c, dim_p)
+        got = sorted(tuple(r) for r in fact.collect())
+        fact.explain()
+        plan = capsys.readouterr().out
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert got == expected
+    assert "BroadcastHashJoin" not in plan
+    assert "SortMergeJoin(skew=true)" in plan
