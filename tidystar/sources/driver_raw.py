@@ -5,7 +5,10 @@ all-text tables. The driver's tables are clean and typed, so this module
 rewrites them into those three raw shapes and adds deterministic dirt (quotes,
 padding, mixed case, slashed and US dates, the word NULL, letters in numbers,
 duplicated keys) chosen by key arithmetic. No row is dropped or sampled: every
-customer, part and line item becomes a raw row, and some get a second copy.
+customer, part and line item becomes a raw row. Every customer and part also
+gets a second row: for some keys (chosen by key arithmetic) it is a real
+duplicate with other values, for the rest its key is junk that the stage
+drops. No input row is filtered out.
 
 The dirt is written once as SQL expression text with a small dialect switch,
 so Spark (``selectExpr``) and the DuckDB oracle build identical raw input;
@@ -52,6 +55,11 @@ def _q(expr: str) -> str:
     return f"""('"' || {expr} || '"')"""
 
 
+# Second rows whose key stays valid (real duplicates); the others get junk keys.
+CUSTOMER_SECOND_KEEP = "c_custkey % 4 = 1"
+PRODUCT_SECOND_KEEP = "p_partkey % 10 = 3"
+
+
 def customer_exprs(dialect: str) -> tuple[list[tuple[str, str]], list[tuple[str, str]]]:
     """(base copy, second copy) column expressions over customer/nation/region."""
     k = "c_custkey"
@@ -108,7 +116,8 @@ def customer_exprs(dialect: str) -> tuple[list[tuple[str, str]], list[tuple[str,
     shifted = _plus_days("2015-01-01", f"{days} + CASE WHEN {k} % 3 = 0 THEN -200 ELSE 150 END",
                          dialect)
     second = [
-        ("customer_id", f"CASE WHEN {k} % 3 = 2 THEN {_q(s)} ELSE {s} END"),
+        ("customer_id", f"""CASE WHEN NOT ({CUSTOMER_SECOND_KEEP}) THEN 'dup-' || {s}
+            WHEN {k} % 3 = 2 THEN {_q(s)} ELSE {s} END"""),
         ("first_name", f"lower({first})"),
         ("last_name", last),
         ("email", f"'c' || {s} || '@old.example'"),
@@ -123,7 +132,6 @@ def customer_exprs(dialect: str) -> tuple[list[tuple[str, str]], list[tuple[str,
     return base, second
 
 
-CUSTOMER_SECOND_COPY = "c_custkey % 4 = 1"
 
 
 def product_exprs(dialect: str) -> tuple[list[tuple[str, str]], list[tuple[str, str]]]:
@@ -168,7 +176,7 @@ def product_exprs(dialect: str) -> tuple[list[tuple[str, str]], list[tuple[str,
             ELSE ' ACTIVO ' END"""),
     ]
     second = [
-        ("product_id", s),
+        ("product_id", f"CASE WHEN {PRODUCT_SECOND_KEEP} THEN {s} ELSE 'dup-' || {s} END"),
         ("product_name", "lower(p_name)"),
         ("category", "p_type"),
         ("price_usd", _s("CAST(CAST(p_retailprice AS DECIMAL(12,2)) + 1 AS DECIMAL(12,2))")),
@@ -180,7 +188,6 @@ def product_exprs(dialect: str) -> tuple[list[tuple[str, str]], list[tuple[str,
     return base, second
 
 
-PRODUCT_SECOND_COPY = "p_partkey % 10 = 3"
 
 
 def order_exprs(dialect: str) -> list[tuple[str, str]]:
@@ -260,21 +267,21 @@ def _select(df: DataFrame, exprs: list[tuple[str, str]]) -> DataFrame:
 
 
 def raw_customers(spark: SparkSession, base_dir: str) -> DataFrame:
-    """customer x nation x region -> raw customers (all text), with duplicate keys."""
+    """customer x nation x region -> raw customers (all text), two rows per customer."""
     nation = load_table(spark, base_dir, "nation")
     region = load_table(spark, base_dir, "region")
     src = (load_table(spark, base_dir, "customer")
            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
            .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
     base, second = customer_exprs("spark")
-    return _select(src, base).unionByName(_select(src.filter(CUSTOMER_SECOND_COPY), second))
+    return _select(src, base).unionByName(_select(src, second))
 
 
 def raw_products(spark: SparkSession, base_dir: str) -> DataFrame:
-    """part -> raw products (all text), with duplicate keys."""
+    """part -> raw products (all text), two rows per part."""
     src = load_table(spark, base_dir, "part")
     base, second = product_exprs("spark")
-    return _select(src, base).unionByName(_select(src.filter(PRODUCT_SECOND_COPY), second))
+    return _select(src, base).unionByName(_select(src, second))
 
 
 def raw_orders(spark: SparkSession, base_dir: str) -> DataFrame:
