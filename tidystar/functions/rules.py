@@ -33,18 +33,13 @@ SUPPLIER_PATTERN = r"^PROVEEDOR [A-Z]$"
 INT_PATTERN = r"^ *[+-]?[0-9]+ *$"
 DECIMAL_PATTERN = r"^ *[+-]?([0-9]+\.?[0-9]*|\.[0-9]+) *$"
 
-# Datetime text forms accepted by ``safe_timestamp`` (their shapes never overlap,
-# so the order does not change results). Each is
-# (name, anchored pattern, rewrite to text Spark's TIMESTAMP_NTZ cast reads).
-# ``None`` means the text is already in a form the cast reads as is.
-TIMESTAMP_FORMATS = (
-    ("yyyy-M-d", r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", None),
-    ("yyyy-M-d H:m:s",
-     r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}[ T][0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$", None),
-    ("yyyy", r"^[0-9]{4}$", None),
-    ("yyyyMMdd", r"^([0-9]{4})([0-9]{2})([0-9]{2})$", "$1-$2-$3"),
-    ("M-d-yyyy", r"^([0-9]{1,2})-([0-9]{1,2})-([0-9]{4})$", "$3-$1-$2"),
-)
+# Datetime text forms accepted by ``safe_timestamp`` (after quotes are dropped
+# and ``/`` became ``-``). Letters: y year, M month, d day, H hour, m minute,
+# s second; a single letter is 1 or 2 digits, a repeated letter exactly that
+# many; text in single quotes is literal. The forms never overlap, so their
+# order does not change results.
+TIMESTAMP_FORMATS = ("yyyy-M-d", "yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s", "yyyy", "yyyyMMdd",
+                     "M-d-yyyy")
 # Earliest year of the reference's DATETIME type.
 MIN_YEAR = 1753
 
@@ -88,34 +83,99 @@ def safe_decimal(c: Column | str, precision: int = 10, scale: int = 2) -> Column
                   F.trim(s).try_cast(f"decimal({precision},{scale})"))
 
 
-def _merged_formats(formats: Sequence) -> list[tuple[str, str | None]]:
-    """Join neighbouring formats that need no rewrite into one alternation."""
-    merged: list[tuple[str, str | None]] = []
-    for _name, pattern, rewrite in formats:
-        if rewrite is None and merged and merged[-1][1] is None:
-            merged[-1] = (f"{merged[-1][0]}|{pattern}", None)
+_FIELD_ORDER = "yMdHms"
+
+
+def _tokens(fmt: str) -> list[tuple[str, str]]:
+    """Split a format into ("field", letters) and ("lit", text) tokens."""
+    out: list[tuple[str, str]] = []
+    i = 0
+    while i < len(fmt):
+        ch = fmt[i]
+        if ch == "'":
+            j = fmt.index("'", i + 1)
+            out.append(("lit", fmt[i + 1:j]))
+            i = j + 1
+        elif ch in _FIELD_ORDER:
+            j = i
+            while j < len(fmt) and fmt[j] == ch:
+                j += 1
+            out.append(("field", fmt[i:j]))
+            i = j
         else:
-            merged.append((pattern, rewrite))
-    return merged
+            out.append(("lit", ch))
+            i += 1
+    return out
 
 
-def safe_timestamp(c: Column | str, formats: Sequence = TIMESTAMP_FORMATS) -> Column:
+def _widths(letters: str) -> tuple[int, ...]:
+    return (1, 2) if len(letters) == 1 else (len(letters),)
+
+
+def format_shapes(fmt: str) -> list[str]:
+    """Every text shape of ``fmt`` with each digit written as ``9`` (for docs and tests)."""
+    shapes = [""]
+    for kind, text in _tokens(fmt):
+        if kind == "lit":
+            shapes = [sh + text for sh in shapes]
+        else:
+            shapes = [sh + "9" * w for sh in shapes for w in _widths(text)]
+    return shapes
+
+
+def format_pattern(fmt: str, capture: bool = True) -> str:
+    """Anchored regex for ``fmt``; each field is a group of ASCII digits."""
+    def field(letters: str) -> str:
+        w = _widths(letters)
+        body = f"[0-9]{{{w[0]},{w[-1]}}}" if len(w) > 1 else f"[0-9]{{{w[0]}}}"
+        return f"({body})" if capture else body
+
+    def lit(text: str) -> str:
+        return "".join("\\" + ch if ch in ".^$*+?()[]{}|\\" else ch for ch in text)
+
+    return "^" + "".join(field(t) if k == "field" else lit(t) for k, t in _tokens(fmt)) + "$"
+
+
+def _rewrite(fmt: str) -> str | None:
+    """Replacement putting ``fmt`` text in ``y-M-d H:m:s`` order, or None when
+    Spark's TIMESTAMP_NTZ cast already reads the text as is."""
+    toks = _tokens(fmt)
+    fields = [t for k, t in toks if k == "field"]
+    letters = "".join(f[0] for f in fields)
+    lits = [t for k, t in toks if k == "lit"]
+    readable = (letters == "y" and not lits) or (letters == "yMd" and lits == ["-", "-"]) or (
+        letters == "yMdHms" and lits[:2] == ["-", "-"] and lits[2] in (" ", "T")
+        and lits[3:] == [":", ":"])
+    if readable and toks[0] == ("field", "yyyy") and len(toks) == 2 * len(fields) - 1:
+        return None
+    group = {f[0]: i + 1 for i, f in enumerate(fields)}
+    date = "-".join(f"${group[c]}" for c in "yMd" if c in group)
+    time_ = ":".join(f"${group[c]}" for c in "Hms" if c in group)
+    return date + (" " + time_ if time_ else "")
+
+
+def safe_timestamp(c: Column | str, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
     """Drop quotes, ``/`` -> ``-``, then the first matching format or NULL.
 
-    A matching text is rewritten (only when its form needs it) to ``y-m-d``
-    order and cast once to TIMESTAMP_NTZ, so the result is zone-free and
-    impossible dates (30 February) give NULL, not an error. Years before the
-    reference's DATETIME range give NULL too. The common ISO forms cost one
-    pattern test and one cast.
+    Text already in ISO order (one combined pattern test) is cast as is;
+    other forms are first rewritten to ``y-M-d`` order. One cast to
+    TIMESTAMP_NTZ keeps the result zone-free and turns impossible dates
+    (30 February) into NULL instead of an error. Instants before the
+    reference's DATETIME range give NULL too.
     """
     s = F.trim(F.replace(strip_quotes(c), F.lit("/"), F.lit("-")))
-    canon = None
-    for pattern, rewrite in _merged_formats(formats):
-        branch = s if rewrite is None else F.regexp_replace(s, pattern, rewrite)
-        cond = s.rlike(pattern)
-        canon = F.when(cond, branch) if canon is None else canon.when(cond, branch)
+    direct = [format_pattern(f, capture=False)[1:-1] for f in formats if _rewrite(f) is None]
+    canon = F.when(s.rlike("^(?:" + "|".join(direct) + ")$"), s) if direct else None
+    for fmt in formats:
+        repl = _rewrite(fmt)
+        if repl is None:
+            continue
+        pattern = format_pattern(fmt)
+        branch = F.regexp_replace(s, pattern, repl)
+        canon = (F.when(s.rlike(pattern), branch) if canon is None
+                 else canon.when(s.rlike(pattern), branch))
     ts = canon.try_cast("timestamp_ntz")
-    return F.when(F.year(ts) >= MIN_YEAR, ts)
+    return F.when(ts >= F.lit(f"{MIN_YEAR}-01-01 00:00:00").cast("timestamp_ntz"), ts)
 
 
 def null_outside(x: Column | str, lo, hi) -> Column:
