@@ -5,6 +5,8 @@ import tempfile
 
 import pytest
 
+from tidystar.plans.layers import ingest_folder
+from tidystar.session import scratch_path
 from tidystar.sources.csv_folder import list_csv_tables, load_raw_folder
 
 
@@ -50,3 +52,13 @@ def test_empty_or_missing_folder_is_an_error(spark):
         list_csv_tables(spark, tempfile.mkdtemp(prefix="tidystar-empty-"))
     with pytest.raises(FileNotFoundError):
         list_csv_tables(spark, "/nonexistent/tidystar/folder")
+
+
+def test_single_pass_ingest_falls_back_only_when_needed(spark):
+    genuine = "id,note\n1,a\ufffdb\n".encode("utf-8")  # valid UTF-8 holding U+FFFD
+    folder = make_folder({"customers.csv": UTF8, "Orders.csv": LATIN1, "notes.csv": genuine})
+    raw, counts = ingest_folder(spark, folder, scratch_path(spark, "raw-once"))
+    assert counts == {"raw_customers": 4, "raw_orders": 2, "raw_notes": 1}
+    assert sorted(tuple(r) for r in raw["orders"].collect()) == [("1", "Envío"), ("2", None)]
+    assert [tuple(r) for r in raw["notes"].collect()] == [("1", "a\ufffdb")]
+    assert ("2", "Ana\nMaría", None) in [tuple(r) for r in raw["customers"].collect()]

@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import model, protect, reports, stage
 from ..operators.checks import assert_empty, duplicate_keys, orphans
-from ..sources.csv_folder import load_raw_folder
+from ..sources.csv_folder import PRIMARY_ENCODING, detect_encodings, load_raw_folder, \
+    observed_raw
 from ..sources.tables import read_layer, with_load_stamp, write_layer
 
 
@@ -128,16 +129,25 @@ def ingest_folder(spark: SparkSession, in_dir: str, out_dir: str,
                   multiline: bool = True) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """Phase 1 (S1-S5, S13): every CSV entry of ``in_dir`` written as ``raw_<name>``.
 
-    Returns the raw tables read back from the written layer (keyed without the
-    ``raw_`` prefix) and the number of rows read per table.
+    Each table is parsed once as UTF-8 while it is written. Only a table in
+    which the parser had to substitute U+FFFD gets the exact byte-level UTF-8
+    test, and only if that fails is it read again as Latin-1 and rewritten
+    (S4). Returns the raw tables read back from the written layer (keyed
+    without the ``raw_`` prefix) and the number of rows read per table.
     """
-    tables = load_raw_folder(spark, in_dir, multiline=multiline)
+    tables = load_raw_folder(spark, in_dir, multiline=multiline, check_encoding=False)
     counts: dict[str, int] = {}
     raw: dict[str, DataFrame] = {}
     for name, table in tables.items():
-        write_layer(table.df, os.path.join(out_dir, name))
+        path = os.path.join(out_dir, name)
+        write_layer(table.df, path)
+        if table.saw_replacement():
+            encoding = detect_encodings(spark, {name: table.files})[name]
+            if encoding != PRIMARY_ENCODING:
+                table = observed_raw(spark, name, table.files, encoding, multiline)
+                write_layer(table.df, path)
         counts[name] = table.row_count()
-        raw[name[len("raw_"):]] = read_layer(spark, os.path.join(out_dir, name))
+        raw[name[len("raw_"):]] = read_layer(spark, path)
     return raw, counts
 
 

@@ -49,6 +49,13 @@ class RawTable:
             return None
         return self.observation.get.get("rows")
 
+    def saw_replacement(self) -> bool:
+        """True when a decoded cell held U+FFFD, the mark of undecodable bytes
+        (known once an action has run; only tables read with ``flag_replacement``)."""
+        if self.observation is None:
+            return False
+        return bool(self.observation.get.get("replaced", 0))
+
 
 def _local_path(uri: str) -> str:
     return unquote(urlparse(uri).path) if "://" in uri or uri.startswith("file:") else uri
@@ -119,19 +126,38 @@ def read_raw_csv(spark: SparkSession, files: list[str], encoding: str = PRIMARY_
     return null_markers(spread(df))
 
 
+REPLACEMENT_CHAR = "\ufffd"
+
+
+def observed_raw(spark: SparkSession, name: str, files: list[str], encoding: str,
+                 multiline: bool = True, flag_replacement: bool = False) -> RawTable:
+    """One raw table read lazily, with its row count (and U+FFFD flag) observed."""
+    obs = Observation(name)
+    df = read_raw_csv(spark, files, encoding, multiline)
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if flag_replacement and df.columns:
+        hit = None
+        for c in df.columns:
+            h = F.coalesce(F.col(c).contains(REPLACEMENT_CHAR), F.lit(False))
+            hit = h if hit is None else hit | h
+        metrics.append(F.max(hit.cast("int")).alias("replaced"))
+    return RawTable(name, files, encoding, df.observe(obs, *metrics), obs)
+
+
 def load_raw_folder(spark: SparkSession, folder: str, multiline: bool = True,
                     check_encoding: bool = True) -> dict[str, RawTable]:
-    """S1-S4 + S13: every CSV entry of ``folder`` as a lazy raw text table."""
+    """S1-S4 + S13: every CSV entry of ``folder`` as a lazy raw text table.
+
+    With ``check_encoding`` the exact UTF-8 test runs first (one extra pass).
+    Without it every table is read as UTF-8 and flags any U+FFFD it decodes,
+    so a writer can verify and re-read only the tables that need it (see
+    ``plans.layers.ingest_folder``, which keeps the common case to one pass).
+    """
     tables = list_csv_tables(spark, folder)
     encodings = detect_encodings(spark, tables) if check_encoding else {}
-    out: dict[str, RawTable] = {}
-    for name, files in tables.items():
-        enc = encodings.get(name, PRIMARY_ENCODING)
-        obs = Observation(name)
-        df = read_raw_csv(spark, files, enc, multiline).observe(
-            obs, F.count(F.lit(1)).alias("rows"))
-        out[name] = RawTable(name, files, enc, df, obs)
-    return out
+    return {name: observed_raw(spark, name, files, encodings.get(name, PRIMARY_ENCODING),
+                               multiline, flag_replacement=not check_encoding)
+            for name, files in tables.items()}
 
 
 def write_raw_csv(df: DataFrame, path: str) -> None:
