@@ -233,7 +233,7 @@ _RUNS: dict[tuple[str, str], str] = {}
 
 
 def published_layer(spark: SparkSession, sf_dir: str):
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (spark.conf.get("spark.app.id", ""), os.path.abspath(sf_dir))
     out = _RUNS.get(key)
     if out is None:
         out = scratch_path(spark, "layers")

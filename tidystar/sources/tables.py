@@ -17,8 +17,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     read by one task, and all the row-level cleaning after it would run on one
     core. A large input has many splits and passes through unchanged.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        partitions = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. Spark Connect): leave the scan as it is
+        return df
+    if partitions < target:
         return df.repartition(target)
     return df
 
