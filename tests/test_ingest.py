@@ -62,3 +62,11 @@ def test_single_pass_ingest_falls_back_only_when_needed(spark):
     assert sorted(tuple(r) for r in raw["orders"].collect()) == [("1", "Envío"), ("2", None)]
     assert [tuple(r) for r in raw["notes"].collect()] == [("1", "a\ufffdb")]
     assert ("2", "Ana\nMaría", None) in [tuple(r) for r in raw["customers"].collect()]
+
+
+def test_bom_and_blank_lines(spark):
+    folder = make_folder({"c.csv": "﻿customer_id,name\n1,a\n\n2,b\n".encode("utf-8")})
+    for multiline in (True, False):
+        t = load_raw_folder(spark, folder, multiline=multiline)["raw_c"]
+        assert t.df.columns == ["customer_id", "name"]
+        assert sorted(tuple(r) for r in t.df.collect()) == [("1", "a"), ("2", "b")]
