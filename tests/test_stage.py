@@ -2,9 +2,12 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidystar.operators import checks, model, reports, stage
+from tidystar.plans.layers import run_layers
+from tidystar.session import scratch_path
 from tidystar.sources.driver_raw import RAW_CUSTOMER_COLUMNS, RAW_ORDER_COLUMNS, \
     RAW_PRODUCT_COLUMNS
 
@@ -100,3 +103,14 @@ def test_reports_edge_cases(spark):
         (1, " X", 2), (3, "C ", 1)]
     # all totals equal: deviation 0 -> z NULL -> no outliers
     assert reports.zscore_outliers(fact).count() == 0
+
+
+def test_run_layers_rejects_overlong_text(spark):
+    long_name = "X" * 151  # first_name is VARCHAR(150)
+    raw_c = raw(spark, RAW_CUSTOMER_COLUMNS,
+                [cust("1", "2020-01-01", "COLOMBIA", first=long_name)])
+    raw_p = raw(spark, RAW_PRODUCT_COLUMNS, [("7", "a", "c", "5", "1", "3", "proveedor b", "1")])
+    raw_o = raw(spark, RAW_ORDER_COLUMNS, [order("10", "1", "7")])
+    with pytest.raises(ValueError, match="dim_customers text lengths"):
+        run_layers(spark, {"customers": raw_c, "products": raw_p, "orders": raw_o},
+                   scratch_path(spark, "too-long"))

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import model, protect, reports, stage
-from ..operators.checks import assert_empty, duplicate_keys, orphans
+from ..operators.checks import assert_empty, duplicate_keys, orphans, too_long
 from ..sources.csv_folder import PRIMARY_ENCODING, detect_encodings, load_raw_folder, \
     observed_raw
 from ..sources.tables import read_layer, with_load_stamp, write_layer
@@ -108,6 +108,13 @@ def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
         assert_empty(duplicate_keys(dim_p, "product_id"), "dim_products primary key")
         assert_empty(orphans(fact, dim_c, "customer_id"), "fact_ventas -> dim_customers")
         assert_empty(orphans(fact, dim_p, "product_id"), "fact_ventas -> dim_products")
+        # Declared VARCHAR(n) sizes: a longer value fails the run, as an insert would.
+        assert_empty(too_long(dim_c, "customer_id", model.CUSTOMER_TEXT_LIMITS),
+                     "dim_customers text lengths")
+        assert_empty(too_long(dim_p, "product_id", model.PRODUCT_TEXT_LIMITS),
+                     "dim_products text lengths")
+        assert_empty(too_long(fact, "order_id", model.FACT_TEXT_LIMITS),
+                     "fact_ventas text lengths")
         step("checks")
 
     # Protected layer: the only one the reports read.
