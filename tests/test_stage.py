@@ -101,6 +101,10 @@ def test_reports_edge_cases(spark):
     # quarter of 2023-09-02 starts 2023-07-01; order 3 (June) is outside
     assert [(r.customer_id, r.nombre_completo, r.cantidad_pedidos) for r in top] == [
         (1, " X", 2), (3, "C ", 1)]
+    top_c = reports.top_customers_latest_quarter(fact, dim_c, keys_checked=True).collect()
+    assert [tuple(r) for r in top_c] == [tuple(r) for r in top]
+    empty = fact.filter(F.lit(False))
+    assert reports.top_customers_latest_quarter(empty, dim_c, keys_checked=True).count() == 0
     # all totals equal: deviation 0 -> z NULL -> no outliers
     assert reports.zscore_outliers(fact).count() == 0
 

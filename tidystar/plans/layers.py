@@ -55,8 +55,9 @@ class Reports:
     outliers: DataFrame
 
 
-def build_reports(fact: DataFrame, dim_c: DataFrame, dim_p: DataFrame) -> Reports:
-    return Reports(reports.top_customers_latest_quarter(fact, dim_c),
+def build_reports(fact: DataFrame, dim_c: DataFrame, dim_p: DataFrame,
+                  keys_checked: bool = False) -> Reports:
+    return Reports(reports.top_customers_latest_quarter(fact, dim_c, keys_checked=keys_checked),
                    reports.revenue_by_month_category(fact, dim_p),
                    reports.zscore_outliers(fact))
 
@@ -129,7 +130,7 @@ def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     p_dim_p = read_layer(spark, path("protected/dim_products")).drop("fecha_carga")
     p_fact = read_layer(spark, path("protected/fact_ventas")).drop("fecha_carga")
     step("protect")
-    return build_reports(p_fact, p_dim_c, p_dim_p)
+    return build_reports(p_fact, p_dim_c, p_dim_p, keys_checked=check)
 
 
 def ingest_folder(spark: SparkSession, in_dir: str, out_dir: str,
