@@ -144,4 +144,4 @@ def test_safe_timestamp_shapes(spark):
     got = col_values(spark, ["2023-1-5T8:3:4", "2023-01-05 10:11", "12/31/2023", " 2023-1-5 ",
                              "２０２３-01-05", "2023-001-05", "99999999"], R.safe_timestamp("v"))
     assert got == [d(2023, 1, 5, 8, 3, 4), None, d(2023, 12, 31), d(2023, 1, 5), None, None, None]
-    assert len(R.format_shapes("yyyy-M-d H:m:s")) == 32
+    assert R.format_pattern("M-d-yyyy") == "^([0-9]{1,2})-([0-9]{1,2})-([0-9]{4})$"

@@ -112,17 +112,6 @@ def _widths(letters: str) -> tuple[int, ...]:
     return (1, 2) if len(letters) == 1 else (len(letters),)
 
 
-def format_shapes(fmt: str) -> list[str]:
-    """Every text shape of ``fmt`` with each digit written as ``9`` (for docs and tests)."""
-    shapes = [""]
-    for kind, text in _tokens(fmt):
-        if kind == "lit":
-            shapes = [sh + text for sh in shapes]
-        else:
-            shapes = [sh + "9" * w for sh in shapes for w in _widths(text)]
-    return shapes
-
-
 def format_pattern(fmt: str, capture: bool = True) -> str:
     """Anchored regex for ``fmt``; each field is a group of ASCII digits."""
     def field(letters: str) -> str:

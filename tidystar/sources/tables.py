@@ -7,8 +7,6 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
-
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin a scan that yields fewer partitions than the cluster has cores.
