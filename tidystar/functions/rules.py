@@ -60,7 +60,8 @@ def clean_text(c: Column | str, upper: bool = True) -> Column:
 
 
 def _int_or_null(s: Column) -> Column:
-    return F.when(s.rlike(INT_PATTERN), F.trim(s).try_cast("int"))
+    # the guard admits only spaces around the digits, which the cast ignores
+    return F.when(s.rlike(INT_PATTERN), s.try_cast("int"))
 
 
 def key_int(c: Column | str) -> Column:
@@ -68,7 +69,7 @@ def key_int(c: Column | str) -> Column:
 
     A blank key gives NULL (note N1), never a made-up key 0.
     """
-    return _int_or_null(F.translate(_col(c), '" ', ""))
+    return _int_or_null(F.replace(strip_quotes(c), F.lit(" "), F.lit("")))
 
 
 def safe_int(c: Column | str) -> Column:
@@ -79,8 +80,7 @@ def safe_int(c: Column | str) -> Column:
 def safe_decimal(c: Column | str, precision: int = 10, scale: int = 2) -> Column:
     """Drop quotes, then DECIMAL(p,s) rounded half up, NULL if bad or too large."""
     s = strip_quotes(c)
-    return F.when(s.rlike(DECIMAL_PATTERN),
-                  F.trim(s).try_cast(f"decimal({precision},{scale})"))
+    return F.when(s.rlike(DECIMAL_PATTERN), s.try_cast(f"decimal({precision},{scale})"))
 
 
 _FIELD_ORDER = "yMdHms"
