@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +49,18 @@ def build_layers(raw_customers: DataFrame, raw_products: DataFrame, raw_orders:
     return Layers(stg_c, stg_p, stg_o, dim_c, dim_p, model.fact_sales(stg_o, dim_c, dim_p))
 
 
+def in_parallel(*jobs: Callable[[], object], workers: int = 4) -> list:
+    """Run independent Spark actions from a few driver threads; re-raise the first error.
+
+    Each action is its own Spark job; running them together overlaps their
+    driver-side planning and commit work and keeps executors busy while a
+    small job finishes.
+    """
+    with ThreadPoolExecutor(max_workers=max(1, min(workers, len(jobs)))) as pool:
+        futures = [pool.submit(job) for job in jobs]
+        return [f.result() for f in futures]
+
+
 @dataclass
 class Reports:
     top_customers: DataFrame
@@ -84,10 +97,12 @@ def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
 
     # Stage layer: one write per table, load stamp added on write only.
     built = build_layers(raw["customers"], raw["products"], raw["orders"], country)
-    for name, df in (("stg_customers", built.stg_customers),
-                     ("stg_products", built.stg_products),
-                     ("stg_orders", built.stg_orders)):
-        write_layer(with_load_stamp(df, "fecha_actualizacion_stage"), path(name))
+    in_parallel(*[
+        (lambda df=df, name=name: write_layer(with_load_stamp(df, "fecha_actualizacion_stage"),
+                                              path(name)))
+        for name, df in (("stg_orders", built.stg_orders),
+                         ("stg_customers", built.stg_customers),
+                         ("stg_products", built.stg_products))])
     stg_c = read_layer(spark, path("stg_customers")).drop("fecha_actualizacion_stage")
     stg_p = read_layer(spark, path("stg_products")).drop("fecha_actualizacion_stage")
     stg_o = read_layer(spark, path("stg_orders")).drop("fecha_actualizacion_stage")
@@ -96,8 +111,8 @@ def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     # Analytics layer (unprotected; kept private to the run).
     dim_c = model.dim_customers(stg_c)
     dim_p = model.dim_products(stg_p)
-    write_layer(dim_c, path("analytics/dim_customers"))
-    write_layer(dim_p, path("analytics/dim_products"))
+    in_parallel(lambda: write_layer(dim_c, path("analytics/dim_customers")),
+                lambda: write_layer(dim_p, path("analytics/dim_products")))
     dim_c = read_layer(spark, path("analytics/dim_customers"))
     dim_p = read_layer(spark, path("analytics/dim_products"))
     write_layer(model.fact_sales(stg_o, dim_c, dim_p), path("analytics/fact_ventas"))
@@ -105,27 +120,35 @@ def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     step("analytics")
 
     if check:
-        assert_empty(duplicate_keys(dim_c, "customer_id"), "dim_customers primary key")
-        assert_empty(duplicate_keys(dim_p, "product_id"), "dim_products primary key")
-        assert_empty(orphans(fact, dim_c, "customer_id"), "fact_ventas -> dim_customers")
-        assert_empty(orphans(fact, dim_p, "product_id"), "fact_ventas -> dim_products")
-        # Declared VARCHAR(n) sizes: a longer value fails the run, as an insert would.
-        assert_empty(too_long(dim_c, "customer_id", model.CUSTOMER_TEXT_LIMITS),
-                     "dim_customers text lengths")
-        assert_empty(too_long(dim_p, "product_id", model.PRODUCT_TEXT_LIMITS),
-                     "dim_products text lengths")
-        assert_empty(too_long(fact, "order_id", model.FACT_TEXT_LIMITS),
-                     "fact_ventas text lengths")
+        # Keys, references and the declared VARCHAR(n) sizes: any offending row
+        # fails the run, as the reference's constraints would fail its inserts.
+        in_parallel(
+            lambda: assert_empty(duplicate_keys(dim_c, "customer_id"),
+                                 "dim_customers primary key"),
+            lambda: assert_empty(duplicate_keys(dim_p, "product_id"),
+                                 "dim_products primary key"),
+            lambda: assert_empty(orphans(fact, dim_c, "customer_id"),
+                                 "fact_ventas -> dim_customers"),
+            lambda: assert_empty(orphans(fact, dim_p, "product_id"),
+                                 "fact_ventas -> dim_products"),
+            lambda: assert_empty(too_long(dim_c, "customer_id", model.CUSTOMER_TEXT_LIMITS),
+                                 "dim_customers text lengths"),
+            lambda: assert_empty(too_long(dim_p, "product_id", model.PRODUCT_TEXT_LIMITS),
+                                 "dim_products text lengths"),
+            lambda: assert_empty(too_long(fact, "order_id", model.FACT_TEXT_LIMITS),
+                                 "fact_ventas text lengths"))
         step("checks")
 
     # Protected layer: the only one the reports read.
-    write_layer(with_load_stamp(protect.protect_customers(dim_c)),
-                path("protected/dim_customers"))
-    write_layer(with_load_stamp(dim_p), path("protected/dim_products"))
-    # Sorted by order date inside each task (no shuffle): Parquet row groups
-    # then cover narrow date ranges, so date-bounded reads (R1) skip most.
-    write_layer(with_load_stamp(protect.protect_sales(fact)).sortWithinPartitions("order_date"),
-                path("protected/fact_ventas"))
+    # The fact is sorted by order date inside each task (no shuffle): Parquet
+    # row groups then cover narrow date ranges, so date-bounded reads (R1) skip most.
+    in_parallel(
+        lambda: write_layer(with_load_stamp(protect.protect_sales(fact))
+                            .sortWithinPartitions("order_date"),
+                            path("protected/fact_ventas")),
+        lambda: write_layer(with_load_stamp(protect.protect_customers(dim_c)),
+                            path("protected/dim_customers")),
+        lambda: write_layer(with_load_stamp(dim_p), path("protected/dim_products")))
     p_dim_c = read_layer(spark, path("protected/dim_customers")).drop("fecha_carga")
     p_dim_p = read_layer(spark, path("protected/dim_products")).drop("fecha_carga")
     p_fact = read_layer(spark, path("protected/fact_ventas")).drop("fecha_carga")
@@ -144,9 +167,8 @@ def ingest_folder(spark: SparkSession, in_dir: str, out_dir: str,
     without the ``raw_`` prefix) and the number of rows read per table.
     """
     tables = load_raw_folder(spark, in_dir, multiline=multiline, check_encoding=False)
-    counts: dict[str, int] = {}
-    raw: dict[str, DataFrame] = {}
-    for name, table in tables.items():
+
+    def ingest_one(name: str, table) -> int:
         path = os.path.join(out_dir, name)
         write_layer(table.df, path)
         if table.saw_replacement():
@@ -154,8 +176,12 @@ def ingest_folder(spark: SparkSession, in_dir: str, out_dir: str,
             if encoding != PRIMARY_ENCODING:
                 table = observed_raw(spark, name, table.files, encoding, multiline)
                 write_layer(table.df, path)
-        counts[name] = table.row_count()
-        raw[name[len("raw_"):]] = read_layer(spark, path)
+        return table.row_count()
+
+    names = sorted(tables)
+    rows = in_parallel(*[(lambda n=n: ingest_one(n, tables[n])) for n in names])
+    counts = dict(zip(names, rows))
+    raw = {n[len("raw_"):]: read_layer(spark, os.path.join(out_dir, n)) for n in names}
     return raw, counts
 
 
