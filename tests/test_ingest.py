@@ -70,3 +70,11 @@ def test_bom_and_blank_lines(spark):
         t = load_raw_folder(spark, folder, multiline=multiline)["raw_c"]
         assert t.df.columns == ["customer_id", "name"]
         assert sorted(tuple(r) for r in t.df.collect()) == [("1", "a"), ("2", "b")]
+
+
+def test_spread_only_touches_under_split_scans(spark):
+    from tidystar.sources.tables import spread
+    one = spark.range(100).coalesce(1)
+    assert spread(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(100).repartition(6)
+    assert spread(many, 4) is many

@@ -8,15 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Most partitions ``spread`` asks for. Scans with more partitions than this
+# are already split enough and are never reshuffled.
+SPREAD_CAP = 256
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has cores.
+    """Round-robin a scan that yields too few partitions for the cluster.
 
     A single unsplittable file (one Parquet row group, a multi-line CSV) is
     read by one task, and all the row-level cleaning after it would run on one
-    core. A large input has many splits and passes through unchanged.
+    core. Such a scan is spread over ``min(default parallelism, SPREAD_CAP)``
+    partitions; a scan that already has that many passes unchanged, so a large
+    well-split table is never shuffled just for parallelism.
     """
     try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        target = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism,
+                                       SPREAD_CAP)
         partitions = df.rdd.getNumPartitions()
     except Exception:  # no RDD view (e.g. Spark Connect): leave the scan as it is
         return df
