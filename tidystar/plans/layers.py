@@ -1,11 +1,13 @@
-"""The layered run (E1): raw -> stage -> analytics -> protected -> reports.
+"""The layered run (E1): CSV folder -> raw -> stage -> analytics -> protected -> reports.
 
 ``build_layers`` chains the operators lazily (one logical plan per output, so
-Catalyst prunes and pushes filters through every layer). ``run_layers``
-is the production form: each layer is written whole and read back before
-the next one starts, so a lost executor only recomputes the current layer,
-and only the protected layer is published for the reports. Errors are raised,
-never swallowed.
+Catalyst prunes and pushes filters through every layer). ``run_layers`` is
+the production form: each layer is written whole (independent tables of a
+layer from a few driver threads) and read back before the next one starts,
+so a lost executor only recomputes the current layer, and only the protected
+layer is published for the reports. ``ingest_folder`` adds the raw layer from
+a CSV folder and ``run_from_folder`` chains both. Errors are raised, never
+swallowed; ``out_dir`` should be shared storage on a cluster.
 """
 
 from __future__ import annotations
