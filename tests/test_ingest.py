@@ -57,7 +57,7 @@ def test_empty_or_missing_folder_is_an_error(spark):
 def test_single_pass_ingest_falls_back_only_when_needed(spark):
     genuine = "id,note\n1,a\ufffdb\n".encode("utf-8")  # valid UTF-8 holding U+FFFD
     folder = make_folder({"customers.csv": UTF8, "Orders.csv": LATIN1, "notes.csv": genuine})
-    raw, counts = ingest_folder(spark, folder, scratch_path(spark, "raw-once"))
+    raw, counts = ingest_folder(spark, folder, scratch_path(spark, "raw-once"), multiline=True)
     assert counts == {"raw_customers": 4, "raw_orders": 2, "raw_notes": 1}
     assert sorted(tuple(r) for r in raw["orders"].collect()) == [("1", "Envío"), ("2", None)]
     assert [tuple(r) for r in raw["notes"].collect()] == [("1", "a\ufffdb")]
@@ -78,3 +78,31 @@ def test_spread_only_touches_under_split_scans(spark):
     assert spread(one, 4).rdd.getNumPartitions() == 4
     many = spark.range(100).repartition(6)
     assert spread(many, 4) is many
+
+
+def test_auto_multiline_only_where_quoted_cells_break_lines(spark):
+    flat = ("id,note\n" + "".join(f'{i},"a ""q"" {i}"\n' for i in range(50))).encode("utf-8")
+    folder = make_folder({"customers.csv": UTF8, "flat.csv": flat, "Orders.csv": LATIN1})
+    tables = load_raw_folder(spark, folder)
+    assert tables["raw_customers"].extra["multiline"] is True   # "Ana\nMaría"
+    assert tables["raw_flat"].extra["multiline"] is False       # splittable
+    assert tables["raw_orders"].encoding == "ISO-8859-1"
+    rows = sorted((tuple(r) for r in tables["raw_flat"].df.collect()), key=lambda r: int(r[0]))
+    assert len(rows) == 50 and rows[3] == ("3", 'a "q" 3')
+
+
+def test_auto_inspects_only_files_larger_than_a_split(spark):
+    from tidystar.sources.csv_folder import split_bytes
+    flat = ("id,note\n" + "".join(f"{i},x{i}\n" for i in range(2000))).encode("utf-8")
+    folder = make_folder({"big.csv": flat, "small.csv": b"id\n1\n"})
+    saved = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+        assert split_bytes(spark) == 4096
+        raw, counts = ingest_folder(spark, folder, scratch_path(spark, "raw-auto"))
+        tables = load_raw_folder(spark, folder, check_encoding=False)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", saved)
+    assert tables["raw_big"].extra["multiline"] is False   # inspected: splittable
+    assert tables["raw_small"].extra["multiline"] is True  # small file: one task is fine
+    assert counts == {"raw_big": 2000, "raw_small": 1}

@@ -159,14 +159,19 @@ def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
 
 
 def ingest_folder(spark: SparkSession, in_dir: str, out_dir: str,
-                  multiline: bool = True) -> tuple[dict[str, DataFrame], dict[str, int]]:
+                  multiline: bool | str = "auto") -> tuple[dict[str, DataFrame], dict[str, int]]:
     """Phase 1 (S1-S5, S13): every CSV entry of ``in_dir`` written as ``raw_<name>``.
 
-    Each table is parsed once as UTF-8 while it is written. Only a table in
-    which the parser had to substitute U+FFFD gets the exact byte-level UTF-8
-    test, and only if that fails is it read again as Latin-1 and rewritten
-    (S4). Returns the raw tables read back from the written layer (keyed
-    without the ``raw_`` prefix) and the number of rows read per table.
+    Tables of modest files are parsed once as UTF-8 while they are written;
+    only a table in which the parser had to substitute U+FFFD gets the exact
+    byte-level test, and only if that fails is it read again as Latin-1 and
+    rewritten (S4). With ``multiline="auto"`` (default) a table holding a file
+    larger than one scan split first gets one splittable text pass that fixes
+    its encoding and whether it needs the one-task-per-file multi-line parser,
+    so a single file with a large share of the rows is still parsed by many
+    tasks unless its quoted cells really contain line breaks.
+    Returns the raw tables read back from the written layer (keyed without the
+    ``raw_`` prefix) and the number of rows read per table.
     """
     tables = load_raw_folder(spark, in_dir, multiline=multiline, check_encoding=False)
 
@@ -176,7 +181,8 @@ def ingest_folder(spark: SparkSession, in_dir: str, out_dir: str,
         if table.saw_replacement():
             encoding = detect_encodings(spark, {name: table.files})[name]
             if encoding != PRIMARY_ENCODING:
-                table = observed_raw(spark, name, table.files, encoding, multiline)
+                table = observed_raw(spark, name, table.files, encoding,
+                                     table.extra.get("multiline", True))
                 write_layer(table.df, path)
         return table.row_count()
 
@@ -188,7 +194,7 @@ def ingest_folder(spark: SparkSession, in_dir: str, out_dir: str,
 
 
 def run_from_folder(spark: SparkSession, in_dir: str, out_dir: str,
-                    country: str = stage.DEFAULT_COUNTRY, multiline: bool = True,
+                    country: str = stage.DEFAULT_COUNTRY, multiline: bool | str = "auto",
                     on_step: Callable[[str, float], None] | None = None) -> Reports:
     """E1 whole: CSV folder -> raw -> stage -> analytics -> protected -> reports."""
     t0 = time.perf_counter()

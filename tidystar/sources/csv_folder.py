@@ -61,49 +61,71 @@ def _local_path(uri: str) -> str:
     return unquote(urlparse(uri).path) if "://" in uri or uri.startswith("file:") else uri
 
 
-def list_csv_tables(spark: SparkSession, folder: str) -> dict[str, list[str]]:
-    """Map table name -> file URIs for each top-level ``*.csv`` entry.
+def list_csv_table_files(spark: SparkSession, folder: str) -> dict[str, list[tuple[str, int]]]:
+    """Map table name -> (file URI, size in bytes) for each top-level ``*.csv`` entry.
 
     A missing folder or one without any file is an error; a folder whose
-    files are not CSV gives no table (and no error).
+    files are not CSV gives no table (and no error). Sizes come from the
+    listing; file contents are not read.
     """
     try:
         listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                   .load(folder).select("path"))
-        paths = [r.path for r in listing.collect()]  # file names only
+                   .load(folder).select("path", "length"))
+        files = [(r.path, r.length) for r in listing.collect()]  # file names only
     except AnalysisException as exc:
         raise FileNotFoundError(f"input folder missing: {folder}") from exc
-    if not paths:
+    if not files:
         raise FileNotFoundError(f"input folder is empty: {folder}")
     root = _local_path(folder).rstrip("/")
-    tables: dict[str, list[str]] = {}
-    for uri in sorted(paths):
+    tables: dict[str, list[tuple[str, int]]] = {}
+    for uri, size in sorted(files):
         rel = os.path.relpath(_local_path(uri), root)
         entry = rel.split(os.sep)[0]
         if not entry.endswith(CSV_SUFFIX):
             continue
         name = RAW_PREFIX + os.path.splitext(entry)[0].lower()
-        tables.setdefault(name, []).append(uri)
+        tables.setdefault(name, []).append((uri, size))
     return tables
 
 
-def detect_encodings(spark: SparkSession, tables: dict[str, list[str]]) -> dict[str, str]:
-    """UTF-8 when every byte sequence of the table is valid UTF-8, else Latin-1.
+def list_csv_tables(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+    """Map table name -> file URIs for each top-level ``*.csv`` entry."""
+    return {name: [uri for uri, _ in files]
+            for name, files in list_csv_table_files(spark, folder).items()}
 
-    One distributed pass over all files; Spark's CSV reader would silently
-    substitute U+FFFD for bad bytes, so the check cannot be skipped.
+
+def inspect_tables(spark: SparkSession, tables: dict[str, list[str]]) -> dict[str, tuple[str, bool]]:
+    """One splittable text pass: per table (encoding, needs multi-line parsing).
+
+    S4: UTF-8 when every line is valid UTF-8, else Latin-1 (Spark's CSV reader
+    would silently substitute U+FFFD, so this cannot be left to the parser).
+    A line with an odd number of ``"`` characters opens a quoted cell that
+    continues on the next line (doubled quotes inside cells come in pairs),
+    so only such tables need the one-task-per-file multi-line parser.
     """
     all_files = [f for files in tables.values() for f in files]
     if not all_files:
         return {}
+    value = F.col("value")
+    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
     per_file = (spark.read.text(all_files)
                 .groupBy(F.col("_metadata.file_path").alias("p"))
-                .agg(F.bool_and(F.is_valid_utf8("value")).alias("ok"))
+                .agg(F.bool_and(F.is_valid_utf8(value)).alias("ok"),
+                     F.bool_or(quotes % 2 == 1).alias("open_quote"))
                 .collect())  # one row per file
     bad = {_local_path(r.p) for r in per_file if not r.ok}
-    return {name: (FALLBACK_ENCODING if any(_local_path(f) in bad for f in files)
-                   else PRIMARY_ENCODING)
-            for name, files in tables.items()}
+    multi = {_local_path(r.p) for r in per_file if r.open_quote}
+    out = {}
+    for name, files in tables.items():
+        local = [_local_path(f) for f in files]
+        enc = FALLBACK_ENCODING if any(f in bad for f in local) else PRIMARY_ENCODING
+        out[name] = (enc, any(f in multi for f in local))
+    return out
+
+
+def detect_encodings(spark: SparkSession, tables: dict[str, list[str]]) -> dict[str, str]:
+    """S4 alone: UTF-8 when every byte sequence is valid UTF-8, else Latin-1."""
+    return {name: enc for name, (enc, _) in inspect_tables(spark, tables).items()}
 
 
 def null_markers(df: DataFrame, markers=NULL_MARKERS) -> DataFrame:
@@ -117,7 +139,7 @@ def read_raw_csv(spark: SparkSession, files: list[str], encoding: str = PRIMARY_
     """Header row, every column text; doubled quotes and quoted line breaks kept.
 
     ``multiline=True`` handles line breaks inside quoted cells but makes each
-    file one split; data known to have none can pass ``False`` to split files.
+    file one split; ``False`` lets large files split across tasks.
     """
     df = (spark.read.option("header", True).option("inferSchema", False)
           .option("multiLine", multiline).option("quote", '"').option("escape", '"')
@@ -141,23 +163,55 @@ def observed_raw(spark: SparkSession, name: str, files: list[str], encoding: str
             h = F.coalesce(F.col(c).contains(REPLACEMENT_CHAR), F.lit(False))
             hit = h if hit is None else hit | h
         metrics.append(F.max(hit.cast("int")).alias("replaced"))
-    return RawTable(name, files, encoding, df.observe(obs, *metrics), obs)
+    table = RawTable(name, files, encoding, df.observe(obs, *metrics), obs)
+    table.extra["multiline"] = multiline
+    return table
+
+
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30}
+
+
+def split_bytes(spark: SparkSession) -> int:
+    """The session's scan split size (``spark.sql.files.maxPartitionBytes``)."""
+    text = str(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m")).strip().lower()
+    digits = text.rstrip("abcdefghijklmnopqrstuvwxyz")
+    return int(digits) * _UNITS.get(text[len(digits):], 1)
 
 
-def load_raw_folder(spark: SparkSession, folder: str, multiline: bool = True,
+def load_raw_folder(spark: SparkSession, folder: str, multiline: bool | str = "auto",
                     check_encoding: bool = True) -> dict[str, RawTable]:
     """S1-S4 + S13: every CSV entry of ``folder`` as a lazy raw text table.
 
-    With ``check_encoding`` the exact UTF-8 test runs first (one extra pass).
-    Without it every table is read as UTF-8 and flags any U+FFFD it decodes,
-    so a writer can verify and re-read only the tables that need it (see
+    ``multiline="auto"`` (default): a table with a file larger than one scan
+    split gets one splittable text pass that fixes its encoding and whether it
+    needs multi-line parsing at all, so a huge file without line breaks in
+    quoted cells is parsed by many tasks. Smaller files are parsed multi-line
+    (one task each is fine). ``True``/``False`` force the parser.
+    ``check_encoding`` runs the exact UTF-8 test before parsing; without it a
+    table not inspected is read as UTF-8 and flags any U+FFFD it decodes, so a
+    writer can verify and re-read only the tables that need it (see
     ``plans.layers.ingest_folder``, which keeps the common case to one pass).
     """
-    tables = list_csv_tables(spark, folder)
-    encodings = detect_encodings(spark, tables) if check_encoding else {}
-    return {name: observed_raw(spark, name, files, encodings.get(name, PRIMARY_ENCODING),
-                               multiline, flag_replacement=not check_encoding)
-            for name, files in tables.items()}
+    entries = list_csv_table_files(spark, folder)
+    tables = {name: [uri for uri, _ in files] for name, files in entries.items()}
+    auto = multiline == "auto"
+    if check_encoding:
+        to_inspect = tables
+    elif auto:
+        limit = split_bytes(spark)
+        to_inspect = {n: tables[n] for n, files in entries.items()
+                      if max(size for _, size in files) > limit}
+    else:
+        to_inspect = {}
+    inspected = inspect_tables(spark, to_inspect) if to_inspect else {}
+    out = {}
+    for name, files in tables.items():
+        enc, needs_multi = inspected.get(name, (PRIMARY_ENCODING, True))
+        ml = needs_multi if auto else bool(multiline)
+        out[name] = observed_raw(spark, name, files, enc, ml,
+                                 flag_replacement=name not in inspected)
+    return out
 
 
 def write_raw_csv(df: DataFrame, path: str) -> None:
