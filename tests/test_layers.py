@@ -30,7 +30,8 @@ def test_run_layers_from_csv_twice(spark):
         assert set(steps) == {"ingest", "stage", "analytics", "checks", "protect"}
         answers.append((_rows(rep.top_customers), _rows(rep.revenue), _rows(rep.outliers)))
         raw_orders = spark.read.parquet(os.path.join(out, "raw", "raw_orders"))
-        assert raw_orders.count() == n_orders
+        assert raw_orders.count() == n_orders == rep.row_counts["raw_orders"]
+        assert set(rep.row_counts) == {"raw_customers", "raw_products", "raw_orders"}
         prot = spark.read.parquet(os.path.join(out, "protected/dim_customers"))
         assert prot.filter(F.col("email").contains("@")).count() == 0
         cards = spark.read.parquet(os.path.join(out, "protected/fact_ventas"))

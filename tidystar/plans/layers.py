@@ -16,7 +16,7 @@ import os
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,6 +68,8 @@ class Reports:
     top_customers: DataFrame
     revenue: DataFrame
     outliers: DataFrame
+    # Rows read per raw table (filled by ``run_from_folder``)
+    row_counts: dict[str, int] = field(default_factory=dict)
 
 
 def build_reports(fact: DataFrame, dim_c: DataFrame, dim_p: DataFrame,
@@ -198,10 +200,12 @@ def run_from_folder(spark: SparkSession, in_dir: str, out_dir: str,
                     on_step: Callable[[str, float], None] | None = None) -> Reports:
     """E1 whole: CSV folder -> raw -> stage -> analytics -> protected -> reports."""
     t0 = time.perf_counter()
-    raw, _counts = ingest_folder(spark, in_dir, os.path.join(out_dir, "raw"), multiline)
+    raw, counts = ingest_folder(spark, in_dir, os.path.join(out_dir, "raw"), multiline)
     missing = {"customers", "products", "orders"} - set(raw)
     if missing:
         raise FileNotFoundError(f"input folder lacks {sorted(missing)} CSV files: {in_dir}")
     if on_step:
         on_step("ingest", time.perf_counter() - t0)
-    return run_layers(spark, raw, out_dir, country=country, on_step=on_step)
+    reports = run_layers(spark, raw, out_dir, country=country, on_step=on_step)
+    reports.row_counts = counts
+    return reports
