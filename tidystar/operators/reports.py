@@ -80,7 +80,9 @@ def top_customers_latest_quarter(fact: DataFrame, dim_c: DataFrame, n: int = 3,
         counts = counts.filter(F.col("cantidad_pedidos") >= kth)
         rows = counts.limit(CANDIDATE_LIMIT + 1).collect()
         if len(rows) <= CANDIDATE_LIMIT:
-            counts = fact.sparkSession.createDataFrame(rows, schema=counts.schema)
+            # at most CANDIDATE_LIMIT (id, count) pairs: a proven size bound, so
+            # broadcasting them keeps the dimension side free of any shuffle
+            counts = F.broadcast(fact.sparkSession.createDataFrame(rows, schema=counts.schema))
             names = names.filter(F.col("customer_id").isin([r.customer_id for r in rows]))
     named = counts.join(names, on="customer_id", how="inner")
     out = named.select(F.col("customer_id"), full_name().alias("nombre_completo"),
