@@ -48,3 +48,21 @@ def test_ingest_folder_counts(spark):
     assert set(raw) == {"products"}
     assert counts["raw_products"] == raw["products"].count() == \
         driver_raw.raw_products(spark, SF001).count()
+
+
+def test_size_shuffles_only_raises(spark):
+    from tidystar.plans.layers import size_shuffles
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    saved = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert size_shuffles(spark, 1024) == base               # small input: unchanged
+        assert spark.conf.get(key, None) is None
+        assert size_shuffles(spark, 64 * 2**20 * 40) == max(base, 40)
+        assert size_shuffles(spark, 10**18) == 100_000           # capped
+    finally:
+        if saved is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, saved)

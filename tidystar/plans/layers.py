@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import model, protect, reports, stage
 from ..operators.checks import assert_empty, duplicate_keys, orphans, too_long
-from ..sources.csv_folder import PRIMARY_ENCODING, detect_encodings, load_raw_folder, \
-    observed_raw
+from ..sources.csv_folder import PRIMARY_ENCODING, conf_bytes, detect_encodings, \
+    load_raw_folder, observed_raw
 from ..sources.tables import read_layer, with_load_stamp, write_layer
 
 
@@ -160,8 +160,32 @@ def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     return build_reports(p_fact, p_dim_c, p_dim_p, keys_checked=check)
 
 
+# Upper bound for the initial shuffle partition count set by ``size_shuffles``.
+MAX_INITIAL_PARTITIONS = 100_000
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raise AQE's initial shuffle partition count to cover ``input_bytes``.
+
+    No shuffle of the layered run is larger than its input, so input bytes
+    divided by the advisory partition size bounds the partitions any shuffle
+    needs; AQE coalesces the smaller shuffles back down. The setting is only
+    ever raised (never below ``spark.sql.shuffle.partitions``) and capped.
+    Returns the number in force.
+    """
+    advisory = conf_bytes(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    current = int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                                 None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(MAX_INITIAL_PARTITIONS, -(-input_bytes // max(advisory, 1)))
+    if wanted > current:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+        return wanted
+    return current
+
+
 def ingest_folder(spark: SparkSession, in_dir: str, out_dir: str,
-                  multiline: bool | str = "auto") -> tuple[dict[str, DataFrame], dict[str, int]]:
+                  multiline: bool | str = "auto",
+                  sized_shuffles: bool = True) -> tuple[dict[str, DataFrame], dict[str, int]]:
     """Phase 1 (S1-S5, S13): every CSV entry of ``in_dir`` written as ``raw_<name>``.
 
     Tables of modest files are parsed once as UTF-8 while they are written;
@@ -172,10 +196,14 @@ def ingest_folder(spark: SparkSession, in_dir: str, out_dir: str,
     its encoding and whether it needs the one-task-per-file multi-line parser,
     so a single file with a large share of the rows is still parsed by many
     tasks unless its quoted cells really contain line breaks.
+    ``sized_shuffles`` lets the listed input size raise AQE's initial shuffle
+    partition count (see ``size_shuffles``).
     Returns the raw tables read back from the written layer (keyed without the
     ``raw_`` prefix) and the number of rows read per table.
     """
     tables = load_raw_folder(spark, in_dir, multiline=multiline, check_encoding=False)
+    if sized_shuffles:
+        size_shuffles(spark, sum(t.size_bytes for t in tables.values()))
 
     def ingest_one(name: str, table) -> int:
         path = os.path.join(out_dir, name)

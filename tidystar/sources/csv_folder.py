@@ -42,6 +42,7 @@ class RawTable:
     df: DataFrame | None = None
     observation: Observation | None = None
     extra: dict = field(default_factory=dict)
+    size_bytes: int = 0
 
     def row_count(self) -> int | None:
         """Rows read, known once an action (the layer write) has run."""
@@ -172,13 +173,18 @@ _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 2
           "g": 1 << 30, "gb": 1 << 30}
 
 
-def split_bytes(spark: SparkSession) -> int:
-    """The session's scan split size (``spark.sql.files.maxPartitionBytes``)."""
-    text = str(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m")).strip().lower()
+def conf_bytes(spark: SparkSession, key: str, default: str) -> int:
+    """A byte-size setting of the session (``128m``, ``64MB``, ``134217728``...)."""
+    text = str(spark.conf.get(key, default)).strip().lower()
     digits = text.rstrip("abcdefghijklmnopqrstuvwxyz")
     return int(digits) * _UNITS.get(text[len(digits):], 1)
 
 
+def split_bytes(spark: SparkSession) -> int:
+    """The session's scan split size (``spark.sql.files.maxPartitionBytes``)."""
+    return conf_bytes(spark, "spark.sql.files.maxPartitionBytes", "128m")
+
+
 def load_raw_folder(spark: SparkSession, folder: str, multiline: bool | str = "auto",
                     check_encoding: bool = True) -> dict[str, RawTable]:
     """S1-S4 + S13: every CSV entry of ``folder`` as a lazy raw text table.
@@ -211,6 +217,7 @@ def load_raw_folder(spark: SparkSession, folder: str, multiline: bool | str = "a
         ml = needs_multi if auto else bool(multiline)
         out[name] = observed_raw(spark, name, files, enc, ml,
                                  flag_replacement=name not in inspected)
+        out[name].size_bytes = sum(size for _, size in entries[name])
     return out
 
 
