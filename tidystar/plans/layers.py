@@ -225,10 +225,12 @@ def ingest_folder(spark: SparkSession, in_dir: str, out_dir: str,
 
 def run_from_folder(spark: SparkSession, in_dir: str, out_dir: str,
                     country: str = stage.DEFAULT_COUNTRY, multiline: bool | str = "auto",
-                    on_step: Callable[[str, float], None] | None = None) -> Reports:
+                    on_step: Callable[[str, float], None] | None = None,
+                    sized_shuffles: bool = True) -> Reports:
     """E1 whole: CSV folder -> raw -> stage -> analytics -> protected -> reports."""
     t0 = time.perf_counter()
-    raw, counts = ingest_folder(spark, in_dir, os.path.join(out_dir, "raw"), multiline)
+    raw, counts = ingest_folder(spark, in_dir, os.path.join(out_dir, "raw"), multiline,
+                                sized_shuffles)
     missing = {"customers", "products", "orders"} - set(raw)
     if missing:
         raise FileNotFoundError(f"input folder lacks {sorted(missing)} CSV files: {in_dir}")
