@@ -18,7 +18,10 @@ def _rows(df):
 def test_run_layers_from_csv_twice(spark):
     folder = scratch_path(spark, "csv-in")
     write_raw_csv(driver_raw.raw_customers(spark, SF001), os.path.join(folder, "customers.csv"))
-    write_raw_csv(driver_raw.raw_products(spark, SF001), os.path.join(folder, "Products.csv"))
+    # products as a Latin-1 file with accented names: the run must detect and decode it
+    accented = driver_raw.raw_products(spark, SF001).withColumn(
+        "product_name", F.regexp_replace("product_name", "a", "á"))
+    write_raw_csv(accented, os.path.join(folder, "Products.csv"), encoding="ISO-8859-1")
     write_raw_csv(driver_raw.raw_orders(spark, SF001), os.path.join(folder, "orders.csv"))
     n_orders = driver_raw.raw_orders(spark, SF001).count()
     answers = []
@@ -32,6 +35,9 @@ def test_run_layers_from_csv_twice(spark):
         raw_orders = spark.read.parquet(os.path.join(out, "raw", "raw_orders"))
         assert raw_orders.count() == n_orders == rep.row_counts["raw_orders"]
         assert set(rep.row_counts) == {"raw_customers", "raw_products", "raw_orders"}
+        dim_p = spark.read.parquet(os.path.join(out, "protected/dim_products"))
+        assert dim_p.filter(F.col("product_name").contains("Á")).count() > 0
+        assert dim_p.filter(F.col("product_name").contains("\ufffd")).count() == 0
         prot = spark.read.parquet(os.path.join(out, "protected/dim_customers"))
         assert prot.filter(F.col("email").contains("@")).count() == 0
         cards = spark.read.parquet(os.path.join(out, "protected/fact_ventas"))

@@ -221,9 +221,9 @@ def load_raw_folder(spark: SparkSession, folder: str, multiline: bool | str = "a
     return out
 
 
-def write_raw_csv(df: DataFrame, path: str) -> None:
+def write_raw_csv(df: DataFrame, path: str, encoding: str = PRIMARY_ENCODING) -> None:
     """Write a text table as a CSV folder that ``load_raw_folder`` reads back as is."""
     (df.write.mode("overwrite").option("header", True).option("quote", '"')
-       .option("escape", '"').option("emptyValue", '""')
+       .option("escape", '"').option("emptyValue", '""').option("encoding", encoding)
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
        .csv(path))
