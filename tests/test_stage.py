@@ -115,6 +115,14 @@ def test_run_layers_rejects_overlong_text(spark):
                 [cust("1", "2020-01-01", "COLOMBIA", first=long_name)])
     raw_p = raw(spark, RAW_PRODUCT_COLUMNS, [("7", "a", "c", "5", "1", "3", "proveedor b", "1")])
     raw_o = raw(spark, RAW_ORDER_COLUMNS, [order("10", "1", "7")])
-    with pytest.raises(ValueError, match="dim_customers text lengths"):
+    with pytest.raises(ValueError, match="dim_customers primary key / text lengths"):
         run_layers(spark, {"customers": raw_c, "products": raw_p, "orders": raw_o},
                    scratch_path(spark, "too-long"))
+
+
+def test_key_and_length_violations(spark):
+    df = spark.createDataFrame([(1, "ok"), (1, "ok"), (2, "x" * 9), (3, "ok"), (None, "ok")],
+                               "k int, a string")
+    got = sorted((r.k if r.k is not None else -1, r.n_rows)
+                 for r in checks.key_and_length_violations(df, "k", {"a": 5}).collect())
+    assert got == [(-1, 1), (1, 2), (2, 1)]

@@ -44,6 +44,17 @@ def too_long(df: DataFrame, key: str, limits: Mapping[str, int]) -> DataFrame:
               .select(key, "h.column_name", "h.length"))
 
 
+def key_and_length_violations(df: DataFrame, key: str, limits: Mapping[str, int]) -> DataFrame:
+    """A7 + S9 in one pass: keys that repeat or are NULL, or whose rows hold a
+    text value longer than its declared size (one grouped scan of the table)."""
+    aggs = [F.count(F.lit(1)).alias("n_rows")] + [
+        F.max(F.length(c)).alias(f"max_len_{c}") for c in limits]
+    bad = (F.col("n_rows") > 1) | F.col(key).isNull()
+    for c, n in limits.items():
+        bad = bad | (F.col(f"max_len_{c}") > n)
+    return df.groupBy(key).agg(*aggs).filter(bad)
+
+
 def assert_empty(df: DataFrame, what: str) -> None:
     """Fail the run when a check finds rows (reads at most one row)."""
     if df.limit(1).count() > 0:

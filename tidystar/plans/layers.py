@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import model, protect, reports, stage
-from ..operators.checks import assert_empty, duplicate_keys, orphans, too_long
+from ..operators.checks import assert_empty, key_and_length_violations, orphans, too_long
 from ..sources.csv_folder import PRIMARY_ENCODING, conf_bytes, detect_encodings, \
     load_raw_folder, observed_raw
 from ..sources.tables import read_layer, with_load_stamp, write_layer
@@ -126,19 +126,18 @@ def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     if check:
         # Keys, references and the declared VARCHAR(n) sizes: any offending row
         # fails the run, as the reference's constraints would fail its inserts.
+        # One grouped scan per dimension covers its key and its text sizes.
         in_parallel(
-            lambda: assert_empty(duplicate_keys(dim_c, "customer_id"),
-                                 "dim_customers primary key"),
-            lambda: assert_empty(duplicate_keys(dim_p, "product_id"),
-                                 "dim_products primary key"),
+            lambda: assert_empty(key_and_length_violations(
+                dim_c, "customer_id", model.CUSTOMER_TEXT_LIMITS),
+                "dim_customers primary key / text lengths"),
+            lambda: assert_empty(key_and_length_violations(
+                dim_p, "product_id", model.PRODUCT_TEXT_LIMITS),
+                "dim_products primary key / text lengths"),
             lambda: assert_empty(orphans(fact, dim_c, "customer_id"),
                                  "fact_ventas -> dim_customers"),
             lambda: assert_empty(orphans(fact, dim_p, "product_id"),
                                  "fact_ventas -> dim_products"),
-            lambda: assert_empty(too_long(dim_c, "customer_id", model.CUSTOMER_TEXT_LIMITS),
-                                 "dim_customers text lengths"),
-            lambda: assert_empty(too_long(dim_p, "product_id", model.PRODUCT_TEXT_LIMITS),
-                                 "dim_products text lengths"),
             lambda: assert_empty(too_long(fact, "order_id", model.FACT_TEXT_LIMITS),
                                  "fact_ventas text lengths"))
         step("checks")
