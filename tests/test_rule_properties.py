@@ -1,5 +1,6 @@
 """Rules against plain-Python models of their semantics, on random awkward text."""
 
+import datetime as dt
 import hashlib
 import re
 from decimal import ROUND_HALF_UP, Decimal
@@ -75,3 +76,43 @@ def test_rules_match_python_models(spark, values):
         assert r.label == m_label(v), v
         assert r.mask == m_mask(v), v
         assert r.hash == m_hash(v), v
+
+
+DATE_FORMS = [  # (regex, group order y, M, d, H, m, s; 0 = absent)
+    (r"([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})", (1, 2, 3, 0, 0, 0)),
+    (r"([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})[ T]([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})",
+     (1, 2, 3, 4, 5, 6)),
+    (r"([0-9]{4})", (1, 0, 0, 0, 0, 0)),
+    (r"([0-9]{4})([0-9]{2})([0-9]{2})", (1, 2, 3, 0, 0, 0)),
+    (r"([0-9]{1,2})-([0-9]{1,2})-([0-9]{4})", (3, 1, 2, 0, 0, 0)),
+]
+
+
+def m_timestamp(s):
+    if s is None:
+        return None
+    t = s.replace('"', "").replace("/", "-").strip(" ")
+    for rx, order in DATE_FORMS:
+        m = re.fullmatch(rx, t)
+        if m:
+            parts = [int(m.group(g)) if g else (1 if i < 3 else 0) for i, g in enumerate(order)]
+            try:
+                v = dt.datetime(*parts)
+            except ValueError:
+                return None
+            return v if v.year >= 1753 else None
+    return None
+
+
+DATE_PIECES = st.sampled_from(["2023", "1700", "0001", "1", "02", "12", "13", "29", "30", "31",
+                               "-", "/", " ", "T", ":", '"', "20230105", "8", "59", "60"])
+DATE_TEXT = st.one_of(st.none(), st.lists(DATE_PIECES, max_size=9).map("".join))
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(DATE_TEXT, min_size=50, max_size=200))
+def test_safe_timestamp_matches_python_model(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    rows = df.select("i", R.safe_timestamp("v").alias("ts")).orderBy("i").collect()
+    for r, v in zip(rows, values):
+        assert r.ts == m_timestamp(v), v
