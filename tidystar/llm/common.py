@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidystar.session import scratch_path
 
@@ -30,6 +31,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the installed public tokenizer files hold ``name``."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def share_package(spark: SparkSession) -> SparkSession:
     """Let Python workers of this machine import the package from where it lies.
 
@@ -68,7 +76,7 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str,
+def slices(batches: Iterator[pa.RecordBatch], column: str | int,
            max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that ``column`` holds about ``max_bytes`` in each."""
     for batch in batches:
@@ -84,6 +92,27 @@ def slices(batches: Iterator[pa.RecordBatch], column: str,
             first = last
 
 
+def is_blank(data: np.ndarray) -> np.ndarray:
+    """Bytes that are space or TAB..CR."""
+    return (data == 0x20) | ((data >= 9) & (data <= 13))
+
+
+def blank_cuts(data: np.ndarray, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``size`` bytes that end before a blank; a longer word stays whole."""
+    at, n = 0, len(data)
+    while at < n:
+        end = at + size
+        while end < n:
+            blank = np.flatnonzero(is_blank(data[end:end + size]))
+            if len(blank):
+                end += int(blank[0])
+                break
+            end += size
+        end = min(end, n)
+        yield at, end
+        at = end
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (splitmix64), vectorised."""
     x = (x ^ (x >> np.uint64(30))) * _M1
@@ -104,3 +133,28 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     shift = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
     return shift + np.arange(total)
+
+
+def annotate(df: DataFrame, text_col: str, keep: list[str], fields: str, make) -> DataFrame:
+    """The ``keep`` columns of ``df`` and new columns computed from whole texts.
+
+    ``make()`` runs once per task and returns a function from a text column to
+    the list of new Arrow arrays; ``fields`` names and types them. New names must
+    not clash with ``keep``. One narrow pass.
+    """
+    types = T.StructType.fromDDL(fields)
+    clash = {f.name.lower() for f in types} & {c.lower() for c in keep}
+    if clash:
+        raise ValueError(f"columns exist already: {sorted(clash)}")
+    positions = {c: i for i, c in enumerate(keep)}
+    rows = df.select(*[F.col(f"`{c}`") for c in keep], *([] if text_col in positions else [F.col(f"`{text_col}`")]))
+    at = positions.get(text_col, len(keep))
+    names = [*keep, *(f.name for f in types)]
+
+    def run(batches):
+        fn = make()
+        for batch in slices(batches, at):
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:len(keep)], *fn(batch.column(at))], names=names)
+
+    return rows.mapInArrow(run, T.StructType([df.schema[c] for c in keep] + list(types)))

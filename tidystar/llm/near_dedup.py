@@ -36,8 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidystar.llm.common import (SLICE_BYTES, cut_lineage, mix64, seeded_words,
-                                 slices, text_buffers)
+from tidystar.llm.common import (SLICE_BYTES, blank_cuts, cut_lineage, is_blank,
+                                 mix64, seeded_words, slices, text_buffers)
 
 N_HASHES = 128
 BANDS = 24
@@ -78,29 +78,17 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     if not n:
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     if len(offsets) == 2 and n > 2 * SLICE_BYTES:  # one very long text: piece by piece
-        found, at = [], 0
-        while at < n:
-            cut = np.flatnonzero(_blank(data[at + SLICE_BYTES:at + 2 * SLICE_BYTES]))
-            end = at + SLICE_BYTES + int(cut[0]) if len(cut) else min(at + 2 * SLICE_BYTES, n)
-            while not len(cut) and end < n:  # a word longer than a piece stays whole
-                cut = np.flatnonzero(_blank(data[end:end + SLICE_BYTES]))
-                end = end + int(cut[0]) if len(cut) else min(end + SLICE_BYTES, n)
-            found.append(_hashes(data[at:end], np.array([0, end - at]))[0])
-            at = end
+        found = [_hashes(data[a:b], np.array([0, b - a]))[0] for a, b in blank_cuts(data)]
         words = np.concatenate(found)
         return words, np.array([0, len(words)])
     return _hashes(data, offsets)
 
 
-def _blank(data: np.ndarray) -> np.ndarray:
-    return (data == 0x20) | ((data >= 9) & (data <= 13))
-
-
 def _hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(data)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    inside = ~_blank(data)
+    inside = ~is_blank(data)
     first = np.ones(n, bool)
     first[1:] = ~inside[:-1]
     first[offsets[:-1][offsets[:-1] < n]] = True

@@ -3,9 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidystar.llm import near_dedup
-from tidystar.llm.common import read_table, share_package
+from tidystar.llm import language_id, near_dedup, packing
+from tidystar.llm.common import hash_remainder, read_table, share_package, tokenizer_path
+
+
+def op2_byte_cnn_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.coalesce(hash_remainder("doc_id", 3) == 1, F.lit(False))
+    model = language_id.fit(docs, ~held_out)
+    return language_id.predict(docs, model, ["doc_id"]).select("doc_id", held_out.alias("held_out"),
+                                                               "lang_pred", "score")
 
 
 def op9_bbit_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +22,11 @@ def op9_bbit_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       shingle_words=2, threshold=0.8)
 
 
+def op10_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pieces_digest(packing.pack_documents(
+        read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json")))
+
+
 def queries() -> dict:
     named = {name: fn for name, fn in globals().items() if name.startswith("op")}
     return {name: lambda spark, sf_dir, fn=fn: fn(share_package(spark), sf_dir)
