@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidystar.llm import language_id, near_dedup, packing
+from tidystar.llm import language_id, near_dedup, packing, quality
 from tidystar.llm.common import hash_remainder, read_table, share_package, tokenizer_path
 
 
@@ -17,6 +17,15 @@ def op2_byte_cnn_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                                "lang_pred", "score")
 
 
+def op5_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.coalesce(hash_remainder("doc_id", 5) == 0, F.lit(False))
+    model = quality.fit(spark, docs, read_table(spark, sf_dir, "labels"), ~held_out)
+    scored = quality.score(docs, model, ["doc_id"])
+    return scored.select("doc_id", held_out.alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_bbit_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(spark, read_table(spark, sf_dir, "documents"),
                                       shingle_words=2, threshold=0.8)
