@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidystar.llm.common import (SLICE_BYTES, blank_cuts, cut_lineage, is_blank,
                                  mix64, seeded_words, slices, text_buffers)
@@ -384,4 +385,4 @@ def signatures_only_node(docs: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, _nodes(keys, full, len(sizes))], names=[*batch.schema.names, "__node"])
 
-    return docs.mapInArrow(run, docs.schema.add("__node", "binary"))
+    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField("__node", T.BinaryType())]))

@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidystar.llm import language_id, near_dedup, packing, quality
+from tidystar.llm import byte_bpe, language_id, near_dedup, packing, quality
 from tidystar.llm.common import hash_remainder, read_table, share_package, tokenizer_path
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks, pattern = tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    coded = byte_bpe.encode(read_table(spark, sf_dir, "documents"), ranks, pattern, ["doc_id"])
+    return byte_bpe.decode(coded, ranks, pattern).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        byte_bpe.ids_digest("ids").alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op2_byte_cnn_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held_out = F.coalesce(hash_remainder("doc_id", 3) == 1, F.lit(False))
