@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidystar.llm import byte_bpe, language_id, near_dedup, packing, quality
+from tidystar.llm import (byte_bpe, exact_topk, language_id, near_dedup, packing,
+                          permutation_index, quality)
 from tidystar.llm.common import hash_remainder, read_table, share_package, tokenizer_path
 
 
@@ -36,6 +37,16 @@ def op5_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op7_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_k_inner_product(read_table(spark, sf_dir, "embeddings"),
+                                          F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
+def op8_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.nearest_neighbours(read_table(spark, sf_dir, "embeddings"),
+                                                F.col("vec_id") % 100 == 0, k=10)
+
+
 def op9_bbit_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(spark, read_table(spark, sf_dir, "documents"),
                                       shingle_words=2, threshold=0.8)
@@ -78,5 +89,18 @@ FROM sets s JOIN least_id l USING (doc_id)
 """
 
 
+_USABLE = """len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+_OP7 = f"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+           FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND {_USABLE}),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e))
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_bbit_minhash_near_dedup": _OP9}
+    return {"op7_ball_tree_top_k": _OP7,
+            "op9_bbit_minhash_near_dedup": _OP9}
