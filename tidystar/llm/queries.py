@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidystar.llm import (byte_bpe, exact_topk, language_id, near_dedup, packing,
+from tidystar.llm import (byte_bpe, exact_topk, html_extract, language_id, near_dedup, packing,
                           permutation_index, quality)
 from tidystar.llm.common import hash_remainder, read_table, share_package, tokenizer_path
 
@@ -37,6 +37,11 @@ def op5_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op6_consensus_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract(spark, read_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op7_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.top_k_inner_product(read_table(spark, sf_dir, "embeddings"),
                                           F.col("vec_id") % 50 == 0, k=5, scale=256.0)
