@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidystar.llm import (byte_bpe, exact_topk, html_extract, language_id, near_dedup, packing,
-                          permutation_index, quality)
+                          permutation_index, quality, url_filter, warc)
 from tidystar.llm.common import hash_remainder, read_table, share_package, tokenizer_path
 
 
@@ -28,6 +28,24 @@ def op2_byte_cnn_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                                "lang_pred", "score")
 
 
+def op3_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.capture_digest(warc.archive_round_trip(spark, read_table(spark, sf_dir, "pages"), min_bytes=0))
+
+
+#: Host rules of the query, and patterns that decide where none of them fits.
+URL_RULES = [
+    url_filter.host_rule("allow", "org/"), url_filter.host_rule("block", "example.org/es/"),
+    url_filter.host_rule("block", "example.org/en/1"), url_filter.host_rule("allow", "com/fr/"),
+    url_filter.host_rule("block", "com/de/"),
+    url_filter.pattern_rule("block", "^cheap-pills^"), url_filter.pattern_rule("block", "^free-bets^"),
+    url_filter.pattern_rule("block", "^spam-farm^"),
+]
+
+
+def op4_rarest_token_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(spark, read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op5_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held_out = F.coalesce(hash_remainder("doc_id", 5) == 0, F.lit(False))
@@ -106,6 +124,47 @@ FROM s QUALIFY rank <= 5
 """
 
 
+# sha1() gives hex; base32 takes five hex digits (20 bits) to four of its own.
+_OP3 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+bits AS (SELECT page_id, strlen(body) AS payload_bytes, hex,
+                list_transform(range(0, 8), lambda i: ('0x' || substr(hex, (5 * i + 1)::INT, 5))::BIGINT) AS g FROM p),
+d AS (SELECT page_id, payload_bytes, array_to_string(list_transform(g, lambda v:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 15) & 31)::INT + 1, 1)
+        || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 10) & 31)::INT + 1, 1)
+        || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 5) & 31)::INT + 1, 1)
+        || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v & 31)::INT + 1, 1)), '') AS payload_digest FROM bits),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM d)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+_OP4 = """
+WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+           FROM pages),
+h AS (SELECT page_id, rest, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                      'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+r(rule, rule_host, rule_path, action) AS (VALUES
+  ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
+  ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'),
+  ('com/de/', 'com', '/de/', 'block')),
+m AS (SELECT h.page_id, arg_max(rule, length(rule)) AS rule, arg_max(action, length(rule)) AS action
+      FROM h JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+      GROUP BY h.page_id),
+p AS (SELECT page_id, unnest(['cheap-pills', 'free-bets', 'spam-farm']) AS word, rest FROM h),
+b AS (SELECT page_id, min(CASE word WHEN 'cheap-pills' THEN 1 WHEN 'free-bets' THEN 2 ELSE 3 END) AS n FROM p
+      WHERE regexp_matches(lower(rest), '(^|[^a-z0-9])' || word || '([^a-z0-9]|$)') GROUP BY page_id)
+SELECT h.page_id, host, path, m.rule, coalesce(m.action, CASE WHEN b.n IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict,
+       CASE WHEN m.rule IS NULL THEN ['^cheap-pills^', '^free-bets^', '^spam-farm^'][b.n] END AS pattern
+FROM h LEFT JOIN m USING (page_id) LEFT JOIN b USING (page_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_ball_tree_top_k": _OP7,
+    return {"op3_warc_transactions": _OP3,
+            "op4_rarest_token_url_rules": _OP4,
+            "op7_ball_tree_top_k": _OP7,
             "op9_bbit_minhash_near_dedup": _OP9}
