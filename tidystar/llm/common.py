@@ -113,6 +113,14 @@ def blank_cuts(data: np.ndarray, size: int = SLICE_BYTES) -> Iterator[tuple[int,
         at = end
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (splitmix64), vectorised."""
     x = (x ^ (x >> np.uint64(30))) * _M1

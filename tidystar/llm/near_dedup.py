@@ -36,10 +36,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidystar.llm.common import (SLICE_BYTES, blank_cuts, cut_lineage, is_blank,
-                                 mix64, seeded_words, slices, text_buffers)
+from tidystar.llm.common import (SLICE_BYTES, annotate, blank_cuts, cut_lineage,
+                                 fresh_name, is_blank, mix64, seeded_words, slices,
+                                 text_buffers)
 
 N_HASHES = 512
 BANDS = 24
@@ -179,8 +179,8 @@ def band_keys(mins: np.ndarray) -> np.ndarray:
     return out.T
 
 
-def _sets(batch: pa.RecordBatch, k: int):
-    data, offsets = text_buffers(batch.column("text"))
+def _sets(column: pa.Array, k: int):
+    data, offsets = text_buffers(column)
     words, bounds = word_hashes(data, offsets)
     flat, sets = distinct_sets(*shingle_hashes(words, bounds, k))
     sizes = np.diff(sets)
@@ -200,7 +200,7 @@ def signatures(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame
     """One row per document: id, set size, class key, packed low bits, band keys."""
     def run(batches):
         for batch in slices(batches, "text"):
-            sizes, full, flat, bounds = _sets(batch, k)
+            sizes, full, flat, bounds = _sets(batch.column("text"), k)
             n = len(sizes)
             sig, bands = np.zeros((n, _WORDS64), np.int64), [None] * n
             keys = np.zeros((0, 2), np.uint64)
@@ -226,7 +226,7 @@ def class_sets(docs: DataFrame, k: int) -> DataFrame:
     """(node, shingles) of ``docs`` (columns doc_id, text): the sorted distinct hashes."""
     def run(batches):
         for batch in slices(batches, "text"):
-            _, full, flat, bounds = _sets(batch, k)
+            _, full, flat, bounds = _sets(batch.column("text"), k)
             if len(full):
                 yield pa.RecordBatch.from_arrays(
                     [_nodes(class_keys(flat, bounds), np.arange(len(full)), len(full)),
@@ -372,27 +372,29 @@ def keep_one_per_group(spark: SparkSession, docs: DataFrame, shingle_words: int
     """The documents (all their columns) with one document of each near-duplicate group.
 
     The smallest doc_id of a group stays; if several rows of a group carry it
-    (or it is NULL), the smallest text among them does. Documents without words
+    (or it is NULL), one of them does. Documents without words
     are all kept.
     """
     rows, classes = near_duplicate_classes(spark, docs, shingle_words, threshold)
     stay = rows.where("node IS NOT NULL").join(classes, "node") \
         .where(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
         .groupBy("label").agg(F.min("node").alias("node"), F.first("doc_id").alias("doc_id"))
-    tagged = signatures_only_node(docs, shingle_words)
+    key = fresh_name(docs, "class_key")
+    tagged = with_class_key(docs, shingle_words, key)
     kept = tagged.alias("d").join(
-        stay.alias("s"), (F.col("d.__node") == F.col("s.node")) & F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")),
-        "left_semi").dropDuplicates(["__node", "doc_id"])
-    return kept.union(tagged.where("__node IS NULL")).drop("__node")
+        stay.alias("s"), (F.col(f"d.{key}") == F.col("s.node")) & F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")),
+        "left_semi").dropDuplicates([key, "doc_id"])
+    return kept.union(tagged.where(F.col(key).isNull())).drop(key)
 
 
-def signatures_only_node(docs: DataFrame, k: int) -> DataFrame:
-    """The documents with their class key added as ``__node``."""
-    def run(batches):
-        for batch in slices(batches, "text"):
-            sizes, full, flat, bounds = _sets(batch, k)
+def with_class_key(docs: DataFrame, k: int, name: str) -> DataFrame:
+    """The documents with their class key added as ``name``."""
+    def make():
+        def run(column):
+            sizes, full, flat, bounds = _sets(column, k)
             keys = class_keys(flat, bounds) if len(full) else np.zeros((0, 2), np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, _nodes(keys, full, len(sizes))], names=[*batch.schema.names, "__node"])
+            return [_nodes(keys, full, len(sizes))]
+
+        return run
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema, T.StructField("__node", T.BinaryType())]))
+    return annotate(docs, "text", docs.columns, f"{name} binary", make)
