@@ -1,23 +1,51 @@
-"""CSV folder ingest (S1-S5, S13) on hand-written files."""
+"""CSV folder ingest (S1-S5, S13) on hand-written files, at two split sizes."""
 
+import io
 import os
+import random
 import tempfile
 
+import pandas as pd
 import pytest
 
 from tidystar.plans.layers import ingest_folder
 from tidystar.session import scratch_path
-from tidystar.sources.csv_folder import list_csv_tables, load_raw_folder
+from tidystar.sources import csv_folder
+from tidystar.sources.csv_folder import list_csv_entries, load_raw_folder, read_raw_csv
 
 
 def make_folder(files: dict[str, bytes]) -> str:
     folder = tempfile.mkdtemp(prefix="tidystar-ingest-")
     for name, data in files.items():
+        os.makedirs(os.path.dirname(os.path.join(folder, name)), exist_ok=True)
         with open(os.path.join(folder, name), "wb") as fh:
             fh.write(data)
     return folder
 
 
+@pytest.fixture(params=["2k", "128m"])
+def split(spark, request):
+    """Every record rule must hold whatever the scan split."""
+    keys = {"spark.sql.files.maxPartitionBytes": request.param, "spark.sql.files.openCostInBytes": "1k",
+            "spark.sql.files.minPartitionNum": "1"}
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield request.param
+    for k, v in saved.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def by_pandas(data: bytes, encoding="utf-8"):
+    df = pd.read_csv(io.BytesIO(data), dtype=str, encoding=encoding)
+    return list(df.columns), sorted((tuple(None if pd.isna(v) else v for v in r)
+                                     for r in df.itertuples(index=False, name=None)), key=repr)
+
+
 UTF8 = ('customer_id,first_name,city\n'
         '1,José,"Bogotá ""norte"""\n'
         '2,"Ana\nMaría",\n'
@@ -26,83 +54,132 @@ UTF8 = ('customer_id,first_name,city\n'
 LATIN1 = 'order_id,status\n1,Envío\n2,NA\n'.encode("latin-1")
 
 
-def test_load_folder(spark):
+def test_load_folder(spark, split):
     folder = make_folder({"customers.csv": UTF8, "Orders.csv": LATIN1, "readme.txt": b"x"})
     tables = load_raw_folder(spark, folder)
     assert sorted(tables) == ["raw_customers", "raw_orders"]
-    assert tables["raw_customers"].encoding == "UTF-8"
-    assert tables["raw_orders"].encoding == "ISO-8859-1"
     cust = tables["raw_customers"].df
-    assert all(t.simpleString() == "string" for t in [f.dataType for f in cust.schema.fields])
-    rows = sorted(tuple(r) for r in cust.collect())
-    assert rows == [("1", "José", 'Bogotá "norte"'), ("2", "Ana\nMaría", None),
-                    ("3", None, None), ("4", "   ", None)]
+    assert all(f.dataType.simpleString() == "string" for f in cust.schema.fields)
+    assert rows(cust) == [("1", "José", 'Bogotá "norte"'), ("2", "Ana\nMaría", None), ("3", None, None), ("4", "   ", None)]
     assert tables["raw_customers"].row_count() == 4
-    orders = sorted(tuple(r) for r in tables["raw_orders"].df.collect())
-    assert orders == [("1", "Envío"), ("2", None)]
+    assert rows(tables["raw_orders"].df) == [("1", "Envío"), ("2", None)]
 
 
-def test_folder_without_csv_loads_nothing(spark):
-    folder = make_folder({"notes.txt": b"hello"})
-    assert list_csv_tables(spark, folder) == {}
+def awkward(n: int) -> bytes:
+    """Blank lines, blanks-only lines, bare CR, CR LF, quoted breaks and commas, inch marks, short rows."""
+    rng, out = random.Random(4), ["id,note,size\r\n"]
+    for i in range(n):
+        out.append(rng.choice([
+            f"{i},plain,1\n", f"{i},plain,2\r\n", f"{i},old mac,3\r{i},next,3\n", "\n", "   \n", " \t \r\n", f'{i},"a, ""b""",4\n',
+            f'{i},"broken\nover\r\nlines\rhere",5\n', f'{i},5" pipe,6\n', f'{i},a"b"c,"x"y\n', f"{i}\n", f'{i},"",\n',
+            f'{i},"long ' + "filler\n" * rng.choice([1, 30, 900]) + '",7\n', f'{i},"""","\n"\r\n', f'{i},é中,"ñ"\n',
+            f' {i},"NULL",n/a\n']))
+    return "".join(out).encode("utf-8")
 
 
-def test_empty_or_missing_folder_is_an_error(spark):
-    with pytest.raises(FileNotFoundError):
-        list_csv_tables(spark, tempfile.mkdtemp(prefix="tidystar-empty-"))
-    with pytest.raises(FileNotFoundError):
-        list_csv_tables(spark, "/nonexistent/tidystar/folder")
+def test_records_are_those_of_pandas(spark, split):
+    data = awkward(1500)
+    columns, expected = by_pandas(data)
+    df = read_raw_csv(spark, os.path.join(make_folder({"t.csv": data}), "t.csv"))
+    assert df.columns == columns
+    assert rows(df) == expected
+    if split == "2k":
+        assert df.rdd.getNumPartitions() > 20
 
 
-def test_single_pass_ingest_falls_back_only_when_needed(spark):
-    genuine = "id,note\n1,a\ufffdb\n".encode("utf-8")  # valid UTF-8 holding U+FFFD
-    folder = make_folder({"customers.csv": UTF8, "Orders.csv": LATIN1, "notes.csv": genuine})
-    raw, counts = ingest_folder(spark, folder, scratch_path(spark, "raw-once"), multiline=True)
-    assert counts == {"raw_customers": 4, "raw_orders": 2, "raw_notes": 1}
-    assert sorted(tuple(r) for r in raw["orders"].collect()) == [("1", "Envío"), ("2", None)]
-    assert [tuple(r) for r in raw["notes"].collect()] == [("1", "a\ufffdb")]
-    assert ("2", "Ana\nMaría", None) in [tuple(r) for r in raw["customers"].collect()]
+def test_scanner_states_compose():
+    """A line's action from both states equals cutting the joined text."""
+    rng = random.Random(1)
+    for _ in range(3000):
+        lines = ["".join(rng.choice(['"', ",", "a", "\r", '""']) for _ in range(rng.randint(0, 8))).encode() for _ in range(4)]
+        whole = [t for t, _, _ in csv_folder.cut_records(iter(lines), False)]
+        inside, held, parts = False, b"", []
+        for line in lines:  # each line its own split
+            for text, complete, first in csv_folder.cut_records(iter([line]), inside):
+                held += text
+                if complete:
+                    parts.append(held)
+                    held = b""
+            inside = csv_folder.scan_line(line, inside)[1]
+        assert whole == parts + ([held] if inside else [])
 
 
-def test_bom_and_blank_lines(spark):
-    folder = make_folder({"c.csv": "﻿customer_id,name\n1,a\n\n2,b\n".encode("utf-8")})
-    for multiline in (True, False):
-        t = load_raw_folder(spark, folder, multiline=multiline)["raw_c"]
-        assert t.df.columns == ["customer_id", "name"]
-        assert sorted(tuple(r) for r in t.df.collect()) == [("1", "a"), ("2", "b")]
+def test_encoding_is_chosen_per_file(spark, split):
+    folder = make_folder({"t.csv/a.csv": "id,name\n1,José\n".encode("utf-8"),
+                          "t.csv/b.csv": "id,name\n2,Peña\n".encode("latin-1")})
+    assert rows(load_raw_folder(spark, folder)["raw_t"].df) == [("1", "José"), ("2", "Peña")]
+    raw, counts = ingest_folder(spark, folder, scratch_path(spark, "mixed"))
+    assert rows(raw["t"]) == [("1", "José"), ("2", "Peña")]
+    assert counts["raw_t"] == {"files": 2, "rows": 2}
 
 
-def test_spread_only_touches_under_split_scans(spark):
-    from tidystar.sources.tables import spread
-    one = spark.range(100).coalesce(1)
-    assert spread(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(100).repartition(6)
-    assert spread(many, 4) is many
+def test_latin1_header_over_ascii_cells(spark):
+    folder = make_folder({"t.csv": "id,categoría\n1,a\n".encode("latin-1")})
+    assert load_raw_folder(spark, folder)["raw_t"].df.columns == ["id", "categoría"]
 
 
-def test_auto_multiline_only_where_quoted_cells_break_lines(spark):
-    flat = ("id,note\n" + "".join(f'{i},"a ""q"" {i}"\n' for i in range(50))).encode("utf-8")
-    folder = make_folder({"customers.csv": UTF8, "flat.csv": flat, "Orders.csv": LATIN1})
-    tables = load_raw_folder(spark, folder)
-    assert tables["raw_customers"].extra["multiline"] is True   # "Ana\nMaría"
-    assert tables["raw_flat"].extra["multiline"] is False       # splittable
-    assert tables["raw_orders"].encoding == "ISO-8859-1"
-    rows = sorted((tuple(r) for r in tables["raw_flat"].df.collect()), key=lambda r: int(r[0]))
-    assert len(rows) == 50 and rows[3] == ("3", 'a "q" 3')
+def test_valid_replacement_character_stays_utf8(spark):
+    folder = make_folder({"t.csv": "id,note\n1,a�é\n".encode("utf-8")})
+    assert rows(load_raw_folder(spark, folder)["raw_t"].df) == [("1", "a�é")]
+
+
+def test_surplus_cells_are_an_error(spark, split):
+    folder = make_folder({"t.csv": b"id,b\n1,a\n2,b,EXTRA\n"})
+    with pytest.raises(Exception, match="3 cells"):
+        load_raw_folder(spark, folder)["raw_t"].df.collect()
+
+
+def test_open_quote_at_the_end_is_an_error(spark, split):
+    folder = make_folder({"t.csv": b'id,b\n1,a\n2,"never closed\n' + b"x\n" * 3000})
+    with pytest.raises(Exception, match="inside a quoted cell"):
+        load_raw_folder(spark, folder)["raw_t"].df.collect()
+
 
+def test_part_files_are_aligned_by_name(spark, split):
+    folder = make_folder({"t.csv/a.csv": b"id,name\n1,a\n2,b\n", "t.csv/b.csv": b"name,id\nc,3\n",
+                          "t.csv/c.csv": b"id,more\n4,x\n", "t.csv/d.csv": b"id,name\n"})
+    df = load_raw_folder(spark, folder)["raw_t"].df
+    assert rows(df.select("id", "name", "more")) == [("1", "a", None), ("2", "b", None), ("3", "c", None), ("4", None, "x")]
 
-def test_auto_inspects_only_files_larger_than_a_split(spark):
-    from tidystar.sources.csv_folder import split_bytes
-    flat = ("id,note\n" + "".join(f"{i},x{i}\n" for i in range(2000))).encode("utf-8")
-    folder = make_folder({"big.csv": flat, "small.csv": b"id\n1\n"})
+
+def test_odd_header_names(spark):
+    folder = make_folder({"t.csv": "﻿a.b,x y,a.b,,\"q\"\"`\"\n1,2,3,4,5\n".encode("utf-8")})
+    df = load_raw_folder(spark, folder)["raw_t"].df
+    assert df.columns == ["a.b", "x y", "a.b.1", "Unnamed: 3", 'q"`']
+    assert rows(df) == [("1", "2", "3", "4", "5")]
+
+
+def test_names_that_differ_by_case_are_an_error(spark):
+    with pytest.raises(ValueError, match="same table"):
+        list_csv_entries(spark, make_folder({"Orders.csv": b"a\n1\n", "orders.csv": b"a\n2\n"}))
+
+
+def test_table_names_are_the_folder_entries(spark):
+    folder = os.path.join(make_folder({"a/b/a/t 1.csv": b"x\n1\n", "a/b/a/p.csv/q.csv/r.csv": b"x\n2\n"}), "a/b/a")
+    assert {n: c for n, (_, c) in list_csv_entries(spark, folder).items()} == {"raw_t 1": 1, "raw_p": 1}
+    assert rows(load_raw_folder(spark, folder)["raw_t 1"].df) == [("1",)]
+
+
+def test_many_unusual_splits_take_the_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(csv_folder, "BROADCAST_ROWS", 0)
     saved = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
     try:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
-        assert split_bytes(spark) == 4096
-        raw, counts = ingest_folder(spark, folder, scratch_path(spark, "raw-auto"))
-        tables = load_raw_folder(spark, folder, check_encoding=False)
+        data = awkward(600)
+        df = read_raw_csv(spark, os.path.join(make_folder({"t.csv": data}), "t.csv"))
+        assert rows(df) == by_pandas(data)[1]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", saved)
-    assert tables["raw_big"].extra["multiline"] is False   # inspected: splittable
-    assert tables["raw_small"].extra["multiline"] is True  # small file: one task is fine
-    assert counts == {"raw_big": 2000, "raw_small": 1}
+
+
+def test_folder_without_csv_loads_nothing(spark):
+    assert list_csv_entries(spark, make_folder({"notes.txt": b"hello"})) == {}
+
+
+def test_empty_or_missing_folder_or_header_is_an_error(spark):
+    with pytest.raises(FileNotFoundError):
+        list_csv_entries(spark, tempfile.mkdtemp(prefix="tidystar-empty-"))
+    with pytest.raises(FileNotFoundError):
+        list_csv_entries(spark, "/nonexistent/tidystar/folder")
+    with pytest.raises(ValueError, match="header"):
+        load_raw_folder(spark, make_folder({"t.csv": b"\n\n"}))

@@ -1,43 +1,33 @@
 """Incremental raw ingest for a folder that keeps receiving CSV files.
 
 The reference re-reads its whole input folder on every run. When files keep
-arriving, the same raw-layer rules (all-text columns from the header, missing
-markers to NULL) can run as a Structured Streaming query: the file source
-picks up only files it has not seen, the Parquet file sink commits each batch
-exactly once, and the checkpoint lives under the cluster's shared folder.
-``availableNow`` processes what is there and stops, so the job can be
-scheduled like a batch run.
+arriving, the same raw-layer rules can run as a Structured Streaming query: the
+file source picks up only files it has not seen, and every micro-batch reads its
+files with the batch reader (records, encoding per file, alignment by name) and
+replaces its own part of the output, so a repeated batch changes nothing. The
+``checkpoint`` folder remembers what was loaded and must be the same in every run.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import scratch_path
-from ..sources.csv_folder import PRIMARY_ENCODING, null_markers
-
+from ..sources.csv_folder import read_raw_csv
 
-def header_columns(spark: SparkSession, source_dir: str) -> list[str]:
-    """Column names from the header of the files already in ``source_dir``."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(source_dir).columns
+#: Files of one micro-batch; their names pass through the driver.
+FILES_PER_BATCH = 1000
 
 
-def stream_raw_csv(spark: SparkSession, source_dir: str, out_path: str,
-                   columns: Sequence[str] | None = None, checkpoint: str | None = None,
-                   encoding: str = PRIMARY_ENCODING, multiline: bool = True) -> StreamingQuery:
+def stream_raw_csv(spark: SparkSession, source_dir: str, out_path: str, checkpoint: str) -> StreamingQuery:
     """Start an ``availableNow`` stream from ``source_dir`` into the raw table at ``out_path``."""
-    cols = list(columns) if columns else header_columns(spark, source_dir)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
-    stream = (spark.readStream.schema(schema).option("header", True)
-              .option("multiLine", multiline).option("quote", '"').option("escape", '"')
-              .option("encoding", encoding).option("pathGlobFilter", "*.csv")
-              .csv(source_dir))
-    return (null_markers(stream).writeStream.format("parquet")
-            .option("path", out_path)
-            .option("checkpointLocation", checkpoint or scratch_path(spark, "raw-stream"))
-            .trigger(availableNow=True)
-            .start())
+    def load(batch: DataFrame, number: int) -> None:
+        files = [r.path for r in batch.select("path").collect()]
+        if files:
+            read_raw_csv(batch.sparkSession, files).write.mode("overwrite").parquet(f"{out_path}/batch={number}")
+
+    stream = (spark.readStream.format("binaryFile").option("pathGlobFilter", "*.csv")
+              .option("maxFilesPerTrigger", FILES_PER_BATCH)
+              .schema("path string, modificationTime timestamp, length bigint, content binary").load(source_dir))
+    return (stream.select("path").writeStream.foreachBatch(load)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
