@@ -12,7 +12,7 @@ from tidystar.functions import privacy as P
 from tidystar.functions import rules as R
 
 PIECES = st.sampled_from(["0", "7", "12", "+", "-", ".", " ", '"', "e", "a", "N", "NULL",
-                          "null", "\t", "99999", "3000000000", ",", "x"])
+                          "null", "\t", "\n", "99999", "3000000000", ",", "x"])
 TEXT = st.one_of(st.none(), st.lists(PIECES, max_size=6).map("".join))
 
 
@@ -78,34 +78,50 @@ def test_rules_match_python_models(spark, values):
         assert r.hash == m_hash(v), v
 
 
-DATE_FORMS = [  # (regex, group order y, M, d, H, m, s; 0 = absent)
-    (r"([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})", (1, 2, 3, 0, 0, 0)),
-    (r"([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})[ T]([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})",
-     (1, 2, 3, 4, 5, 6)),
-    (r"([0-9]{4})", (1, 0, 0, 0, 0, 0)),
-    (r"([0-9]{4})([0-9]{2})([0-9]{2})", (1, 2, 3, 0, 0, 0)),
-    (r"([0-9]{1,2})-([0-9]{1,2})-([0-9]{4})", (3, 1, 2, 0, 0, 0)),
-]
+MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october",
+          "november", "december"]
 
 
 def m_timestamp(s):
+    """Date text read piece by piece, with fractions in steps of 1/300 second."""
     if s is None:
         return None
     t = s.replace('"', "").replace("/", "-").strip(" ")
-    for rx, order in DATE_FORMS:
-        m = re.fullmatch(rx, t)
-        if m:
-            parts = [int(m.group(g)) if g else (1 if i < 3 else 0) for i, g in enumerate(order)]
-            try:
-                v = dt.datetime(*parts)
-            except ValueError:
-                return None
-            return v if v.year >= 1753 else None
-    return None
+    clock = re.search(r"([ T]) *([0-9]{1,2}):([0-9]{1,2})(?::([0-9]{1,2})(?:\.([0-9]{1,3}))?)?\Z", t)
+    day, time, millis = t, (0, 0, 0), 0
+    if clock:
+        if clock[1] == "T" and not clock[4]:
+            return None
+        day = t[:clock.start()].rstrip(" ") if clock[1] == " " else t[:clock.start()]
+        time = (int(clock[2]), int(clock[3]), int(clock[4] or 0))
+        ticks = int(Decimal((clock[5] or "0").ljust(3, "0")) * 3 / 10 + Decimal("0.5"))
+        millis = int(Decimal(ticks) * 10 / 3 + Decimal("0.5"))
+    if m := re.fullmatch(r"([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})", day):
+        y, mo, d = m.groups()
+    elif m := re.fullmatch(r"([0-9]{4})([0-9]{2})([0-9]{2})", day):
+        y, mo, d = m.groups()
+    elif m := re.fullmatch(r"([0-9]{1,2})-([0-9]{1,2})-([0-9]{4}|[0-9]{2})", day):
+        mo, d, y = m.groups()
+        y = y if len(y) == 4 else ("20" if y < "50" else "19") + y
+    elif (m := re.fullmatch(r"([A-Za-z]+) +([0-9]{1,2}),? +([0-9]{4})", day)) and not (clock and clock[1] == "T"):
+        names = [i for i, n in enumerate(MONTHS) if m[1].lower() in (n, n[:3])]
+        if not names:
+            return None
+        y, mo, d = m[3], names[0] + 1, m[2]
+    elif re.fullmatch("[0-9]{4}", day) and not clock:
+        y, mo, d = day, 1, 1
+    else:
+        return None
+    try:
+        v = dt.datetime(int(y), int(mo), int(d), *time) + dt.timedelta(milliseconds=millis)
+    except (ValueError, OverflowError):
+        return None
+    return v if v.year >= 1753 else None
 
 
 DATE_PIECES = st.sampled_from(["2023", "1700", "0001", "1", "02", "12", "13", "29", "30", "31",
-                               "-", "/", " ", "T", ":", '"', "20230105", "8", "59", "60"])
+                               "-", "/", " ", "T", ":", '"', "20230105", "8", "59", "60", "\n", ".", ".12", "23",
+                               "75", "Jan ", "march 5, 2020", " 08:30", " 10:20:30", "2023-01-05", "1/15/2023", "T08:30:00"])
 DATE_TEXT = st.one_of(st.none(), st.lists(DATE_PIECES, max_size=9).map("".join))
 
 

@@ -143,5 +143,24 @@ def test_safe_timestamp_shapes(spark):
     d = dt.datetime
     got = col_values(spark, ["2023-1-5T8:3:4", "2023-01-05 10:11", "12/31/2023", " 2023-1-5 ",
                              "２０２３-01-05", "2023-001-05", "99999999"], R.safe_timestamp("v"))
-    assert got == [d(2023, 1, 5, 8, 3, 4), None, d(2023, 12, 31), d(2023, 1, 5), None, None, None]
-    assert R.format_pattern("M-d-yyyy") == "^([0-9]{1,2})-([0-9]{1,2})-([0-9]{4})$"
+    assert got == [d(2023, 1, 5, 8, 3, 4), d(2023, 1, 5, 10, 11), d(2023, 12, 31), d(2023, 1, 5), None, None, None]
+
+
+def test_safe_timestamp_times_and_names(spark):
+    d = dt.datetime
+    got = col_values(spark, ["2023-01-05 08:30:00.123", "2023-01-05 08:30:00.124", "2023-01-05T08:30:00.5", "Jan 5 2023",
+                             "1-5-23", "1-5-75", "20230105 08:30:00", "01/15/2023 10:30:00", "2023-12-31 23:59:59.999",
+                             "2023-01-05T08:30", "2023-01-05 08:30:00.1234", "Janu 5 2023", "2023-01-05 8:30 PM"],
+                     R.safe_timestamp("v"))
+    assert got == [d(2023, 1, 5, 8, 30, 0, 123000), d(2023, 1, 5, 8, 30, 0, 123000), d(2023, 1, 5, 8, 30, 0, 500000),
+                   d(2023, 1, 5), d(2023, 1, 5), d(1975, 1, 5), d(2023, 1, 5, 8, 30), d(2023, 1, 15, 10, 30),
+                   d(2024, 1, 1), None, None, None, None]
+
+
+def test_a_final_line_break_is_not_part_of_a_match(spark):
+    values = ["12\n", "9.99\n", "2023-01-05\n", "PROVEEDOR A\n"]
+    assert col_values(spark, values, R.safe_int("v")) == [None] * 4
+    assert col_values(spark, values, R.key_int("v")) == [None] * 4
+    assert col_values(spark, values, R.safe_decimal("v")) == [None] * 4
+    assert col_values(spark, values, R.safe_timestamp("v")) == [None] * 4
+    assert col_values(spark, values, R.match_or_default("v")) == ["NO DETERMINADO"] * 4

@@ -25,21 +25,29 @@ ACTIVE_WORDS = ("1", "TRUE", "ACTIVO", "YES")
 ACTIVE_LABEL = "ACTIVO"
 INACTIVE_LABEL = "INACTIVO"
 # Supplier pattern: the word PROVEEDOR, one space, one letter A-Z.
-SUPPLIER_PATTERN = r"^PROVEEDOR [A-Z]$"
+SUPPLIER_PATTERN = r"^PROVEEDOR [A-Z]\z"
 # -----------------------------------------------------------------------------
 
 # Text accepted as an integer or a plain decimal number. Exponent forms such as
 # ``1e3`` and thousands separators are rejected on purpose (note N3).
-INT_PATTERN = r"^ *[+-]?[0-9]+ *$"
-DECIMAL_PATTERN = r"^ *[+-]?([0-9]+\.?[0-9]*|\.[0-9]+) *$"
-
-# Datetime text forms accepted by ``safe_timestamp`` (after quotes are dropped
-# and ``/`` became ``-``). Letters: y year, M month, d day, H hour, m minute,
-# s second; a single letter is 1 or 2 digits, a repeated letter exactly that
-# many; text in single quotes is literal. The forms never overlap, so their
-# order does not change results.
-TIMESTAMP_FORMATS = ("yyyy-M-d", "yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s", "yyyy", "yyyyMMdd",
-                     "M-d-yyyy")
+# ``\z`` is the very end; ``$`` would also admit a final line break.
+INT_PATTERN = r"^ *[+-]?[0-9]+ *\z"
+DECIMAL_PATTERN = r"^ *[+-]?([0-9]+\.?[0-9]*|\.[0-9]+) *\z"
+
+# Date text forms of ``safe_timestamp`` (after quotes are dropped and ``/`` became
+# ``-``): pattern, and the same date as ``y-M-d``. They never overlap.
+DATE_FORMS = (
+    (r"([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})", "$1-$2-$3"),
+    (r"([0-9]{4})([0-9]{2})([0-9]{2})", "$1-$2-$3"),
+    (r"([0-9]{1,2})-([0-9]{1,2})-([0-9]{4})", "$3-$1-$2"),
+    (r"([0-9]{1,2})-([0-9]{1,2})-([0-4][0-9])", "20$3-$1-$2"),
+    (r"([0-9]{1,2})-([0-9]{1,2})-([5-9][0-9])", "19$3-$1-$2"),
+)
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september",
+          "october", "november", "december")
+# Time of day after a date: minutes, or seconds with up to three fraction digits;
+# ``T`` in place of the blank needs the seconds.
+TIME_PATTERN = r"(?: +[0-9]{1,2}:[0-9]{1,2}|[T ] *[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}(?:\.[0-9]{1,3})?)"
 # Earliest year of the reference's DATETIME type.
 MIN_YEAR = 1753
 
@@ -59,17 +67,18 @@ def clean_text(c: Column | str, upper: bool = True) -> Column:
     return F.upper(t) if upper else t
 
 
-def _int_or_null(s: Column) -> Column:
+def _int_or_null(s: Column, type_name: str = "int") -> Column:
     # the guard admits only spaces around the digits, which the cast ignores
-    return F.when(s.rlike(INT_PATTERN), s.try_cast("int"))
+    return F.when(s.rlike(INT_PATTERN), s.try_cast(type_name))
 
 
-def key_int(c: Column | str) -> Column:
-    """Drop quotes and every space (``1 2`` -> 12), then INT or NULL.
+def key_int(c: Column | str, type_name: str = "int") -> Column:
+    """Drop quotes and every space (``1 2`` -> 12), then INT (or BIGINT) or NULL.
 
-    A blank key gives NULL (note N1), never a made-up key 0.
+    A blank key gives NULL (note N1), never a made-up key 0; so does one beyond
+    the type's range.
     """
-    return _int_or_null(F.replace(strip_quotes(c), F.lit(" "), F.lit("")))
+    return _int_or_null(F.replace(strip_quotes(c), F.lit(" "), F.lit("")), type_name)
 
 
 def safe_int(c: Column | str) -> Column:
@@ -83,87 +92,39 @@ def safe_decimal(c: Column | str, precision: int = 10, scale: int = 2) -> Column
     return F.when(s.rlike(DECIMAL_PATTERN), s.try_cast(f"decimal({precision},{scale})"))
 
 
-_FIELD_ORDER = "yMdHms"
-
-
-def _tokens(fmt: str) -> list[tuple[str, str]]:
-    """Split a format into ("field", letters) and ("lit", text) tokens."""
-    out: list[tuple[str, str]] = []
-    i = 0
-    while i < len(fmt):
-        ch = fmt[i]
-        if ch == "'":
-            j = fmt.index("'", i + 1)
-            out.append(("lit", fmt[i + 1:j]))
-            i = j + 1
-        elif ch in _FIELD_ORDER:
-            j = i
-            while j < len(fmt) and fmt[j] == ch:
-                j += 1
-            out.append(("field", fmt[i:j]))
-            i = j
-        else:
-            out.append(("lit", ch))
-            i += 1
-    return out
-
-
-def _widths(letters: str) -> tuple[int, ...]:
-    return (1, 2) if len(letters) == 1 else (len(letters),)
-
-
-def format_pattern(fmt: str, capture: bool = True) -> str:
-    """Anchored regex for ``fmt``; each field is a group of ASCII digits."""
-    def field(letters: str) -> str:
-        w = _widths(letters)
-        body = f"[0-9]{{{w[0]},{w[-1]}}}" if len(w) > 1 else f"[0-9]{{{w[0]}}}"
-        return f"({body})" if capture else body
-
-    def lit(text: str) -> str:
-        return "".join("\\" + ch if ch in ".^$*+?()[]{}|\\" else ch for ch in text)
-
-    return "^" + "".join(field(t) if k == "field" else lit(t) for k, t in _tokens(fmt)) + "$"
-
-
-def _rewrite(fmt: str) -> str | None:
-    """Replacement putting ``fmt`` text in ``y-M-d H:m:s`` order, or None when
-    Spark's TIMESTAMP_NTZ cast already reads the text as is."""
-    toks = _tokens(fmt)
-    fields = [t for k, t in toks if k == "field"]
-    letters = "".join(f[0] for f in fields)
-    lits = [t for k, t in toks if k == "lit"]
-    readable = (letters == "y" and not lits) or (letters == "yMd" and lits == ["-", "-"]) or (
-        letters == "yMdHms" and lits[:2] == ["-", "-"] and lits[2] in (" ", "T")
-        and lits[3:] == [":", ":"])
-    if readable and toks[0] == ("field", "yyyy") and len(toks) == 2 * len(fields) - 1:
-        return None
-    group = {f[0]: i + 1 for i, f in enumerate(fields)}
-    date = "-".join(f"${group[c]}" for c in "yMd" if c in group)
-    time_ = ":".join(f"${group[c]}" for c in "Hms" if c in group)
-    return date + (" " + time_ if time_ else "")
-
-
-def safe_timestamp(c: Column | str, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
-    """Drop quotes, ``/`` -> ``-``, then the first matching format or NULL.
-
-    Text already in ISO order (one combined pattern test) is cast as is;
-    other forms are first rewritten to ``y-M-d`` order. One cast to
-    TIMESTAMP_NTZ keeps the result zone-free and turns impossible dates
-    (30 February) into NULL instead of an error. Instants before the
-    reference's DATETIME range give NULL too.
+def safe_timestamp(c: Column | str) -> Column:
+    """Drop quotes, ``/`` -> ``-``, then a date with or without a time of day, or NULL.
+
+    Dates: ``yyyy-M-d``, ``yyyyMMdd``, US ``M-d-yyyy`` and ``M-d-yy`` (50 and later:
+    19yy), ``Mon d yyyy`` and a bare ``yyyy`` (its first day, no time). Times:
+    ``H:m``, ``H:m:s``, ``H:m:s.fff`` after blanks; ``T`` with seconds after a date
+    of digits. Not read, and NULL: AM/PM, day-first dates, time zones, more than
+    three fraction digits, a time alone.
+
+    The result is zone-free. Impossible dates (30 February) and years before the
+    reference's DATETIME range give NULL, and fractions are rounded to that type's
+    steps of 1/300 second. Plain ISO text costs one pattern test and one cast.
     """
     s = F.trim(F.replace(strip_quotes(c), F.lit("/"), F.lit("-")))
-    direct = [format_pattern(f, capture=False)[1:-1] for f in formats if _rewrite(f) is None]
-    canon = F.when(s.rlike("^(?:" + "|".join(direct) + ")$"), s) if direct else None
-    for fmt in formats:
-        repl = _rewrite(fmt)
-        if repl is None:
-            continue
-        pattern = format_pattern(fmt)
-        branch = F.regexp_replace(s, pattern, repl)
-        canon = (F.when(s.rlike(pattern), branch) if canon is None
-                 else canon.when(s.rlike(pattern), branch))
-    ts = canon.try_cast("timestamp_ntz")
+    plain = r"^[0-9]{4}(?:-[0-9]{1,2}-[0-9]{1,2}(?:[T ][0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})?)?\z"
+    date = None
+    for pattern, form in DATE_FORMS:
+        whole = f"^{pattern}{TIME_PATTERN}?\\z"
+        text = F.regexp_replace(s, whole, form)
+        date = F.when(s.rlike(whole), text) if date is None else date.when(s.rlike(whole), text)
+    names = "|".join(f"{m[:3]}(?:{m[3:]})?" for m in MONTHS)
+    named = rf"(?i)^(?:{names}) +([0-9]{{1,2}}),? +([0-9]{{4}})(?: .*)?\z"
+    month = F.array_position(F.array(*(F.lit(m[:3]) for m in MONTHS)), F.lower(F.substring(s, 1, 3)))
+    date = date.when(s.rlike(named.replace("(?: .*)?", TIME_PATTERN.replace("[T ]", " ") + "?")),
+                     F.concat(F.regexp_replace(s, named, "$2-"), month.cast("string"),
+                              F.regexp_replace(s, named, "-$1")))
+    time = F.regexp_extract(s, r"[T ] *([0-9]{1,2}:[0-9]{1,2}(?::[0-9]{1,2})?)(?:\.[0-9]{1,3})?\z", 1)
+    time = F.when(time == "", "00:00:00").when(time.rlike(r"^[0-9]+:[0-9]+\z"), F.concat(time, F.lit(":00"))).otherwise(time)
+    fraction = F.rpad(F.regexp_extract(s, r":[0-9]{1,2}\.([0-9]{1,3})\z", 1), 3, "0").cast("int")
+    millis = F.round(F.round(fraction * 3 / 10) * 10 / 3)
+    ts = F.concat(date, F.lit(" "), time).try_cast("timestamp_ntz")
+    ts = F.when(fraction > 0, ts + F.make_dt_interval(secs=(millis / 1000).cast("decimal(18,6)"))).otherwise(ts)
+    ts = F.when(s.rlike(plain), s.try_cast("timestamp_ntz")).otherwise(ts)
     return F.when(ts >= F.lit(f"{MIN_YEAR}-01-01 00:00:00").cast("timestamp_ntz"), ts)
 
 
