@@ -26,15 +26,17 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidystar.functions import privacy as P  # noqa: E402
 from tidystar.functions import rules as R  # noqa: E402
-from tidystar.operators import checks, model, protect, reports, stage  # noqa: E402
-from tidystar.plans.layers import build_layers, run_layers  # noqa: E402
+from tidystar.operators import checks, protect, reports, stage  # noqa: E402
+from tidystar.plans.layers import build_layers, ingest_folder, run_layers  # noqa: E402
 from tidystar.session import scratch_path  # noqa: E402
 from tidystar.sources import driver_raw  # noqa: E402
-from tidystar.sources.csv_folder import load_raw_folder, write_raw_csv  # noqa: E402
+from tidystar.sources.csv_folder import write_raw_csv  # noqa: E402
 from tidystar.sources.tables import read_layer  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 COUNTRY = "AMERICA"
+# order ids are l_orderkey * 10 + l_linenumber, which outgrows INT
+KEY_TYPE = "bigint"
 
 
 def _raw(spark: SparkSession, sf_dir: str):
@@ -43,7 +45,7 @@ def _raw(spark: SparkSession, sf_dir: str):
 
 
 def _layers(spark: SparkSession, sf_dir: str):
-    return build_layers(*_raw(spark, sf_dir), country=COUNTRY)
+    return build_layers(*_raw(spark, sf_dir), country=COUNTRY, key_type=KEY_TYPE)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -51,12 +53,72 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_report_revenue_by_month_category(spark, SMOKE_DIR)
 
 
+# --- written runs ----------------------------------------------------------------
+# Some queries read tables that Spark writes from the driver tables. A run is
+# written once per application and state of the input folder, under the shared
+# scratch folder.
+_RUNS: dict[tuple, object] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, make):
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(sf_dir) \
+        .agg(F.count("path"), F.sum("length"), F.max("modificationTime"),
+             F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()
+    key = (spark.sparkContext.applicationId, sf_dir, name, tuple(listing))
+    if key not in _RUNS:
+        _RUNS[key] = make()
+    return _RUNS[key]
+
+
 # --- ingest (S1-S5, S13) -------------------------------------------------------
+def _accented(column: str):
+    return F.replace(F.col(column), F.lit("a"), F.lit("\u00e1"))
+
+
+def _ingested(spark, sf_dir):
+    """The three raw inputs written as CSV folders and ingested: (raw tables, counts).
+
+    Customers and products carry accents. The products are part files of two
+    encodings, whose columns stand in different orders.
+    """
+    def make():
+        folder, out = scratch_path(spark, "ingest"), scratch_path(spark, "raw-layer")
+        customers, products, orders = _raw(spark, sf_dir)
+        write_raw_csv(customers.withColumn("city", _accented("city")), os.path.join(folder, "Customers.csv"))
+        products = products.withColumn("product_name", _accented("product_name"))
+        even = F.coalesce(F.length("product_name") % 2 == 0, F.lit(False))
+        write_raw_csv(products.where(even), os.path.join(folder, "Products.csv", "utf8"))
+        write_raw_csv(products.where(~even).select(*reversed(products.columns)),
+                      os.path.join(folder, "Products.csv", "latin"), encoding="ISO-8859-1")
+        write_raw_csv(orders, os.path.join(folder, "orders.csv"))
+        return ingest_folder(spark, folder, out)
+
+    return _once(spark, sf_dir, "ingest", make)
+
+
 def q_ingest_raw_csv(spark, sf_dir):
-    """Raw customers written as a CSV folder in the shared scratch area, then ingested."""
-    folder = scratch_path(spark, "ingest")
-    write_raw_csv(driver_raw.raw_customers(spark, sf_dir), os.path.join(folder, "Customers.csv"))
-    return load_raw_folder(spark, folder)["raw_customers"].df
+    return _ingested(spark, sf_dir)[0]["customers"]
+
+
+def q_ingest_raw_products(spark, sf_dir):
+    return _ingested(spark, sf_dir)[0]["products"]
+
+
+def q_ingest_raw_orders(spark, sf_dir):
+    return _ingested(spark, sf_dir)[0]["orders"]
+
+
+def q_ingest_counts(spark, sf_dir):
+    """Files and rows that the ingest reported, beside what its raw layer holds."""
+    raw, counts = _ingested(spark, sf_dir)
+    rows = None
+    for name, df in raw.items():
+        told = counts[f"raw_{name}"]
+        part = df.agg(F.count(F.lit(1)).alias("held")).select(
+            F.lit(f"raw_{name}").alias("table_name"), F.lit(told["files"] > 0).alias("has_files"),
+            F.when(F.col("held") == told["rows"], F.col("held")).alias("n_rows"))
+        rows = part if rows is None else rows.union(part)
+    return rows
 
 
 # --- rules (C1-C14, C20) -------------------------------------------------------
@@ -165,26 +227,26 @@ def q_rule_null_if_before(spark, sf_dir):
 
 
 def q_rule_net_amount(spark, sf_dir):
-    stg = stage.stage_orders(driver_raw.raw_orders(spark, sf_dir))
+    stg = stage.stage_orders(driver_raw.raw_orders(spark, sf_dir), KEY_TYPE)
     return stg.select("order_id", "total_amount_usd", "discount_pct",
                       R.net_amount("total_amount_usd", "discount_pct").alias("net_amount_usd"))
 
 
 # --- dedup and stage (W1, W2, C15-C17) -----------------------------------------
 def q_dedup_oldest_customer(spark, sf_dir):
-    return stage.oldest_customer_rows(driver_raw.raw_customers(spark, sf_dir))
+    return stage.oldest_customer_rows(driver_raw.raw_customers(spark, sf_dir), KEY_TYPE)
 
 
 def q_stage_customers(spark, sf_dir):
-    return stage.stage_customers(driver_raw.raw_customers(spark, sf_dir), COUNTRY)
+    return stage.stage_customers(driver_raw.raw_customers(spark, sf_dir), COUNTRY, KEY_TYPE)
 
 
 def q_stage_products(spark, sf_dir):
-    return stage.stage_products(driver_raw.raw_products(spark, sf_dir))
+    return stage.stage_products(driver_raw.raw_products(spark, sf_dir), KEY_TYPE)
 
 
 def q_stage_orders(spark, sf_dir):
-    return stage.stage_orders(driver_raw.raw_orders(spark, sf_dir))
+    return stage.stage_orders(driver_raw.raw_orders(spark, sf_dir), KEY_TYPE)
 
 
 # --- star schema (S9, J1, J2, C20) ---------------------------------------------
@@ -212,8 +274,15 @@ def q_protect_card(spark, sf_dir):
 
 # --- checks (A7, J6, S9) -------------------------------------------------------
 def q_check_duplicate_keys(spark, sf_dir):
-    cleaned = stage.clean_customers(driver_raw.raw_customers(spark, sf_dir))
-    return checks.duplicate_keys(cleaned, "customer_id")
+    return checks.duplicate_keys(stage.clean_customers(driver_raw.raw_customers(spark, sf_dir), KEY_TYPE), "customer_id")
+
+
+def q_check_duplicate_products(spark, sf_dir):
+    return checks.duplicate_keys(stage.clean_products(driver_raw.raw_products(spark, sf_dir), KEY_TYPE), "product_id")
+
+
+def q_check_duplicate_orders(spark, sf_dir):
+    return checks.duplicate_keys(stage.clean_orders(driver_raw.raw_orders(spark, sf_dir), KEY_TYPE), "order_id")
 
 
 def q_check_orphan_orders(spark, sf_dir):
@@ -221,27 +290,42 @@ def q_check_orphan_orders(spark, sf_dir):
     return checks.orphans(lay.stg_orders, lay.dim_customers, "customer_id")
 
 
+def q_check_orphan_products(spark, sf_dir):
+    lay = _layers(spark, sf_dir)
+    return checks.orphans(lay.stg_orders, lay.dim_products, "product_id")
+
+
 def q_check_text_lengths(spark, sf_dir):
-    return checks.too_long(_layers(spark, sf_dir).dim_customers, "customer_id",
-                           model.CUSTOMER_TEXT_LIMITS)
+    """Sizes tight enough to find rows in all three tables."""
+    lay = _layers(spark, sf_dir)
+    rows = None
+    for name, df, key, limits in (
+            ("stg_c", lay.dim_customers, "customer_id", {"first_name": 7, "email": 26, "city": 8}),
+            ("stg_p", lay.dim_products, "product_id", {"product_name": 20, "category": 20}),
+            ("fact", lay.fact_ventas, "order_id", {"status": 2, "credit_card_last4": 4})):
+        part = checks.too_long(df, key, limits).select(
+            F.lit(name).alias("table_name"), F.col(key).alias("row_key"), "column_name", "length")
+        rows = part if rows is None else rows.union(part)
+    return rows
+
+
+def q_check_dropped_rows(spark, sf_dir):
+    lay = _layers(spark, sf_dir)
+    return checks.dropped_rows(*_raw(spark, sf_dir), lay.stg_customers, lay.stg_products, lay.stg_orders, KEY_TYPE)
 
 
 # --- reports (R1-R3) -------------------------------------------------------------
 # The reports read the published (protected) layer written by the layered run,
-# as the reference's last phase reads the tables of the earlier phases. The
-# run is written once per Spark application and input folder, under the
-# shared scratch folder, and reused by the three reports.
-_RUNS: dict[tuple[str, str], str] = {}
-
-
+# as the reference's last phase reads the tables of the earlier phases.
 def published_layer(spark: SparkSession, sf_dir: str):
-    key = (spark.conf.get("spark.app.id", ""), os.path.abspath(sf_dir))
-    out = _RUNS.get(key)
-    if out is None:
+    def make():
         out = scratch_path(spark, "layers")
         raw = dict(zip(("customers", "products", "orders"), _raw(spark, sf_dir)))
-        run_layers(spark, raw, out, country=COUNTRY)
-        _RUNS[key] = out
+        run_layers(spark, raw, out, country=COUNTRY, key_type=KEY_TYPE)
+        return out
+
+    out = _once(spark, sf_dir, "layers", make)
+
     def read(name):
         return read_layer(spark, os.path.join(out, "protected", name)).drop("fecha_carga")
     return read("fact_ventas"), read("dim_customers"), read("dim_products")

@@ -57,14 +57,14 @@ def main() -> None:
         write_layer(df, os.path.join(base, f"raw_{name}"))
     raw = {n: read_layer(spark, os.path.join(base, f"raw_{n}")) for n in raw}
     out = os.path.join(base, "layers")
-    rep = run_layers(spark, raw, out, country="AMERICA")
+    rep = run_layers(spark, raw, out, country="AMERICA", key_type="bigint")
     stg_o = read_layer(spark, os.path.join(out, "stg_orders")).drop("fecha_actualizacion_stage")
     dim_c = read_layer(spark, os.path.join(out, "analytics/dim_customers"))
     dim_p = read_layer(spark, os.path.join(out, "analytics/dim_products"))
     sections = [
-        ("stage_customers (W1 + C15-C17)", stage.stage_customers(raw["customers"], "AMERICA"),
+        ("stage_customers (W1 + C15-C17)", stage.stage_customers(raw["customers"], "AMERICA", "bigint"),
          False),
-        ("stage_orders (clean + W2 + C14)", stage.stage_orders(raw["orders"]), False),
+        ("stage_orders (clean + W2 + C14)", stage.stage_orders(raw["orders"], "bigint"), False),
         ("fact_ventas (J1, J2 semi joins + C20)", model.fact_sales(stg_o, dim_c, dim_p), False),
         ("check orphans (J6)", checks.orphans(stg_o, dim_c, "customer_id"), False),
         ("R1 top customers, latest quarter", rep.top_customers, True),

@@ -13,6 +13,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import rules as R
+
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys that occur more than once, and the NULL key if present.
@@ -55,6 +57,41 @@ def key_and_length_violations(df: DataFrame, key: str, limits: Mapping[str, int]
     return df.groupBy(key).agg(*aggs).filter(bad)
 
 
+def dropped_rows(raw_c: DataFrame, raw_p: DataFrame, raw_o: DataFrame, stg_c: DataFrame, stg_p: DataFrame,
+                 stg_o: DataFrame, key_type: str = "int") -> DataFrame:
+    """(table_name, rule, n_rows): how many rows each rule of the run leaves out.
+
+    ``no key``: rows whose key is NULL after cleaning. ``repeated key``: rows
+    beyond the one kept per key. ``country or names``: customers left out by the
+    stage filters. ``unknown customer`` / ``unknown product``: staged orders whose
+    key the dimension lacks (a NULL key counts).
+    """
+    def counted(name: str, raw: DataFrame, key: str) -> DataFrame:
+        clean = raw.select(R.key_int(key, key_type).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        return clean.agg(
+            F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("n"))), F.lit(0)).alias("no key"),
+            F.coalesce(F.sum(F.when(F.col("k").isNotNull(), F.col("n") - 1)), F.lit(0)).alias("repeated key"),
+            F.count("k").alias("keys")).withColumn("table_name", F.lit(name))
+
+    def rules(df: DataFrame) -> DataFrame:
+        pairs = F.array(*[F.struct(F.lit(r).alias("rule"), F.col(f"`{r}`").cast("bigint").alias("n_rows"))
+                          for r in ("no key", "repeated key")])
+        return df.select("table_name", F.inline(pairs))
+
+    def missing(dim: DataFrame, key: str, rule: str) -> DataFrame:
+        gone = stg_o.groupBy(key).agg(F.count(F.lit(1)).alias("n")).join(dim.select(key), key, "left_anti")
+        return gone.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows")) \
+            .select(F.lit("orders").alias("table_name"), F.lit(rule).alias("rule"), "n_rows")
+
+    customers = counted("customers", raw_c, "customer_id")
+    kept = stg_c.agg(F.count(F.lit(1)).alias("n")).scalar()
+    filtered = customers.select("table_name", F.lit("country or names").alias("rule"), (F.col("keys") - kept).alias("n_rows"))
+    return (rules(customers).union(filtered).union(rules(counted("products", raw_p, "product_id")))
+            .union(rules(counted("orders", raw_o, "order_id")))
+            .union(missing(stg_c, "customer_id", "unknown customer"))
+            .union(missing(stg_p, "product_id", "unknown product")))
+
+
 def assert_empty(df: DataFrame, what: str) -> None:
     """Fail the run when a check finds rows (reads at most one row)."""
     if df.limit(1).count() > 0:

@@ -30,7 +30,7 @@ PRODUCT_TEXT_LIMITS = {"product_name": 255, "category": 150, "supplier": 150, "a
 FACT_TEXT_LIMITS = {"status": 100, "payment_method": 100, "credit_card_last4": 50}
 
 _TYPES = {
-    "customer_id": "int", "product_id": "int", "order_id": "int", "age": "int",
+    "age": "int",
     "stock_units": "int", "quantity": "int",
     "price_usd": "decimal(10,2)", "cost_usd": "decimal(10,2)",
     "unit_price_usd": "decimal(10,2)", "total_amount_usd": "decimal(10,2)",
@@ -40,21 +40,24 @@ _TYPES = {
 }
 
 
-def _typed(df: DataFrame, columns) -> DataFrame:
+_KEYS = ("customer_id", "product_id", "order_id")
+
+
+def _typed(df: DataFrame, columns, key_type: str) -> DataFrame:
     """Select the declared columns in order, each cast to its declared type."""
     out = []
     for c in columns:
-        t = _TYPES.get(c)
+        t = key_type if c in _KEYS else _TYPES.get(c)
         out.append(F.col(c).cast(t).alias(c) if t else F.col(c))
     return df.select(*out)
 
 
-def dim_customers(stg_customers: DataFrame) -> DataFrame:
-    return _typed(stg_customers, DIM_CUSTOMER_COLUMNS)
+def dim_customers(stg_customers: DataFrame, key_type: str = "int") -> DataFrame:
+    return _typed(stg_customers, DIM_CUSTOMER_COLUMNS, key_type)
 
 
-def dim_products(stg_products: DataFrame) -> DataFrame:
-    return _typed(stg_products, DIM_PRODUCT_COLUMNS)
+def dim_products(stg_products: DataFrame, key_type: str = "int") -> DataFrame:
+    return _typed(stg_products, DIM_PRODUCT_COLUMNS, key_type)
 
 
 def keep_existing(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
@@ -68,11 +71,11 @@ def with_net_amount(df: DataFrame) -> DataFrame:
                          R.net_amount("total_amount_usd", "discount_pct"))
 
 
-def fact_sales(stg_orders: DataFrame, dim_c: DataFrame, dim_p: DataFrame) -> DataFrame:
+def fact_sales(stg_orders: DataFrame, dim_c: DataFrame, dim_p: DataFrame, key_type: str = "int") -> DataFrame:
     """The sales fact: stage orders with a known customer and product, plus net amount.
 
     The customer test goes first: the country filter makes it the more
     selective one, so the product join sees fewer rows.
     """
     known = keep_existing(keep_existing(stg_orders, dim_c, "customer_id"), dim_p, "product_id")
-    return _typed(with_net_amount(known), FACT_COLUMNS)
+    return _typed(with_net_amount(known), FACT_COLUMNS, key_type)

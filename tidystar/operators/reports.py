@@ -2,15 +2,13 @@
 
 Scale notes
 -----------
-* One-row statistics are partial aggregates on every task with one tiny final
-  row: the mean and deviation of R3 are a scalar subquery fed to the main
-  plan as a value; the quarter bounds of R1 are read first (one row) so the
-  date range becomes a filter pushed into the Parquet scan. There is no cross
-  join and nothing larger than one row reaches the driver.
-* Facts are aggregated *before* they meet a dimension (per customer for R1,
-  per month and product for R2). The join then sees one row per group
-  instead of one per sale, and a key holding a third of all sales is already
-  collapsed by the map-side partial aggregate when it reaches the shuffle.
+* One-row statistics (the quarter bounds of R1, the mean and deviation of R3) are
+  scalar subqueries: partial aggregates on every task, one final row, fed to the
+  main plan as a value. There is no cross join, and nothing is collected.
+* R1 counts per customer before it meets the dimension. R2 joins first and then
+  groups by month and category: a few hundred partial rows per task are shuffled
+  instead of nearly one per sale. No join carries a hint; Spark broadcasts a
+  dimension by its measured size and otherwise splits skewed partitions.
 * Sorts sit at the very end; the top-k is a ``TakeOrderedAndProject``.
 """
 
@@ -23,19 +21,13 @@ SUM_TYPE = "decimal(38,2)"
 
 
 def latest_quarter_bounds(fact: DataFrame, date_col: str = "order_date"):
-    """A1: (first instant of the newest date's calendar quarter, newest date).
+    """A1: scalar (lo, hi): first instant of the newest date's calendar quarter, newest date.
 
-    One partial-aggregate job; a single row reaches the driver. The bounds
-    come back as text so they can be used as TIMESTAMP_NTZ literals, which
-    Catalyst pushes into the Parquet scan (row groups outside the quarter are
-    skipped). ``(None, None)`` when there is no dated row.
+    Both are NULL when there is no dated row.
     """
     d = F.max(date_col)
-    start = F.make_timestamp_ntz(F.year(d), (F.quarter(d) - 1) * 3 + 1, F.lit(1),
-                                 F.lit(0), F.lit(0), F.lit(0))
-    row = fact.agg(F.date_format(start, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("lo"),
-                   F.date_format(d, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("hi")).first()
-    return row.lo, row.hi
+    start = F.make_timestamp_ntz(F.year(d), (F.quarter(d) - 1) * 3 + 1, F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    return fact.agg(F.struct(start.alias("lo"), d.alias("hi")).alias("s")).scalar()
 
 
 def full_name(first: str = "first_name", last: str = "last_name"):
@@ -44,47 +36,28 @@ def full_name(first: str = "first_name", last: str = "last_name"):
                     F.coalesce(F.col(last), F.lit("")))
 
 
-# Most candidate customers R1 brings to the driver (ids and counts only).
-CANDIDATE_LIMIT = 10_000
-
-
 def top_customers_latest_quarter(fact: DataFrame, dim_c: DataFrame, n: int = 3,
                                  keys_checked: bool = False) -> DataFrame:
-    """The ``n`` customers with most distinct orders in the latest quarter.
+    """The ``n`` customers with most orders in the latest quarter.
 
     The quarter runs from its first day to the newest order (not 90 days,
     not the last full quarter). Ties: more orders first, then name, then id.
 
-    ``keys_checked=True`` states that every fact customer is in ``dim_c``
-    (``run_layers`` verifies it before any report runs). Then only customers
-    whose count reaches the ``n``-th largest count (a distributed top-k) can
-    be in the answer; all ties are kept, so the result stays exact. When at
-    most ``CANDIDATE_LIMIT`` candidates exist (checked with a bounded collect)
-    the dimension is read with an ``isin`` filter and joined to the candidates
-    as a local relation: neither side is shuffled, whatever the size of the
-    dimension. Otherwise the candidates take the adaptive join path.
+    ``keys_checked=True`` states what ``run_layers`` verifies: order ids are unique
+    in ``fact`` and every fact customer is in ``dim_c``. Orders are then counted
+    instead of counted distinct (a map-side sum), and only customers at or above
+    the ``n``-th largest count, ties included, go on to the dimension.
     """
-    lo, hi = latest_quarter_bounds(fact)
-    if hi is None:
-        in_quarter = fact.filter(F.lit(False))
-    else:
-        in_quarter = fact.filter(
-            (F.col("order_date") >= F.lit(lo).cast("timestamp_ntz"))
-            & (F.col("order_date") <= F.lit(hi).cast("timestamp_ntz")))
-    counts = in_quarter.groupBy("customer_id").agg(
-        F.count_distinct("order_id").alias("cantidad_pedidos"))
-    names = dim_c.select("customer_id", "first_name", "last_name")
+    bounds = latest_quarter_bounds(fact)
+    in_quarter = fact.filter((F.col("order_date") >= bounds.getField("lo"))
+                             & (F.col("order_date") <= bounds.getField("hi")))
+    orders = F.count("order_id") if keys_checked else F.count_distinct("order_id")
+    counts = in_quarter.groupBy("customer_id").agg(orders.alias("cantidad_pedidos"))
     if keys_checked:
         kth = (counts.orderBy(F.desc("cantidad_pedidos")).limit(n)
                .agg(F.min("cantidad_pedidos")).scalar())
         counts = counts.filter(F.col("cantidad_pedidos") >= kth)
-        rows = counts.limit(CANDIDATE_LIMIT + 1).collect()
-        if len(rows) <= CANDIDATE_LIMIT:
-            # at most CANDIDATE_LIMIT (id, count) pairs: a proven size bound, so
-            # broadcasting them keeps the dimension side free of any shuffle
-            counts = F.broadcast(fact.sparkSession.createDataFrame(rows, schema=counts.schema))
-            names = names.filter(F.col("customer_id").isin([r.customer_id for r in rows]))
-    named = counts.join(names, on="customer_id", how="inner")
+    named = counts.join(dim_c.select("customer_id", "first_name", "last_name"), on="customer_id", how="inner")
     out = named.select(F.col("customer_id"), full_name().alias("nombre_completo"),
                        F.col("cantidad_pedidos"))
     return out.orderBy(F.desc("cantidad_pedidos"), F.asc("nombre_completo"),
@@ -96,17 +69,11 @@ def revenue_by_month_category(fact: DataFrame, dim_p: DataFrame) -> DataFrame:
 
     A NULL order date forms its own (NULL, NULL) group, as in SQL.
     """
-    per_product = fact.groupBy(
-        F.year("order_date").alias("ano"), F.month("order_date").alias("mes"), "product_id",
-    ).agg(F.sum(F.col("total_amount_usd").cast(SUM_TYPE)).alias("rev"))
-    joined = per_product.join(dim_p.select("product_id", "category"), on="product_id",
-                              how="inner")
-    out = joined.groupBy("ano", "mes", F.col("category").alias("categoria")).agg(
-        F.sum("rev").cast(SUM_TYPE).alias("revenue_total"))
-    return (out.select(F.col("ano").cast("bigint").alias("ano"),
-                       F.col("mes").cast("bigint").alias("mes"),
-                       "categoria", "revenue_total")
-               .orderBy(F.desc("revenue_total"), "ano", "mes", "categoria"))
+    out = fact.join(dim_p.select("product_id", "category"), on="product_id", how="inner").groupBy(
+        F.year("order_date").cast("bigint").alias("ano"), F.month("order_date").cast("bigint").alias("mes"),
+        F.col("category").alias("categoria"),
+    ).agg(F.sum(F.col("total_amount_usd").cast(SUM_TYPE)).cast(SUM_TYPE).alias("revenue_total"))
+    return out.orderBy(F.desc("revenue_total"), "ano", "mes", "categoria")
 
 
 def total_stats(fact: DataFrame, col: str = "total_amount_usd"):

@@ -26,10 +26,10 @@ ORDER_COLUMNS = ("order_id", "customer_id", "product_id", "quantity", "unit_pric
                  "discount_pct", "credit_card_last4")
 
 
-def clean_customers(raw: DataFrame) -> DataFrame:
+def clean_customers(raw: DataFrame, key_type: str = "int") -> DataFrame:
     """Typed, cleaned customers, one row per raw row."""
     return raw.select(
-        R.key_int("customer_id").alias("customer_id"),
+        R.key_int("customer_id", key_type).alias("customer_id"),
         R.clean_text("first_name").alias("first_name"),
         R.clean_text("last_name").alias("last_name"),
         R.clean_text("email").alias("email"),
@@ -42,10 +42,10 @@ def clean_customers(raw: DataFrame) -> DataFrame:
     )
 
 
-def clean_products(raw: DataFrame) -> DataFrame:
+def clean_products(raw: DataFrame, key_type: str = "int") -> DataFrame:
     money = "decimal(10,2)"
     return raw.select(
-        R.key_int("product_id").alias("product_id"),
+        R.key_int("product_id", key_type).alias("product_id"),
         R.clean_text("product_name").alias("product_name"),
         R.clean_text("category").alias("category"),
         R.floor_zero(R.safe_decimal("price_usd", 10, 2), 0, money).alias("price_usd"),
@@ -56,14 +56,14 @@ def clean_products(raw: DataFrame) -> DataFrame:
     )
 
 
-def clean_orders(raw: DataFrame) -> DataFrame:
+def clean_orders(raw: DataFrame, key_type: str = "int") -> DataFrame:
     """Typed, cleaned order lines; quantity repaired (C13), ship date not yet checked."""
     unit = R.safe_decimal("unit_price_usd", 10, 2)
     total = R.safe_decimal("total_amount_usd", 10, 2)
     return raw.select(
-        R.key_int("order_id").alias("order_id"),
-        R.key_int("customer_id").alias("customer_id"),
-        R.key_int("product_id").alias("product_id"),
+        R.key_int("order_id", key_type).alias("order_id"),
+        R.key_int("customer_id", key_type).alias("customer_id"),
+        R.key_int("product_id", key_type).alias("product_id"),
         R.ratio_if_invalid(R.safe_int("quantity"), total, unit).alias("quantity"),
         unit.alias("unit_price_usd"),
         total.alias("total_amount_usd"),
@@ -76,14 +76,14 @@ def clean_orders(raw: DataFrame) -> DataFrame:
     )
 
 
-def stage_customers(raw: DataFrame, country: str = DEFAULT_COUNTRY) -> DataFrame:
+def stage_customers(raw: DataFrame, country: str = DEFAULT_COUNTRY, key_type: str = "int") -> DataFrame:
     """Oldest row per customer, then the country and not-all-empty filters.
 
     The order of steps is the reference's: deduplicate over all countries
     first, filter after, so a customer whose oldest row is elsewhere drops
     out. An undated row sorts first, as in the reference's ascending order.
     """
-    cleaned = clean_customers(raw).filter(F.col("customer_id").isNotNull())
+    cleaned = clean_customers(raw, key_type).filter(F.col("customer_id").isNotNull())
     ties = [c for c in CUSTOMER_COLUMNS if c not in ("customer_id", "registration_date")]
     flagged = first_per_key_flag(cleaned, ["customer_id"],
                                  [F.col("registration_date").asc_nulls_first()], ties)
@@ -92,21 +92,21 @@ def stage_customers(raw: DataFrame, country: str = DEFAULT_COUNTRY) -> DataFrame
     return flagged.filter(keep).drop(RN)
 
 
-def oldest_customer_rows(raw: DataFrame) -> DataFrame:
+def oldest_customer_rows(raw: DataFrame, key_type: str = "int") -> DataFrame:
     """W1 alone: the oldest row per customer over every country."""
     ties = [c for c in CUSTOMER_COLUMNS if c not in ("customer_id", "registration_date")]
-    return keep_first(clean_customers(raw), ["customer_id"],
+    return keep_first(clean_customers(raw, key_type), ["customer_id"],
                       [F.col("registration_date").asc_nulls_first()], ties)
 
 
-def stage_products(raw: DataFrame) -> DataFrame:
+def stage_products(raw: DataFrame, key_type: str = "int") -> DataFrame:
     """One row per product (W2): any row in the reference; here the first by all columns."""
     ties = [c for c in PRODUCT_COLUMNS if c != "product_id"]
-    return keep_first(clean_products(raw), ["product_id"], (), ties)
+    return keep_first(clean_products(raw, key_type), ["product_id"], (), ties)
 
 
-def stage_orders(raw: DataFrame) -> DataFrame:
+def stage_orders(raw: DataFrame, key_type: str = "int") -> DataFrame:
     """One row per order id (W2), then the ship-date rule (C14)."""
     ties = [c for c in ORDER_COLUMNS if c != "order_id"]
-    first = keep_first(clean_orders(raw), ["order_id"], (), ties)
+    first = keep_first(clean_orders(raw, key_type), ["order_id"], (), ties)
     return first.withColumn("ship_date", R.null_if_before("ship_date", "order_date"))

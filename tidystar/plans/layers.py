@@ -21,9 +21,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import model, protect, reports, stage
-from ..operators.checks import assert_empty, key_and_length_violations, orphans, too_long
-from ..sources.csv_folder import PRIMARY_ENCODING, conf_bytes, detect_encodings, \
-    load_raw_folder, observed_raw
+from ..operators.checks import assert_empty, dropped_rows, key_and_length_violations
+from ..sources.csv_folder import RAW_PREFIX, list_csv_entries, raw_table
 from ..sources.tables import read_layer, with_load_stamp, write_layer
 
 
@@ -42,13 +41,14 @@ class Layers:
 
 
 def build_layers(raw_customers: DataFrame, raw_products: DataFrame, raw_orders: DataFrame,
-                 country: str = stage.DEFAULT_COUNTRY) -> Layers:
-    stg_c = stage.stage_customers(raw_customers, country)
-    stg_p = stage.stage_products(raw_products)
-    stg_o = stage.stage_orders(raw_orders)
-    dim_c = model.dim_customers(stg_c)
-    dim_p = model.dim_products(stg_p)
-    return Layers(stg_c, stg_p, stg_o, dim_c, dim_p, model.fact_sales(stg_o, dim_c, dim_p))
+                 country: str = stage.DEFAULT_COUNTRY, key_type: str = "int") -> Layers:
+    """``key_type`` is the type of the ids: INT as the reference declares, or BIGINT."""
+    stg_c = stage.stage_customers(raw_customers, country, key_type)
+    stg_p = stage.stage_products(raw_products, key_type)
+    stg_o = stage.stage_orders(raw_orders, key_type)
+    dim_c = model.dim_customers(stg_c, key_type)
+    dim_p = model.dim_products(stg_p, key_type)
+    return Layers(stg_c, stg_p, stg_o, dim_c, dim_p, model.fact_sales(stg_o, dim_c, dim_p, key_type))
 
 
 def in_parallel(*jobs: Callable[[], object], workers: int = 4) -> list:
@@ -68,8 +68,10 @@ class Reports:
     top_customers: DataFrame
     revenue: DataFrame
     outliers: DataFrame
-    # Rows read per raw table (filled by ``run_from_folder``)
-    row_counts: dict[str, int] = field(default_factory=dict)
+    #: Lazy (table_name, rule, n_rows): what each rule of the run left out.
+    dropped: DataFrame | None = None
+    #: Files and rows read per raw table (filled by ``run_from_folder``).
+    counts: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
 def build_reports(fact: DataFrame, dim_c: DataFrame, dim_p: DataFrame,
@@ -80,7 +82,7 @@ def build_reports(fact: DataFrame, dim_c: DataFrame, dim_p: DataFrame,
 
 
 def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
-               country: str = stage.DEFAULT_COUNTRY, check: bool = True,
+               country: str = stage.DEFAULT_COUNTRY, check: bool = True, key_type: str = "int",
                on_step: Callable[[str, float], None] | None = None) -> Reports:
     """Write stage, analytics and protected layers under ``out_dir``; return the reports.
 
@@ -100,7 +102,7 @@ def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
         clock[0] = now
 
     # Stage layer: one write per table, load stamp added on write only.
-    built = build_layers(raw["customers"], raw["products"], raw["orders"], country)
+    built = build_layers(raw["customers"], raw["products"], raw["orders"], country, key_type)
     in_parallel(*[
         (lambda df=df, name=name: write_layer(with_load_stamp(df, "fecha_actualizacion_stage"),
                                               path(name)))
@@ -113,33 +115,28 @@ def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     step("stage")
 
     # Analytics layer (unprotected; kept private to the run).
-    dim_c = model.dim_customers(stg_c)
-    dim_p = model.dim_products(stg_p)
+    dim_c = model.dim_customers(stg_c, key_type)
+    dim_p = model.dim_products(stg_p, key_type)
     in_parallel(lambda: write_layer(dim_c, path("analytics/dim_customers")),
                 lambda: write_layer(dim_p, path("analytics/dim_products")))
     dim_c = read_layer(spark, path("analytics/dim_customers"))
     dim_p = read_layer(spark, path("analytics/dim_products"))
-    write_layer(model.fact_sales(stg_o, dim_c, dim_p), path("analytics/fact_ventas"))
+    write_layer(model.fact_sales(stg_o, dim_c, dim_p, key_type), path("analytics/fact_ventas"))
     fact = read_layer(spark, path("analytics/fact_ventas"))
     step("analytics")
 
     if check:
-        # Keys, references and the declared VARCHAR(n) sizes: any offending row
-        # fails the run, as the reference's constraints would fail its inserts.
-        # One grouped scan per dimension covers its key and its text sizes.
-        in_parallel(
-            lambda: assert_empty(key_and_length_violations(
-                dim_c, "customer_id", model.CUSTOMER_TEXT_LIMITS),
-                "dim_customers primary key / text lengths"),
-            lambda: assert_empty(key_and_length_violations(
-                dim_p, "product_id", model.PRODUCT_TEXT_LIMITS),
-                "dim_products primary key / text lengths"),
-            lambda: assert_empty(orphans(fact, dim_c, "customer_id"),
-                                 "fact_ventas -> dim_customers"),
-            lambda: assert_empty(orphans(fact, dim_p, "product_id"),
-                                 "fact_ventas -> dim_products"),
-            lambda: assert_empty(too_long(fact, "order_id", model.FACT_TEXT_LIMITS),
-                                 "fact_ventas text lengths"))
+        # Keys and the declared VARCHAR(n) sizes: any offending row fails the run,
+        # as the reference's constraints would fail its inserts. One grouped scan
+        # per table covers its key and its text sizes. References hold by the
+        # fact's own semi joins; ``dropped`` tells what those left out.
+        in_parallel(*[
+            (lambda df=df, key=key, limits=limits, what=what: assert_empty(
+                key_and_length_violations(df, key, limits), f"{what} primary key / text lengths"))
+            for df, key, limits, what in (
+                (dim_c, "customer_id", model.CUSTOMER_TEXT_LIMITS, "dim_customers"),
+                (dim_p, "product_id", model.PRODUCT_TEXT_LIMITS, "dim_products"),
+                (fact, "order_id", model.FACT_TEXT_LIMITS, "fact_ventas"))])
         step("checks")
 
     # Protected layer: the only one the reports read.
@@ -156,85 +153,41 @@ def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     p_dim_p = read_layer(spark, path("protected/dim_products")).drop("fecha_carga")
     p_fact = read_layer(spark, path("protected/fact_ventas")).drop("fecha_carga")
     step("protect")
-    return build_reports(p_fact, p_dim_c, p_dim_p, keys_checked=check)
+    found = build_reports(p_fact, p_dim_c, p_dim_p, keys_checked=check)
+    found.dropped = dropped_rows(raw["customers"], raw["products"], raw["orders"],
+                                 stg_c, stg_p, stg_o, key_type)
+    return found
 
 
-# Upper bound for the initial shuffle partition count set by ``size_shuffles``.
-MAX_INITIAL_PARTITIONS = 100_000
-
-
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Raise AQE's initial shuffle partition count to cover ``input_bytes``.
-
-    No shuffle of the layered run is larger than its input, so input bytes
-    divided by the advisory partition size bounds the partitions any shuffle
-    needs; AQE coalesces the smaller shuffles back down. The setting is only
-    ever raised (never below ``spark.sql.shuffle.partitions``) and capped.
-    Returns the number in force.
-    """
-    advisory = conf_bytes(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
-    current = int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-                                 None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(MAX_INITIAL_PARTITIONS, -(-input_bytes // max(advisory, 1)))
-    if wanted > current:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
-        return wanted
-    return current
-
-
-def ingest_folder(spark: SparkSession, in_dir: str, out_dir: str,
-                  multiline: bool | str = "auto",
-                  sized_shuffles: bool = True) -> tuple[dict[str, DataFrame], dict[str, int]]:
+def ingest_folder(spark: SparkSession, in_dir: str,
+                  out_dir: str) -> tuple[dict[str, DataFrame], dict[str, dict[str, int]]]:
     """Phase 1 (S1-S5, S13): every CSV entry of ``in_dir`` written as ``raw_<name>``.
 
-    Tables of modest files are parsed once as UTF-8 while they are written;
-    only a table in which the parser had to substitute U+FFFD gets the exact
-    byte-level test, and only if that fails is it read again as Latin-1 and
-    rewritten (S4). With ``multiline="auto"`` (default) a table holding a file
-    larger than one scan split first gets one splittable text pass that fixes
-    its encoding and whether it needs the one-task-per-file multi-line parser,
-    so a single file with a large share of the rows is still parsed by many
-    tasks unless its quoted cells really contain line breaks.
-    ``sized_shuffles`` lets the listed input size raise AQE's initial shuffle
-    partition count (see ``size_shuffles``).
     Returns the raw tables read back from the written layer (keyed without the
-    ``raw_`` prefix) and the number of rows read per table.
+    ``raw_`` prefix) and, per table, the number of files and rows read.
     """
-    tables = load_raw_folder(spark, in_dir, multiline=multiline, check_encoding=False)
-    if sized_shuffles:
-        size_shuffles(spark, sum(t.size_bytes for t in tables.values()))
-
-    def ingest_one(name: str, table) -> int:
-        path = os.path.join(out_dir, name)
-        write_layer(table.df, path)
-        if table.saw_replacement():
-            encoding = detect_encodings(spark, {name: table.files})[name]
-            if encoding != PRIMARY_ENCODING:
-                table = observed_raw(spark, name, table.files, encoding,
-                                     table.extra.get("multiline", True))
-                write_layer(table.df, path)
-        return table.row_count()
-
-    names = sorted(tables)
-    rows = in_parallel(*[(lambda n=n: ingest_one(n, tables[n])) for n in names])
-    counts = dict(zip(names, rows))
-    raw = {n[len("raw_"):]: read_layer(spark, os.path.join(out_dir, n)) for n in names}
-    return raw, counts
+    def ingest_one(name: str, path: str, n_files: int) -> dict[str, int]:
+        table = raw_table(spark, name, path, n_files)
+        write_layer(table.df, os.path.join(out_dir, name))
+        return {"files": table.n_files, "rows": table.row_count()}
+
+    entries = list_csv_entries(spark, in_dir)
+    found = in_parallel(*[(lambda n=n, e=e: ingest_one(n, *e)) for n, e in entries.items()])
+    raw = {n[len(RAW_PREFIX):]: read_layer(spark, os.path.join(out_dir, n)) for n in entries}
+    return raw, dict(zip(entries, found))
 
 
 def run_from_folder(spark: SparkSession, in_dir: str, out_dir: str,
-                    country: str = stage.DEFAULT_COUNTRY, multiline: bool | str = "auto",
-                    on_step: Callable[[str, float], None] | None = None,
-                    sized_shuffles: bool = True) -> Reports:
+                    country: str = stage.DEFAULT_COUNTRY, key_type: str = "int",
+                    on_step: Callable[[str, float], None] | None = None) -> Reports:
     """E1 whole: CSV folder -> raw -> stage -> analytics -> protected -> reports."""
     t0 = time.perf_counter()
-    raw, counts = ingest_folder(spark, in_dir, os.path.join(out_dir, "raw"), multiline,
-                                sized_shuffles)
+    raw, counts = ingest_folder(spark, in_dir, os.path.join(out_dir, "raw"))
     missing = {"customers", "products", "orders"} - set(raw)
     if missing:
         raise FileNotFoundError(f"input folder lacks {sorted(missing)} CSV files: {in_dir}")
     if on_step:
         on_step("ingest", time.perf_counter() - t0)
-    reports = run_layers(spark, raw, out_dir, country=country, on_step=on_step)
-    reports.row_counts = counts
+    reports = run_layers(spark, raw, out_dir, country=country, key_type=key_type, on_step=on_step)
+    reports.counts = counts
     return reports

@@ -2,8 +2,9 @@
 
 The library never picks a machine-local folder on a cluster: scratch and
 lineage-cutting writes go under the folder the cluster names in
-``spark.checkpoint.dir``. Only when that setting is absent (local runs and
-tests) is a private temporary folder created and registered.
+``spark.checkpoint.dir``. Only a local master may leave that setting out (tests);
+then a private temporary folder is created and registered. Elsewhere its absence
+is an error.
 """
 
 from __future__ import annotations
@@ -56,22 +57,18 @@ def get_session(master: str | None = None, app_name: str = "tidystar",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a private one only if unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # e.g. a Spark Connect session: no driver-side context
-        sc = None
-    if sc is not None:
-        current = sc.getCheckpointDir()
-        if current:
-            return current
-        configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset: a local run or a test. Never reached on a configured cluster.
-        configured = tempfile.mkdtemp(prefix="tidystar-ckpt-")
-    if sc is not None:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    return configured
+        master = sc.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="tidystar-ckpt-")  # a local run or a test
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

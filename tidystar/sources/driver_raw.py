@@ -31,8 +31,9 @@ RAW_ORDER_COLUMNS = ("order_id", "customer_id", "product_id", "unit_price_usd",
                      "payment_method", "discount_pct", "credit_card_last4")
 
 _SPARK_FMT = {"iso": "yyyy-MM-dd", "slash": "yyyy/MM/dd", "us": "MM/dd/yyyy",
-              "compact": "yyyyMMdd"}
-_DUCK_FMT = {"iso": "%Y-%m-%d", "slash": "%Y/%m/%d", "us": "%m/%d/%Y", "compact": "%Y%m%d"}
+              "compact": "yyyyMMdd", "named": "MMM d yyyy", "short": "M-d-yy"}
+_DUCK_FMT = {"iso": "%Y-%m-%d", "slash": "%Y/%m/%d", "us": "%m/%d/%Y", "compact": "%Y%m%d",
+             "named": "%b %-d %Y", "short": "%-m-%-d-%y"}
 
 
 def _date_text(expr: str, style: str, dialect: str) -> str:
@@ -100,6 +101,15 @@ def customer_exprs(dialect: str) -> tuple[list[tuple[str, str]], list[tuple[str,
             ELSE {age} END"""),
         ("registration_date", f"""CASE WHEN {k} % 31 = 7 THEN '2019-02-30'
             WHEN {k} % 37 = 11 THEN 'unknown'
+            WHEN {k} % 29 = 1 THEN {iso} || ' 08:30'
+            WHEN {k} % 29 = 2 THEN {iso} || ' 08:30:59.' || lpad({_s(f'({k} * 31) % 1000')}, 3, '0')
+            WHEN {k} % 29 = 3 THEN {_date_text(reg, 'us', dialect)} || ' 10:30:00'
+            WHEN {k} % 29 = 4 THEN {iso} || 'T08:30:00.5'
+            WHEN {k} % 29 = 5 THEN {_date_text(reg, 'compact', dialect)} || ' 08:30:00'
+            WHEN {k} % 29 = 6 THEN {_date_text(reg, 'named', dialect)}
+            WHEN {k} % 29 = 7 THEN {_date_text(reg, 'short', dialect)} || ' 7:05'
+            WHEN {k} % 29 = 8 THEN {iso} || chr(10)
+            WHEN {k} % 29 = 9 THEN {iso} || 'T08:30'
             WHEN {k} % 8 = 6 THEN {_q(iso)}
             WHEN {k} % 5 = 0 THEN {iso}
             WHEN {k} % 5 = 1 THEN {_date_text(reg, 'slash', dialect)}
@@ -133,7 +143,6 @@ def customer_exprs(dialect: str) -> tuple[list[tuple[str, str]], list[tuple[str,
 
 
 
-
 def product_exprs(dialect: str) -> tuple[list[tuple[str, str]], list[tuple[str, str]]]:
     k = "p_partkey"
     s = _s(k)
@@ -156,6 +165,7 @@ def product_exprs(dialect: str) -> tuple[list[tuple[str, str]], list[tuple[str,
             WHEN {k} % 17 = 2 THEN 'abc'
             WHEN {k} % 19 = 3 THEN '1e3'
             WHEN {k} % 31 = 6 THEN '1,234.50'
+            WHEN {k} % 37 = 8 THEN {price} || chr(10)
             WHEN {k} % 29 = 5 THEN {price} || '5'
             WHEN {k} % 7 = 6 THEN {_q(price)}
             ELSE {price} END"""),
@@ -164,11 +174,13 @@ def product_exprs(dialect: str) -> tuple[list[tuple[str, str]], list[tuple[str,
             ELSE {cost} END"""),
         ("stock_units", f"""CASE WHEN {k} % 8 = 2 THEN 'x' || {stock}
             WHEN {k} % 12 = 5 THEN {_q(stock)}
+            WHEN {k} % 21 = 4 THEN {stock} || chr(10)
             ELSE {stock} END"""),
         ("supplier", f"""CASE WHEN {k} % 13 = 4 THEN NULL
             WHEN {k} % 9 = 2 THEN 'PROVEEDOR ' || {_s(f'{k} % 10')}
             WHEN {k} % 11 = 3 THEN 'PROVEEDOR AB'
             WHEN {k} % 15 = 5 THEN ' "proveedor x" '
+            WHEN {k} % 17 = 6 THEN {sup} || chr(10)
             WHEN {k} % 7 = 1 THEN lower({sup})
             ELSE {sup} END"""),
         ("active", f"""CASE {k} % 8 WHEN 0 THEN '1' WHEN 1 THEN 'true' WHEN 2 THEN 'Activo'
@@ -189,7 +201,6 @@ def product_exprs(dialect: str) -> tuple[list[tuple[str, str]], list[tuple[str,
 
 
 
-
 def order_exprs(dialect: str) -> list[tuple[str, str]]:
     k = "(l_orderkey * 10 + l_linenumber)"
     s = _s(k)
@@ -206,6 +217,7 @@ def order_exprs(dialect: str) -> list[tuple[str, str]]:
         ("order_id", f"""CASE WHEN {k} % 97 = 5 THEN 'X' || {s}
             WHEN {k} % 17 = 3 THEN {_q(s)}
             WHEN {k} % 19 = 4 THEN ' ' || {s}
+            WHEN {k} % 101 = 9 THEN {s} || chr(10)
             ELSE {s} END"""),
         ("customer_id", f"""CASE WHEN {k} % 13 = 2 THEN {_q(cs)}
             WHEN {k} % 11 = 5 AND o_custkey >= 10 THEN substr({cs}, 1, 1) || ' ' || substr({cs}, 2)
@@ -266,6 +278,13 @@ def _select(df: DataFrame, exprs: list[tuple[str, str]]) -> DataFrame:
     return df.selectExpr(*[f"{e} AS {name}" for name, e in exprs])
 
 
+def _two_rows(df: DataFrame, base: list[tuple[str, str]], second: list[tuple[str, str]]) -> DataFrame:
+    """Both copies of every source row from one scan."""
+    copies = [f"named_struct({', '.join(f"'{name}', CAST({e} AS STRING)" for name, e in exprs)})"
+              for exprs in (base, second)]
+    return df.selectExpr(f"inline(array({', '.join(copies)}))")
+
+
 def raw_customers(spark: SparkSession, base_dir: str) -> DataFrame:
     """customer x nation x region -> raw customers (all text), two rows per customer."""
     nation = load_table(spark, base_dir, "nation")
@@ -273,15 +292,12 @@ def raw_customers(spark: SparkSession, base_dir: str) -> DataFrame:
     src = (load_table(spark, base_dir, "customer")
            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
            .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
-    base, second = customer_exprs("spark")
-    return _select(src, base).unionByName(_select(src, second))
+    return _two_rows(src, *customer_exprs("spark"))
 
 
 def raw_products(spark: SparkSession, base_dir: str) -> DataFrame:
     """part -> raw products (all text), two rows per part."""
-    src = load_table(spark, base_dir, "part")
-    base, second = product_exprs("spark")
-    return _select(src, base).unionByName(_select(src, second))
+    return _two_rows(load_table(spark, base_dir, "part"), *product_exprs("spark"))
 
 
 def raw_orders(spark: SparkSession, base_dir: str) -> DataFrame:

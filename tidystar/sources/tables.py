@@ -8,29 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-# Most partitions ``spread`` asks for. Scans with more partitions than this
-# are already split enough and are never reshuffled.
-SPREAD_CAP = 256
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan of a single split over the cluster's cores.
 
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields too few partitions for the cluster.
-
-    A single unsplittable file (one Parquet row group, a multi-line CSV) is
-    read by one task, and all the row-level cleaning after it would run on one
-    core. Such a scan is spread over ``min(default parallelism, SPREAD_CAP)``
-    partitions; a scan that already has that many passes unchanged, so a large
-    well-split table is never shuffled just for parallelism.
+    One Parquet row group is read by one task, and all row-level cleaning after
+    it would run on one core. Only a scan of one partition is spread, so at most
+    one split is ever moved; any other scan passes unchanged.
     """
-    try:
-        target = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism,
-                                       SPREAD_CAP)
-        partitions = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. Spark Connect): leave the scan as it is
+    if df.rdd.getNumPartitions() > 1:
         return df
-    if partitions < target:
-        return df.repartition(target)
-    return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def load_table(spark: SparkSession, base_dir: str, name: str,
