@@ -2,7 +2,7 @@
 
 Training, on the driver in numpy, uses a bounded sample of labelled rows:
 ``DOCS_PER_LANG`` documents of each of the ``MAX_LANGS`` most frequent labels,
-chosen by a hash of the row, with an excerpt of ``EXCERPT`` characters each.
+chosen by a hash of id and text, with an excerpt of ``EXCERPT`` characters each.
 The network embeds bytes, applies filters of widths 2, 3 and 4, takes the
 maximum over a window and a softmax over the labels.
 
@@ -188,19 +188,26 @@ def _train(x: np.ndarray, y: np.ndarray, labels: list[str], epochs: int, seed: i
                          [params[f"k{w}"] for w in WIDTHS], params["bias"], params["dense"], params["offset"])
 
 
-def fit(docs: DataFrame, learn: Column, lang_col: str = "lang", text_col: str = "text",
+def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text",
         docs_per_lang: int = DOCS_PER_LANG, epochs: int = 6, seed: int = 7) -> LanguageModel:
     """Learn from a bounded sample of the rows of ``docs`` where ``learn`` holds."""
     rows = docs.where(learn).where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")) \
-        .select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    names = [r["lang"] for r in rows.groupBy("lang").count()
-             .orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
-    labels = sorted(n for n in names if n != UNDETERMINED)
+        .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count()
+              .orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()}
+    labels = sorted(n for n in counts if n != UNDETERMINED)
     if not labels:
         return LanguageModel([])
-    key = F.xxhash64("text")
+    key = F.xxhash64("id", "text")
+    # of a frequent label about four times the wanted rows pass a threshold on the key, so
+    # that few rows of it meet in one task; the smallest keys among them are taken
+    share = F.lit(0)
+    for label in labels:
+        bound = int(min(1.0, 4 * docs_per_lang / counts[label]) * (2 ** 31 - 1))
+        share = F.when(F.col("lang") == label, bound).otherwise(share)
+    rows = rows.where(F.col("lang").isin(labels)).where(F.pmod(key, F.lit(2 ** 31 - 1)) < share)
     begin = F.pmod(key, F.greatest(F.length("text") - EXCERPT, F.lit(1)))
-    sample = rows.where(F.col("lang").isin(labels)).select(
+    sample = rows.select(
         "lang", key.alias("key"), F.substring("text", begin.cast("int") + 1, F.lit(EXCERPT)).alias("excerpt"))
     sample = sample.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("key", "excerpt"))) \
         .where(F.col("n") <= docs_per_lang).orderBy("lang", "key", "excerpt").collect()
