@@ -114,8 +114,9 @@ def token_counts(spark: SparkSession, urls: DataFrame, tokens: list[str]) -> dic
     wanted = spark.createDataFrame([(t,) for t in tokens], "token string")
     found = urls.select(F.explode(F.array_distinct(F.split(
         F.translate("target", _UPPER, _LOWER), "[^a-z0-9]+"))).alias("token"))
-    return {r["token"]: r["n"] for r in found.join(wanted, "token", "left_semi")
-            .groupBy("token").agg(F.count("*").alias("n")).collect()}
+    # counted before the join: a token that most URLs share costs one row per task
+    return {r["token"]: r["n"] for r in found.groupBy("token").agg(F.count("*").alias("n"))
+            .join(wanted, "token", "left_semi").collect()}
 
 
 def judge_urls(spark: SparkSession, pages: DataFrame, rules: list[Rule], id_col: str = "page_id",
