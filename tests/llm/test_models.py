@@ -93,6 +93,15 @@ def test_statistics_of_long_and_empty_texts():
     assert (stats[0] == stats[1]).all()
 
 
+def test_a_text_cut_into_slices_scores_as_a_whole(language_model, monkeypatch):
+    column = pa.array([("the words of this text are read " * 400)])
+    scorer = language_id.Scorer(language_model)
+    data, offsets = language_id.text_buffers(column)
+    whole = scorer.texts(data, offsets)
+    monkeypatch.setattr(language_id, "SLICE_BYTES", 10 * language_id.WINDOW)
+    assert np.allclose(scorer.texts(data, offsets), whole)
+
+
 def test_isotonic_is_monotone():
     rng = np.random.default_rng(0)
     x = np.sort(rng.random(300))

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidystar.llm.common import annotate, text_buffers
+from tidystar.llm.common import SLICE_BYTES, annotate, text_buffers
 
 #: Bounds of the training sample.
 DOCS_PER_LANG = 400
@@ -124,15 +124,24 @@ class Scorer:
 
     def texts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """(texts, labels) mean probabilities; zeros for a text without letters."""
-        out = np.zeros((len(offsets) - 1, len(self.model.labels)))
+        if len(offsets) == 2 and len(data) > 2 * SLICE_BYTES:  # one very long text: so many windows at a time
+            parts = [self._sums(data[a:a + SLICE_BYTES], np.array([0, len(data[a:a + SLICE_BYTES])]))
+                     for a in range(0, len(data), SLICE_BYTES)]
+            sums, weight = sum(p[0] for p in parts), sum(p[1] for p in parts)
+        else:
+            sums, weight = self._sums(data, offsets)
+        return sums / np.maximum(weight, 1)[:, None]
+
+    def _sums(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per text: probabilities of its windows weighted by their letters, and the letters."""
+        sums, total = np.zeros((len(offsets) - 1, len(self.model.labels))), np.zeros(len(offsets) - 1)
         x, doc = windows(data, offsets)
         if len(x):
             weight = (x > 2).sum(axis=1).astype(np.float64)
             firsts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-            total = np.add.reduceat(weight, firsts)
-            sums = np.add.reduceat(self.probabilities(x) * weight[:, None], firsts)
-            out[doc[firsts]] = sums / np.maximum(total, 1)[:, None]
-        return out
+            total[doc[firsts]] = np.add.reduceat(weight, firsts)
+            sums[doc[firsts]] = np.add.reduceat(self.probabilities(x) * weight[:, None], firsts)
+        return sums, total
 
 
 def _train(x: np.ndarray, y: np.ndarray, labels: list[str], epochs: int, seed: int) -> LanguageModel:

@@ -63,8 +63,11 @@ def document_stats(column: pa.Array) -> np.ndarray:
     """(texts, N_STATS) statistics of whole texts."""
     data, offsets = text_buffers(column)
     n, sizes = len(offsets) - 1, np.diff(offsets)
-    doc = np.repeat(np.arange(n, dtype=np.int64), sizes)
-    counts = np.bincount(doc * 16 + _KINDS[data], minlength=16 * n)[:16 * n].reshape(n, 16).astype(float)
+    if n == 1:  # a very long text is alone in its slice
+        counts = np.bincount(_KINDS[data], minlength=16)[None].astype(float)
+    else:
+        doc = np.repeat(np.arange(n, dtype=np.int64), sizes)
+        counts = np.bincount(doc * 16 + _KINDS[data], minlength=16 * n)[:16 * n].reshape(n, 16).astype(float)
     share = counts / np.maximum(sizes, 1)[:, None]
     words, bounds = word_hashes(data, offsets)
     n_words = np.diff(bounds)
