@@ -35,6 +35,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import csv as pa_csv
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -110,7 +111,8 @@ def _literal(name: str) -> str:
 
 
 # --- cutting records -----------------------------------------------------------------
-_NEXT = re.compile(rb"[,\r]")
+#: Where something happens in an unquoted cell: a record end, or a cell that opens with a quote.
+_NEXT = re.compile(rb',"|\r')
 
 
 def _after_quote(line: bytes, at: int) -> int:
@@ -127,10 +129,10 @@ def _after_quote(line: bytes, at: int) -> int:
 def scan_line(line: bytes, inside: bool) -> tuple[list[tuple[int, int]], bool]:
     """Record ends of one line (without its LF), as (end, next begin), and whether it ends inside a quoted cell."""
     cuts: list[tuple[int, int]] = []
-    at, n = 0, len(line)
-    cell = not inside  # ``at`` begins a cell
+    at = 0
+    opened = inside or line.startswith(b'"')  # ``at`` lies in or opens a quoted cell
     while True:
-        if inside or (cell and line[at:at + 1] == b'"'):
+        if opened:
             at = _after_quote(line, at if inside else at + 1)
             if at < 0:
                 return cuts, True
@@ -140,9 +142,11 @@ def scan_line(line: bytes, inside: bool) -> tuple[list[tuple[int, int]], bool]:
             return cuts, False
         if found[0] == b"\r":
             cuts.append((found.start(), found.end()))
-        at, cell = found.end(), True
-        if at >= n:
-            return cuts, False
+            at = found.end()
+            opened = line.startswith(b'"', at)
+        else:
+            at = found.end() - 1
+            opened = True
 
 
 def cut_records(lines: Iterator[bytes], inside: bool):
@@ -178,6 +182,43 @@ def _blank(record: bytes) -> bool:
     return not record.strip(b" \t")
 
 
+def whole_lines(lines: pa.Array) -> tuple[pa.Array, list[bytes]] | None:
+    """(lines without a quote, records with one) if every line is a record, else None.
+
+    The lines begin outside a cell. Lines of blanks are left out; a line may end
+    with the CR of its line end.
+    """
+    quoted = pc.match_substring(lines, '"')
+    records = lines.filter(quoted).to_pylist()
+    for record in records:
+        cuts, inside = scan_line(record, False)
+        if inside or (cuts and cuts[0][0] < len(record) - 1):
+            return None
+    plain = lines.filter(pc.invert(quoted))
+    begins = pc.is_in(pc.binary_slice(plain, 0, 1), value_set=pa.array([b"", b" ", b"\t", b"\r"], lines.type))
+    if pc.any(begins).as_py():
+        keep = [not (b and _blank(x.rstrip(b"\r"))) for b, x in zip(begins.to_pylist(), plain.to_pylist())]
+        plain = plain.filter(pa.array(keep, pa.bool_()))
+    return plain, [r.removesuffix(b"\r") for r in records]
+
+
+def split_plain(lines: pa.Array, width: int, encoding: str) -> list[pa.Array] | None:
+    """Cells by column of records without quotes, or None if a record has another number of cells."""
+    data = b"\n".join(lines.to_pylist())
+    if encoding != PRIMARY_ENCODING:
+        data = data.decode(encoding).encode()
+    cells = [f"c{i}" for i in range(width)]
+    try:
+        table = pa_csv.read_csv(
+            pa.BufferReader(data),
+            pa_csv.ReadOptions(use_threads=False, column_names=cells, block_size=max(len(data) + 1, 1 << 16)),
+            pa_csv.ParseOptions(quote_char=False),
+            pa_csv.ConvertOptions(column_types=dict.fromkeys(cells, pa.string()), null_values=[], check_utf8=False))
+    except pa.ArrowInvalid:
+        return None
+    return [pa.concat_arrays(c.chunks) if c.num_chunks else pa.array([], pa.string()) for c in table.columns]
+
+
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, block, line bytes) in reading order inside each scan split."""
     return (spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
@@ -236,7 +277,9 @@ def inspect_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
             [pa.array(c, t) for c, t in zip(columns, types)],
             names=["file", "block", "from_out", "from_in", "utf8", "header"])
 
-    acts = _lines(spark, path).mapInArrow(
+    # a line without a quote matters only as a header
+    needed = F.when((F.col("block") == 0) | F.contains("line", F.lit(b'"')), F.col("line")).otherwise(F.lit(b""))
+    acts = _lines(spark, path).withColumn("line", needed).mapInArrow(
         run, "file string, block bigint, from_out boolean, from_in boolean, utf8 boolean, header binary")
     return acts.withColumn("utf8", F.min("utf8").over(Window.partitionBy("file"))) \
         .withColumn("header", F.first("header", ignorenulls=True).over(Window.partitionBy("file")))
@@ -310,6 +353,20 @@ def _records(lines: DataFrame, columns: list[str], headers: list[list[str]]) ->
         now, inside, skip, encoding, names = None, False, False, PRIMARY_ENCODING, columns
         held, held_first = b"", False  # what is open at the end of a batch
 
+        def out_whole(plain, quoted):
+            """Rows of a run of lines that are all records, or None."""
+            found = split_plain(plain, len(names), encoding) if len(plain) else [pa.array([], pa.string())] * len(names)
+            if found is None:
+                return None
+            if quoted:
+                rest = _parse([r.decode(encoding) for r in quoted], names, now[0])
+                found = [pa.concat_arrays([a, pa.array(b, pa.string())]) for a, b in zip(found, rest)]
+            n, by_name = len(found[0]), dict(zip(names, found))
+            arrays = [by_name.get(c, pa.nulls(n, pa.string())) for c in columns]
+            arrays += [pa.nulls(n, t) for t in (pa.string(), pa.int64(), pa.int32(), pa.binary())]
+            return pa.RecordBatch.from_arrays(
+                arrays, names=[*cells, "piece_file", "piece_block", "piece_kind", "piece"])
+
         def out(records, pieces):
             found = _placed([r.decode(encoding) for r in records], names, columns, now[0])
             arrays = [pa.array([*c, *[None] * len(pieces)], pa.string()) for c in found]
@@ -328,6 +385,18 @@ def _records(lines: DataFrame, columns: list[str], headers: list[list[str]]) ->
                 encoding = FALLBACK_ENCODING if part.column("latin")[0].as_py() else PRIMARY_ENCODING
                 names = headers[part.column("header")[0].as_py()]
                 skip = key[1] == 0  # the header record
+                if skip:
+                    for i, line in enumerate(texts.slice(0, 100).to_pylist()):
+                        if not _blank(line.removesuffix(b"\r")):
+                            if b'"' not in line and b"\r" not in line[:-1]:
+                                texts, skip = texts.slice(i + 1), False
+                            break
+            if not inside and not skip:
+                whole = whole_lines(texts)
+                rows = out_whole(*whole) if whole else None
+                if rows is not None:
+                    yield rows
+                    continue
             records, pieces = [], []
             for text, complete, first in cut_records(iter(texts.to_pylist()), inside):
                 if first:  # goes on with what the last batch, or the last split, left open
@@ -396,13 +465,15 @@ def read_raw_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     for i, h in enumerate(found):
         number = F.when((F.col("header") == F.lit(bytes(h.header))) & (F.col("utf8") == h.utf8), i).otherwise(number)
     unusual = _unusual(inspected, number)
-    n_unusual, crossing = unusual.agg(F.count(F.lit(1)), F.max("crossing")).first()
+    some = unusual.limit(BROADCAST_ROWS + 1).collect()
     lines = _lines(spark, path).select("file", "block", "line")
-    if n_unusual <= BROADCAST_ROWS:  # a measured bound; a broadcast join keeps the lines' order
-        unusual = spark.createDataFrame(unusual.collect(), unusual.schema)
+    if len(some) <= BROADCAST_ROWS:  # a measured bound; a broadcast join keeps the lines' order
+        crossing = any(r.crossing for r in some)
+        unusual = spark.createDataFrame(some, unusual.schema)
         lines = lines.join(F.broadcast(unusual), ["file", "block"], "left")
         inspected.unpersist()
     else:
+        crossing = not unusual.where("crossing").isEmpty()
         lines = lines.withColumn("at", F.monotonically_increasing_id()).join(unusual, ["file", "block"], "left") \
             .repartition("file", "block").sortWithinPartitions("file", "block", "at")
     plain = [F.coalesce("inside", F.lit(False)).alias("inside"), F.coalesce("latin", F.lit(False)).alias("latin"),
