@@ -15,9 +15,9 @@ row per class, so large groups of copies cost one row each.
    are bit operations inside Spark.
 4. Survivors are confirmed on full sets. Components of confirmed links follow by
    distributed minimum-label propagation with pointer jumping.
-5. Band keys whose classes still lie in different components are searched for
-   links between components: only pairs across components that pass the b-bit
-   estimate leave the join and are confirmed; components are then closed.
+5. Classes that met the same central class but still lie in different components
+   are searched for links: pairs are tested by estimate and full sets inside the
+   join, and only links leave it; components are then closed.
 
 With 24 bands of 4 rows (the first 96 minima) a pair of similarity 0.8 shares no
 band with probability 3e-6, and the margin is more than 4 standard deviations of
@@ -260,22 +260,40 @@ def _star_pairs(buckets: DataFrame, classes: DataFrame, threshold: float) -> Dat
             .where(estimate_passes("x", "y", threshold)).select("a", "b"))
 
 
-def _cross_pairs(buckets: DataFrame, classes: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of one band key that lie in different components and pass the estimate.
+def _cross_links(spark: SparkSession, docs: DataFrame, buckets: DataFrame, classes: DataFrame, labels: DataFrame,
+                 k: int, threshold: float) -> DataFrame | None:
+    """Links between classes that met the same central class but lie in different components.
 
-    A pair with several common keys leaves the join at the first of them only.
+    Pairs are tested where they meet and only links leave the join. First a semi
+    join finds the classes that have any partner across components by the estimate;
+    only those bring their sets. Band keys of two classes hold no untested pair.
     """
-    rows = buckets.join(labels, "node", "left") \
-        .select("key", "node", F.coalesce("label", "node").alias("comp"))
-    split = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
-        .where(F.col("lo") != F.col("hi")).select("key")
-    rows = rows.join(split, "key", "left_semi") \
-        .join(classes.select("node", "n_shingles", "bands", *_SIG), "node")
+    rows = buckets.where("n > 2").select("head", "node").distinct().join(labels, "node", "left") \
+        .select("head", "node", F.coalesce("label", "node").alias("comp"))
+    split = rows.groupBy("head").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
+        .where(F.col("lo") != F.col("hi")).select("head")
+    rows = rows.join(split, "head", "left_semi").join(classes.select("node", "n_shingles", *_SIG), "node")
     x, y = rows.alias("x"), rows.alias("y")
-    first = F.array_intersect("x.bands", "y.bands")[0] == F.col("x.key")
-    return (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp"))
-                   & estimate_passes("x", "y", threshold) & first)
-            .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")))
+    near = cut_lineage(spark, x.join(
+        y, (F.col("x.head") == F.col("y.head")) & (F.col("x.comp") != F.col("y.comp"))
+        & estimate_passes("x", "y", threshold), "left_semi"), "near")
+    if near.isEmpty():
+        return None
+    sets = cut_lineage(spark, _sets_of(docs, classes, near.select("node").distinct(), k), "sets")
+    full = near.join(sets.dropDuplicates(["node"]), "node")
+    x, y = full.alias("x"), full.alias("y")
+    pct = round(100 * threshold)
+    common = F.size(F.array_intersect("x.shingles", "y.shingles"))
+    linked = (100 + pct) * common >= pct * (F.col("x.n_shingles") + F.col("y.n_shingles"))
+    return (x.join(y, (F.col("x.head") == F.col("y.head")) & (F.col("x.comp") < F.col("y.comp"))
+                   & estimate_passes("x", "y", threshold) & linked)
+            .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
+
+
+def _sets_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """(node, shingles) of the documents that stand for the classes ``nodes`` (and perhaps others of their ids)."""
+    reps = classes.join(nodes, "node", "left_semi").select(F.col("doc_id").alias("rep")).distinct()
+    return class_sets(docs.join(reps, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi"), k)
 
 
 def confirm(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int,
@@ -285,10 +303,8 @@ def confirm(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: Dat
     ``docs`` has doc_id and text. Only documents that stand for a class of some
     pair are read into sets.
     """
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    reps = classes.join(nodes, "node", "left_semi").select(F.col("doc_id").alias("rep")).distinct()
-    texts = docs.join(reps, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
-    sets = cut_lineage(spark, class_sets(texts, k), "sets").dropDuplicates(["node"])
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = cut_lineage(spark, _sets_of(docs, classes, nodes, k), "sets").dropDuplicates(["node"])
     common = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - F.col("common")
     return (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
@@ -340,14 +356,12 @@ def near_duplicate_classes(spark: SparkSession, docs: DataFrame, shingle_words:
     central = buckets.groupBy("node").agg(F.sum("n").alias("met"))
     heads = buckets.join(central, "node").groupBy("key") \
         .agg(F.max(F.struct("met", "node")).alias("top")).select("key", F.col("top.node").alias("head"))
-    buckets = buckets.join(heads, "key")
+    buckets = cut_lineage(spark, buckets.join(heads, "key"), "headed")
     stars = cut_lineage(spark, _star_pairs(buckets, classes, threshold), "stars")
     edges = cut_lineage(spark, confirm(spark, docs, classes, stars, shingle_words, threshold), "edges")
     labels = components(spark, edges)
-    cross = cut_lineage(spark, _cross_pairs(buckets.select("key", "node"), classes, labels, threshold)
-                        .join(stars, ["a", "b"], "left_anti"), "cross")
-    if not cross.isEmpty():
-        more = confirm(spark, docs, classes, cross, shingle_words, threshold)
+    more = _cross_links(spark, docs, buckets, classes, labels, shingle_words, threshold)
+    if more is not None:
         labels = components(spark, cut_lineage(spark, edges.union(more), "edges"))
     named = classes.select("node", "doc_id").join(labels, "node", "left") \
         .select("node", "doc_id", F.coalesce("label", "node").alias("label"))
