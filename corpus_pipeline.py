@@ -21,10 +21,15 @@ LEAST_QUALITY = 0.3
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters whose language the model recognises (NULL or letterless texts go)."""
+    """Documents with letters whose language the model recognises (NULL or letterless texts go).
+
+    Without any labelled document there is no language to miss: all texts with letters stay.
+    """
     share_package(spark)
     lang, score = fresh_name(docs, "stage_lang"), fresh_name(docs, "stage_score")
     model = language_id.fit(docs, F.lit(True))
+    if not model.labels:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     found = language_id.predict(docs, model, docs.columns, lang_out=lang, score_out=score)
     return found.where((F.col(lang) != language_id.UNDETERMINED)
                        & (F.col(score) >= LEAST_LANGUAGE_SCORE)).drop(lang, score)
