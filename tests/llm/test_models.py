@@ -136,3 +136,9 @@ def test_pipeline_of_odd_documents(spark, odd_docs):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF)
     assert empty.count() == 0
+
+
+def test_pipeline_without_language_labels_keeps_texts_with_letters(spark, odd_docs):
+    docs = odd_docs.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.keep_identified(spark, docs, SF).collect()
+    assert len(kept) == sum(any(c.isalpha() for c in t or "") for t in ODD_TEXTS) + 3
