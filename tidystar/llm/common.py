@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from tidystar.session import scratch_path
 
 #: Text bytes that a task unpacks into numpy arrays at a time.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
