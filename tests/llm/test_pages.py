@@ -160,6 +160,25 @@ def test_markup(html, text):
     assert html_extract.main_text(html, None) == text
 
 
+PROSE = "long prose of the page " * 20
+
+
+@pytest.mark.parametrize("html,text", [
+    *[(f"<div class='box'><p>x</p></div><{tag} class='{names}'><p>{PROSE}</p></{tag.split()[0]}>", PROSE.strip()) for tag, names in (
+        ("article", "post category-promo"), ("article", "post tag-notice"), ("article", "comment"), ("div", "entry elementor-widget"),
+        ("div", "entry tag-notice"), ("div", "search-results"), ("div id=related", "social"), ("div", "page-with-sidebar"))],
+    ("<article><p class='byline'>by A</p><ul class='toc'><li>one</ul><figure><img src=x><figcaption>cap</figcaption></figure>"
+     "<fieldset>set</fieldset><p>e <math><mi>x</mi></math> <object>o</object> <noscript>n</noscript></p></article>",
+     "by A\n\none\n\ncap\n\nset\n\ne x o n"),
+    ("<div class='notice'><p>only text</p></div>", "only text"),
+    (f"<div class='ad-frame'><h1>T</h1><p>{PROSE}</p><div class='ads'>no</div></div><p>end</p>", "T\n\n" + PROSE.strip()),
+    (f"<article><p>a</p></article><div id='comments'><article class='comment'>{PROSE}</article></div>", "a"),
+    ("<div hidden>no</div><nav><p>no</p></nav>", ""),
+])
+def test_names_do_not_drop_content(html, text):
+    assert html_extract.main_text(html, None) == text
+
+
 def test_random_markup_never_fails():
     rng = random.Random(5)
     parts = ["<p>", "</p>", "<div class='a1'>", "</div>", "<b>", "</b>", "<a href=x>", "</a>", "t ", "&amp;", "<li>", "</ul>", "<ul>",

@@ -15,6 +15,11 @@ measured size is at most ``BROADCAST_BYTES``, else in Spark's adaptive join.
 A block is the text between two block-level boundaries: character references
 decoded, white space runs one space, trimmed; blocks join by a blank line.
 
+Left out: menus, headers, footers, sidebars, notices, adverts, forms and comments,
+by tag, role or the first or last word of a class or id, and what is not shown
+(scripts, styles, drawings, hidden elements). ``article`` and ``main`` never go by
+their own names, and no name empties a page that has text (see ``Page``).
+
 Defined results: NULL or empty html gives the empty text; a NULL url has the
 empty host, whose pages vote together; unclosed or stray tags are closed as a
 browser would; an unclosed comment, script or style reaches to the end of the
@@ -37,23 +42,26 @@ BROADCAST_BYTES = 16 << 20
 
 # Element names of HTML and words that name page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript iframe noembed noframes template svg math object".split())
+RAW = frozenset("script style title textarea iframe noembed noframes template svg".split())
 BLOCK = frozenset((
     "html body head address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol optgroup option p pre search "
     "section select summary table tbody td tfoot th thead tr caption ul button").split())
-DROPPED = frozenset(
-    "nav header footer aside form menu button select dialog fieldset figcaption head search".split())
+DROPPED = frozenset("nav header footer aside form menu button select dialog head search".split())
 CONTAINER = frozenset("body article main section div td blockquote center table".split())
-FURNITURE = frozenset((
-    "ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline comment comments "
-    "consent cookie cookies disqus footer form gdpr header login masthead menu menus modal nav navbar navigation "
-    "newsletter notice notices notification overlay pager pagination popup popups promo promos promotion related "
-    "replies reply respond search share sharing sidebar sidebars signup skip social sponsor sponsored subscribe "
-    "subscription tags toc toolbar topbar widget widgets").split())
+#: Menus, headers, footers, sidebars and forms: layout, so such a name on most of a page's text is not one of them.
+LAYOUT = frozenset((
+    "breadcrumb breadcrumbs footer form header masthead menu menubar menus nav navbar navigation pager pagination "
+    "sidebar sidebars topbar").split())
+#: Notices, adverts and comments: may be longer than what they stand beside.
+ASIDE = frozenset((
+    "ad ads advert adverts advertisement advertising adsense comment comments consent cookie cookies disqus gdpr notice "
+    "notices notification sponsored").split())
+#: Whole names of content: a name beside them only counts if it is furniture as a whole.
+CONTENT = frozenset("article content entry hentry post story".split())
 _FURNITURE_ROLES = frozenset(
     "navigation banner contentinfo complementary search form menu menubar dialog alert toolbar".split())
-_PRE_WORDS = frozenset("has with no not without is".split())
+_PRE_WORDS = frozenset("has with no not without is tag category".split())
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
            "th": ("td", "th"), "option": ("option",), "optgroup": ("option", "optgroup"),
            "tbody": ("tr", "td", "th", "tbody", "thead"), "tfoot": ("tr", "td", "th", "tbody", "thead")}
@@ -72,11 +80,12 @@ _WORDS = re.compile(r"[A-Za-z0-9]+")
 
 
 class Element:
-    __slots__ = ("tag", "step", "parent", "dropped", "score", "order")
+    __slots__ = ("tag", "step", "parent", "dropped", "gone", "named", "size", "headed", "score", "order")
 
-    def __init__(self, tag, step, parent, dropped, order):
+    def __init__(self, tag, step, parent, dropped, gone, named, order):
         self.tag, self.step, self.parent, self.dropped, self.order = tag, step, parent, dropped, order
-        self.score = 0.0
+        self.gone, self.named = gone, named  # dropped by tag, role or hidden; furniture by class or id
+        self.size, self.headed, self.score = 0, tag in ("h1", "main"), 0.0
 
     def path(self) -> str:
         steps, node = [], self
@@ -86,22 +95,48 @@ class Element:
         return ">".join(reversed(steps))
 
 
-def _furniture(name: str) -> bool:
-    """Whether a class or id names page furniture: its first or last word does."""
-    words = [w.lower() for w in _WORDS.findall(name)]
-    return bool(words) and words[0] not in _PRE_WORDS and (words[0] in FURNITURE or words[-1] in FURNITURE)
+def _furniture(names: list[str]) -> frozenset | None:
+    """LAYOUT or ASIDE if a class or id names page furniture: its first or last word does."""
+    content = not CONTENT.isdisjoint(n.lower() for n in names)
+    for name in names:
+        words = [w.lower() for w in _WORDS.findall(name)]
+        if not words or words[0] in _PRE_WORDS or (content and len(words) > 1):
+            continue
+        for kind in (ASIDE, LAYOUT):
+            if words[0] in kind or words[-1] in kind:
+                return kind
+    return None
 
 
 class Page:
-    """Blocks of a page, each with its element; furniture is left out."""
+    """Blocks of a page, each with its element; furniture is left out.
+
+    Furniture by class or id stays if nothing would be left, or if it has most of
+    the page's text outside links and is layout or holds the page's heading.
+    """
 
     def __init__(self, html: str):
+        self._read(html, frozenset())
+        named = [e for e in self.elements if e.named]
+        if named:
+            for e in reversed(self.elements):
+                if e.parent is not None:
+                    e.parent.size += e.size
+                    e.parent.headed = e.parent.headed or (e.headed and not e.gone)
+            most = self.elements[0].size / 2
+            kept = named if not self.blocks else \
+                [e for e in named if e.size > most and (e.named is LAYOUT or e.headed)]
+            if kept:
+                self._read(html, frozenset(e.order for e in kept))
+
+    def _read(self, html: str, kept: frozenset):
+        self.kept = kept  # order of the elements that stay whatever their names
         self.elements: list[Element] = []
         self.blocks: list[tuple[Element, str, int]] = []  # element, text, characters in links
         self._parse(html)
 
     def _open(self, tag: str, attrs: str, parent: Element | None) -> Element:
-        step, dropped = tag, (parent is not None and parent.dropped) or tag in DROPPED
+        step, gone, named = tag, (parent is not None and parent.gone) or tag in DROPPED, None
         if attrs and not attrs.isspace():
             classes, ids, role, hidden = "", "", "", False
             for m in _ATTR.finditer(attrs):
@@ -116,11 +151,13 @@ class Page:
                     hidden = hidden or name == "hidden" or value.lower() == "true"
             names = classes.split()
             if tag not in ("html", "body", "main"):
-                own = [*names, *ids.split()]
-                dropped = dropped or hidden or role in _FURNITURE_ROLES or any(map(_furniture, own))
+                gone = gone or hidden or role in _FURNITURE_ROLES
+                if tag != "article" and not gone and len(self.elements) not in self.kept:
+                    named = _furniture([*names, *ids.split()])
             if names:
                 step = tag + "." + ".".join(sorted({_DIGITS.sub("0", c.lower()) for c in names}))
-        element = Element(tag, step, parent, dropped, len(self.elements))
+        dropped = gone or named is not None or (parent is not None and parent.dropped)
+        element = Element(tag, step, parent, dropped, gone, named, len(self.elements))
         self.elements.append(element)
         return element
 
@@ -134,6 +171,7 @@ class Page:
             nonlocal linked
             if buffer:
                 text = " ".join("".join(buffer).split())
+                stack[-1].size += max(len(text) - linked, 0)
                 if text and not stack[-1].dropped:
                     owner = stack[-1]
                     while owner.tag not in BLOCK and owner.parent is not None:
@@ -152,7 +190,7 @@ class Page:
         while at < size:
             m = _MARKUP.search(html, at)
             stop = m.start() if m else size
-            if stop > at and not stack[-1].dropped:
+            if stop > at and not stack[-1].gone:
                 text = unescape(html[at:stop]) if "&" in html[at:stop] else html[at:stop]
                 buffer.append(text)
                 if links:
