@@ -171,7 +171,7 @@ PROSE = "long prose of the page " * 20
      "<fieldset>set</fieldset><p>e <math><mi>x</mi></math> <object>o</object> <noscript>n</noscript></p></article>",
      "by A\n\none\n\ncap\n\nset\n\ne x o n"),
     ("<div class='notice'><p>only text</p></div>", "only text"),
-    (f"<div class='ad-frame'><h1>T</h1><p>{PROSE}</p><div class='ads'>no</div></div><p>end</p>", "T\n\n" + PROSE.strip()),
+    (f"<div class='ad-frame'><h1>T</h1><p>{PROSE}</p><div class='ads'>no</div></div><div class='box'><p>end</p></div>", "T\n\n" + PROSE.strip()),
     (f"<article><p>a</p></article><div id='comments'><article class='comment'>{PROSE}</article></div>", "a"),
     ("<div hidden>no</div><nav><p>no</p></nav>", ""),
 ])
@@ -179,6 +179,33 @@ def test_names_do_not_drop_content(html, text):
     assert html_extract.main_text(html, None) == text
 
 
+LINKS = "<p>" + "<a href=x>a link to elsewhere</a> " * 6 + "</p>"
+
+
+@pytest.mark.parametrize("html,text", [
+    (f"<div class='box'><p>x</p></div><div class='post'><h1>T</h1><p>lead</p><div class='body'><p>{PROSE}</p></div></div>",
+     f"T\n\nlead\n\n{PROSE.strip()}"),
+    (f"<h1>T</h1><p>lead</p><div class='body'><p>{PROSE}</p></div>", f"T\n\nlead\n\n{PROSE.strip()}"),
+    (f"<div class='post'><section class='a'>short</section><div><section class='b'><p>{PROSE}</p></section></div></div>",
+     f"short\n\n{PROSE.strip()}"),
+    (f"<table><tr><td class='t'>T<tr><td class='b'>{PROSE}</table>", f"T\n\n{PROSE.strip()}"),
+    (f"<div class='page'><div class='links'>{LINKS}</div><div class='post'><p>{PROSE}</p></div></div>", PROSE.strip()),
+    (f"<article><p>see</p>{LINKS}</article>", "see\n\n" + ("a link to elsewhere " * 6).strip()),
+    ("<div>" * 3000 + "deep", "deep"),
+])
+def test_containers_are_whole(html, text):
+    assert html_extract.main_text(html, None) == text
+    path, size = html_extract.best_path(html)
+    assert html_extract.main_text(html, path) == text and size in (0, len(text))
+
+
+def test_lead_beside_the_winning_path_is_kept(spark):
+    inner = f"<div class='body'><p>{PROSE}</p></div>"
+    rows = [(i, "http://h.org/", f"<div class='post'>{'<h1>T</h1>' * (i == 0)}{inner}</div>") for i in range(4)]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(spark, make(spark, rows)).collect()}
+    assert got == {i: "T\n\n" * (i == 0) + PROSE.strip() for i in range(4)}
+
+
 def test_random_markup_never_fails():
     rng = random.Random(5)
     parts = ["<p>", "</p>", "<div class='a1'>", "</div>", "<b>", "</b>", "<a href=x>", "</a>", "t ", "&amp;", "<li>", "</ul>", "<ul>",

@@ -1,12 +1,14 @@
 """Main text of web pages by consensus of the pages of a host.
 
 1. Every page is parsed (narrow pass) and its containers are scored by the text
-   of their blocks outside boilerplate and links; the best container votes, with
-   its text length, for its generalised path (tags and classes from ``body``
-   down, runs of digits as ``0``).
+   of their blocks outside boilerplate and links; the best container, widened to
+   the containers around it that add text outside links (``Page.whole``), votes,
+   with its text length, for its generalised path (tags and classes from ``body``
+   down, runs of digits as ``0``). A page that is nearly all links does not vote.
 2. Spark sums the votes per host and path; the path with most votes wins its host.
-3. Pages are parsed again and give the text of the elements on the winning path;
-   a page without such an element gives its own best container.
+3. Pages are parsed again and give the text of the elements on the winning path,
+   widened in the same way; a page without such an element gives its own best
+   container, and one without that all its blocks.
 
 Votes are partial sums before the shuffle, so a hot host costs one row per path
 and task. Winning paths meet the pages in a broadcast join only if their
@@ -80,12 +82,15 @@ _WORDS = re.compile(r"[A-Za-z0-9]+")
 
 
 class Element:
-    __slots__ = ("tag", "step", "parent", "dropped", "gone", "named", "size", "headed", "score", "order")
+    __slots__ = ("tag", "step", "parent", "dropped", "gone", "named", "size", "headed", "score", "order",
+                 "key", "home")
 
     def __init__(self, tag, step, parent, dropped, gone, named, order):
         self.tag, self.step, self.parent, self.dropped, self.order = tag, step, parent, dropped, order
         self.gone, self.named = gone, named  # dropped by tag, role or hidden; furniture by class or id
         self.size, self.headed, self.score = 0, tag in ("h1", "main"), 0.0
+        self.key = 0  # number of the path
+        self.home = self if tag in CONTAINER else parent.home if parent is not None else None
 
     def path(self) -> str:
         steps, node = [], self
@@ -133,6 +138,7 @@ class Page:
         self.kept = kept  # order of the elements that stay whatever their names
         self.elements: list[Element] = []
         self.blocks: list[tuple[Element, str, int]] = []  # element, text, characters in links
+        self._keys: dict[tuple[int, str], int] = {}
         self._parse(html)
 
     def _open(self, tag: str, attrs: str, parent: Element | None) -> Element:
@@ -158,6 +164,8 @@ class Page:
                 step = tag + "." + ".".join(sorted({_DIGITS.sub("0", c.lower()) for c in names}))
         dropped = gone or named is not None or (parent is not None and parent.dropped)
         element = Element(tag, step, parent, dropped, gone, named, len(self.elements))
+        if parent is not None:
+            element.key = self._keys.setdefault((parent.key, step), len(self._keys) + 1)
         self.elements.append(element)
         return element
 
@@ -275,38 +283,64 @@ class Page:
         scored = [e for e in self.elements if e.score > 0]
         return max(scored, key=lambda e: (e.score, -e.order)) if scored else None
 
-    def within(self, roots: set[int]) -> str:
-        """The blocks inside any of the elements, in page order."""
-        inside: dict[int, bool] = {}
+    def whole(self, node: Element) -> Element:
+        """The furthest container around the elements on the path of ``node`` that adds text outside links.
 
-        def is_inside(e: Element | None) -> bool:
-            if e is None:
-                return False
-            if e.order not in inside:
-                inside[e.order] = e.order in roots or is_inside(e.parent)
-            return inside[e.order]
-
-        return "\n\n".join(text for owner, text, _ in self.blocks if is_inside(owner))
+        ``article`` and ``main`` are whole; ``body`` only counts with text of its own,
+        outside other containers.
+        """
+        root = self.elements[0]
+        prose = [0] * len(self.elements)
+        own = 0
+        for owner, text, linked in self.blocks:
+            if 2 * linked < len(text):
+                prose[owner.order] += len(text)
+                own += len(text) * (owner.home is root)
+        total: dict[int, int] = {}  # per path: elements on one path are never inside one another
+        for e in reversed(self.elements):
+            total[e.key] = total.get(e.key, 0) + prose[e.order]
+            if e.parent is not None:
+                prose[e.parent.order] += prose[e.order]
+        parent = node.parent
+        while parent is not None and node.tag not in ("article", "main"):
+            if parent.tag in CONTAINER and (own if parent is root else total[parent.key] > total[node.key]):
+                node = parent
+            parent = parent.parent
+        return node
+
+    def within(self, node: Element) -> str:
+        """The blocks inside the elements on the path of ``node``, in page order."""
+        inside = [False] * len(self.elements)
+        for e in self.elements:
+            inside[e.order] = e.key == node.key or (e.parent is not None and inside[e.parent.order])
+        return "\n\n".join(text for owner, text, _ in self.blocks if inside[owner.order])
 
 
 def best_path(html: str | None) -> tuple[str, int]:
-    """Generalised path and text length of a page's best container."""
+    """Generalised path and text length of a page's best container, made whole."""
     page = Page(html or "")
     best = page.best()
-    return (best.path(), len(page.within({best.order}))) if best else ("", 0)
+    if best is None:
+        return "", 0
+    best = page.whole(best)
+    return best.path(), len(page.within(best))
 
 
 def main_text(html: str | None, path: str | None) -> str:
-    """Text of the elements on ``path``, or of the page's own best container."""
+    """Text of the elements on ``path``, or of the page's own best container, made whole.
+
+    A page that is nearly all links has no best container and gives all its blocks.
+    """
     if not html:
         return ""
     page = Page(html)
-    roots = {e.order for e in page.elements if e.tag in CONTAINER and e.path() == path} if path else set()
-    text = page.within(roots) if roots else ""
-    if not text:
-        best = page.best()
-        text = page.within({best.order}) if best else ""
-    return text
+    firsts = {e.key: e for e in reversed(page.elements) if e.tag in CONTAINER} if path else {}
+    for node in firsts.values():
+        if node.path() == path:
+            text = page.within(page.whole(node))
+            if text:
+                return text
+    return page.within(page.whole(page.best() or page.elements[0]))
 
 
 def url_host(url: Column) -> Column:
