@@ -73,6 +73,30 @@ def test_neighbours_of_few_rows_are_exact(vectors):
     assert np.allclose([r[3] for r in sorted(tuple(r) for r in got)], [e[3] for e in expected], rtol=0, atol=1e-9)
 
 
+def test_rows_with_the_id_of_the_query_take_no_place(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(0, 1, 8).astype(np.float32).tolist()) for i in range(120)]
+    near = np.array(rows[0][1])
+    rows += [(0, (near + 0.001 * i).tolist()) for i in range(1, 40)]          # many near vectors of a query's id
+    rows += [(50, rows[50][1])] * 30 + [(119, rows[50][1])] * 2               # one vector many times, shared
+    # the same distance twice; the entry that also holds the query's id has the larger other id
+    rows += [(100, [9.0] * 8), (100, [9.0] * 7 + [10.0]), (113, [9.0] * 7 + [10.0]), (107, [10.0] + [9.0] * 7)]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows if (i, len(v)) != (100, 8) or v[0] == 9.0]
+    df = spark.createDataFrame([(*r, "x", "y", "z") for r in rows], SCHEMA)
+    for k, least in ((10, 256), (2, 30)):
+        got = sorted(tuple(r) for r in permutation_index.nearest_neighbours(
+            df, F.col("vec_id") % 50 == 0, k=k, least=least, share=0.0 if least > 200 else 0.35).collect())
+        asked = {}
+        for i, v in rows:
+            asked[i] = min(v, asked.get(i, v))
+        assert [g[:2] for g in got] == [(q, n + 1) for q in (0, 50, 100) for n in range(k)]
+        assert all(g[0] != g[2] for g in got)
+        if least > 200:
+            expected = [(q, i) for q in (0, 50, 100) for _, i in sorted(
+                (math.sqrt(((np.array(v) - asked[q]) ** 2).sum()), i) for i, v in rows if i != q)[:k]]
+            assert [(g[0], g[2]) for g in got] == expected
+
+
 def test_recall_of_the_index(spark):
     df = read_table(spark, "/root/testdata/sf0.1", "embeddings")
     got = permutation_index.nearest_neighbours(df, F.col("vec_id") % 20 == 0, k=10, shard_rows=1000).collect()

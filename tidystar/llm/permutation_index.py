@@ -9,8 +9,8 @@ shard's vectors with the smallest distance and reranks them by exact Euclidean
 distance. Every shard answers every block of queries; the merged result is the
 best of all shards.
 
-Every row is indexed. Equal vectors of a shard are one entry with its smallest
-ids, so a flood of copies cannot push others out. The share reranked is a
+Every row is indexed. Equal vectors of a shard are one entry, so a flood of copies
+cannot push others out; nor can rows with the query's own id, however many. The share reranked is a
 fraction of the shard, not a fixed number, and never below ``LEAST`` entries, so
 each query gets all candidates if there are fewer than asked for.
 
@@ -75,35 +75,53 @@ class PermutationIndex:
             away[self.entry[a:b]] += np.abs(place - p) - (k - p) - (k - place)
         return away
 
-    def nearest(self, order: np.ndarray, share: float, least: int) -> np.ndarray:
+    def nearest(self, order: np.ndarray, share: float, least: int, without: np.ndarray) -> np.ndarray:
+        """The entries to rerank; those of ``without`` take no place."""
         many = max(least, int(np.ceil(share * self.n)))
-        if many >= self.n:
-            return np.arange(self.n)
-        return np.argpartition(self.footrule(order), many)[:many]
+        if many >= self.n - len(without):
+            return np.delete(np.arange(self.n), without)
+        away = self.footrule(order)
+        away[without] = np.iinfo(away.dtype).max
+        return np.argpartition(away, many)[:many]
 
 
-def _distinct(ids: np.ndarray, x: np.ndarray, copies: int):
-    """Distinct vectors (ordered by smallest id) and up to ``copies`` smallest ids of each."""
+def _distinct(ids: np.ndarray, x: np.ndarray):
+    """Distinct vectors (ordered by smallest id), the ids of each in order, and the entry of every row."""
     raw = np.ascontiguousarray(x + 0.0).view(np.dtype((np.void, x.shape[1] * 8))).ravel()
     _, first, which = np.unique(raw, return_index=True, return_inverse=True)
     order = np.argsort(which, kind="stable")
     counts = np.bincount(which)
     begins = np.cumsum(counts) - counts
-    members = [ids[order[a:a + min(c, copies)]] for a, c in zip(begins.tolist(), counts.tolist())]
     by_id = np.argsort(first, kind="stable")
-    return x[first[by_id]], [members[i] for i in by_id]
+    place = np.empty(len(first), np.int64)
+    place[by_id] = np.arange(len(first))
+    return x[first[by_id]], [ids[order[a:a + c]] for a, c in zip(begins[by_id], counts[by_id])], place[which]
 
 
 def search_shard(ids, x, query_ids, q, pivots, k: int, prefix: int, share: float, least: int):
-    """(query_id, vec_id, distance) of the k nearest found in one shard for each query."""
-    x, members = _distinct(ids, x, k + 1)
+    """(query_id, vec_id, distance) of the k nearest found in one shard (in id order) for each query.
+
+    Rows with the query's id are left out before anything is cut.
+    """
+    x, members, entries = _distinct(ids, x)
     index = PermutationIndex(x, pivots, prefix)
+    smallest = np.array([m[0] for m in members])
+    begins, ends = np.searchsorted(ids, query_ids), np.searchsorted(ids, query_ids, side="right")
     out = []
-    for query_id, vector, order in zip(query_ids.tolist(), q, nearest_pivots(q, pivots, index.prefix)):
-        at = np.sort(index.nearest(order, share, least))
+    for query_id, vector, order, a, b in zip(query_ids.tolist(), q, nearest_pivots(q, pivots, index.prefix), begins, ends):
+        others = {e: members[e][members[e] != query_id] for e in np.unique(entries[a:b]).tolist()}
+        alone = np.array([e for e, m in others.items() if not len(m)], np.int64)
+        at = index.nearest(order, share, least, alone)
+        first_id = smallest
+        if len(others) > len(alone):
+            first_id = smallest.copy()
+            for e, m in others.items():
+                first_id[e] = m[0] if len(m) else query_id
         away = np.sqrt(((x[at] - vector) ** 2).sum(axis=1))
-        first = np.argsort(away, kind="stable")[:k + 1]
-        found = sorted((away[i], v) for i in first for v in members[at[i]].tolist() if v != query_id)
+        # any of the k nearest rows is in one of the k first entries, among its k smallest ids
+        near = np.flatnonzero(away <= np.partition(away, k - 1)[k - 1]) if len(away) > k else np.arange(len(away))
+        found = sorted((away[i], v) for i in near[np.lexsort((first_id[at[near]], away[near]))][:k]
+                       for v in others.get(at[i], members[at[i]])[:k].tolist())
         out += [(query_id, v, float(d)) for d, v in found[:k]]
     return out
 
