@@ -60,6 +60,24 @@ def test_language_without_labels(odd_docs):
     assert {(r["lang_pred"], r["score"]) for r in language_id.predict(odd_docs, model, ["doc_id"]).collect()} == {("und", 0.0)}
 
 
+def test_a_rare_label_is_learned(documents, make_docs):
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in documents.where("lang IN ('en', 'de')").collect()]
+    german = [r for r in rows if r[2] == "de"]
+    rare = german[0][0]
+    docs = make_docs([r for r in rows if r[2] == "en" or r[0] == rare])
+    model = language_id.fit(docs, F.lit(True))
+    got = language_id.predict(make_docs(german[1:]), model, ["doc_id"]).collect()
+    assert np.mean([r["lang_pred"] == "de" for r in got]) >= 0.95
+
+
+def test_more_labels_than_can_be_learned_are_an_error(make_docs, monkeypatch):
+    monkeypatch.setattr(language_id, "MAX_LANGS", 2)
+    two = [(i, "some words", lang) for i, lang in enumerate(("a", "b", "und", None, "a"))]
+    assert language_id.fit(make_docs(two), F.lit(True)).labels == ["a", "b"]
+    with pytest.raises(ValueError, match="labels"):
+        language_id.fit(make_docs([*two, (9, "other words", "c")]), F.lit(True))
+
+
 def test_quality_of_held_out_documents(spark):
     got = queries.queries()["op5_fourier_quality"](spark, SF).join(read_table(spark, SF, "labels"), "doc_id").collect()
     held = [r for r in got if r["held_out"]]

@@ -1,8 +1,9 @@
 """Language identification with a small byte convolutional network.
 
 Training, on the driver in numpy, uses a bounded sample of labelled rows:
-``DOCS_PER_LANG`` documents of each of the ``MAX_LANGS`` most frequent labels,
-chosen by a hash of id and text, with an excerpt of ``EXCERPT`` characters each.
+``DOCS_PER_LANG`` documents of each label, chosen by a hash of id and text, with
+an excerpt of ``EXCERPT`` characters each. Every label is learned, with the same
+share of the training steps; more than ``MAX_LANGS`` labels are an error.
 The network embeds bytes, applies filters of widths 2, 3 and 4, takes the
 maximum over a window and a softmax over the labels.
 
@@ -155,8 +156,12 @@ def _train(x: np.ndarray, y: np.ndarray, labels: list[str], epochs: int, seed: i
     step = 0
     batch = 64
     steps = max(epochs * len(x) // batch, 1)
+    # windows are drawn by label in equal shares
+    by_label = np.argsort(y, kind="stable")
+    _, begins, counts = np.unique(y[by_label], return_index=True, return_counts=True)
     while step < steps:
-        take = rng.integers(0, len(x), batch)
+        label = rng.integers(0, len(begins), batch)
+        take = by_label[begins[label] + rng.integers(0, counts[label])]
         xb, yb = x[take], y[take]
         # some windows end early, as the last one of a text does
         short = np.where(rng.random(batch) < 0.3, rng.integers(8, WINDOW, batch), WINDOW)
@@ -200,11 +205,12 @@ def _train(x: np.ndarray, y: np.ndarray, labels: list[str], epochs: int, seed: i
 def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text",
         docs_per_lang: int = DOCS_PER_LANG, epochs: int = 6, seed: int = 7) -> LanguageModel:
     """Learn from a bounded sample of the rows of ``docs`` where ``learn`` holds."""
-    rows = docs.where(learn).where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")) \
+    rows = docs.where(learn).where((F.col(lang_col) != UNDETERMINED) & F.col(text_col).rlike(r"\p{L}")) \
         .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count()
-              .orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()}
-    labels = sorted(n for n in counts if n != UNDETERMINED)
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(MAX_LANGS + 1).collect()}
+    if len(counts) > MAX_LANGS:
+        raise ValueError(f"column {lang_col} has more than {MAX_LANGS} labels")
+    labels = sorted(counts)
     if not labels:
         return LanguageModel([])
     key = F.xxhash64("id", "text")
@@ -214,7 +220,7 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", lang_col: str =
     for label in labels:
         bound = int(min(1.0, 4 * docs_per_lang / counts[label]) * (2 ** 31 - 1))
         share = F.when(F.col("lang") == label, bound).otherwise(share)
-    rows = rows.where(F.col("lang").isin(labels)).where(F.pmod(key, F.lit(2 ** 31 - 1)) < share)
+    rows = rows.where(F.pmod(key, F.lit(2 ** 31 - 1)) < share)
     begin = F.pmod(key, F.greatest(F.length("text") - EXCERPT, F.lit(1)))
     sample = rows.select(
         "lang", key.alias("key"), F.substring("text", begin.cast("int") + 1, F.lit(EXCERPT)).alias("excerpt"))
