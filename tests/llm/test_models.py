@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.conftest import LONG, ODD_TEXTS
+from tests.llm.test_near_dedup import brute
 from tidystar.llm import language_id, quality, queries
 from tidystar.llm.common import read_table
 
@@ -160,3 +161,49 @@ def test_pipeline_without_language_labels_keeps_texts_with_letters(spark, odd_do
     docs = odd_docs.withColumn("lang", F.lit(None).cast("string"))
     kept = corpus_pipeline.keep_identified(spark, docs, SF).collect()
     assert len(kept) == sum(any(c.isalpha() for c in t or "") for t in ODD_TEXTS) + 3
+
+
+def one_of_each_group(rows):
+    """The ids that stay of (doc_id, text): brute force over five-word groups."""
+    return sorted((d for d, _, _, kept in brute(rows, 5) if kept), key=str)
+
+
+def test_pipeline_keeps_one_of_near_copies(spark, documents, make_docs):
+    rows = [(r["doc_id"], r["text"]) for r in documents.orderBy("doc_id").limit(150).collect()]
+    long = [r for r in rows if len(r[1].split()) >= 100][:40]
+    rows += [(10_000 + d, text + " one more") for d, text in long]                   # near copies
+    rows += [(20_000 + d, " ".join(text.split()[::-1])) for d, text in long]         # the same words, other groups
+    kept = [r["doc_id"] for r in corpus_pipeline.keep_one_of_near_copies(spark, make_docs(rows), SF).collect()]
+    assert sorted(kept, key=str) == one_of_each_group(rows) and not any(10_000 <= d < 20_000 for d in kept)
+
+
+def test_run_packs_every_token_of_the_kept_documents(spark, documents):
+    docs = documents
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF)
+    kept = {r["doc_id"] for r in docs.select("doc_id").collect()}
+    pieces = {}
+    for r in corpus_pipeline.queries()["pipeline"](spark, SF).collect():
+        pieces.setdefault(r["doc_id"], []).append((r["start"], r["length"], r["doc_tokens"]))
+    assert kept and set(pieces) == kept
+    for found in pieces.values():
+        at = 0
+        for start, length, _ in sorted(found):
+            assert start == at
+            at += length
+        assert at == found[0][2]
+
+
+def test_ids_of_odd_documents_after_each_stage(spark, odd_docs):
+    rows = [*enumerate(ODD_TEXTS), (None, "no id at all"), (3, "one"), (99, LONG)]
+    first = corpus_pipeline.keep_identified(spark, odd_docs, SF)
+    lettered = [(d, t) for d, t in rows if any(c.isalpha() for c in t or "")]
+    assert sorted(((r["doc_id"], r["text"]) for r in first.collect()), key=str) == sorted(lettered, key=str)
+    model = quality.fit(spark, first, read_table(spark, SF, "labels"), F.lit(True))
+    good = [(r["doc_id"], r["text"]) for r in quality.score(first, model, ["doc_id", "text"]).collect() if r["score"] >= 0.3]
+    second = corpus_pipeline.keep_good(spark, first, SF)
+    assert sorted(((r["doc_id"], r["text"]) for r in second.collect()), key=str) == sorted(good, key=str)
+    third = corpus_pipeline.keep_one_of_near_copies(spark, first, SF)
+    ids = {r["doc_id"] for r in third.collect()}
+    assert ids == set(one_of_each_group(lettered))
+    assert {r["doc_id"] for r in corpus_pipeline.pack(spark, third, SF).collect()} == ids
