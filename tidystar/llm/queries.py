@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidystar.llm import (byte_bpe, exact_topk, html_extract, language_id, near_dedup, packing,
-                          permutation_index, quality, url_filter, warc)
+                          periodic_runs, permutation_index, quality, token_alignment, url_filter, warc,
+                          word_transducer)
 from tidystar.llm.common import hash_remainder, read_table, share_package, tokenizer_path
 
 
@@ -80,6 +81,24 @@ def op10_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json")))
 
 
+def op11_exact_text_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokenizers(spark, read_table(spark, sf_dir, "documents"),
+                                            tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op12_transducer_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("word_bpe_49k.json")
+    coded = word_transducer.encode(spark, read_table(spark, sf_dir, "documents"), path, ["doc_id"])
+    return word_transducer.decode(coded, path).select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_branching_tandem_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(read_table(spark, sf_dir, "documents"), arrange=periodic_runs.planted)
+    return periodic_runs.runs_digest(found)
+
+
 def queries() -> dict:
     named = {name: fn for name, fn in globals().items() if name.startswith("op")}
     return {name: lambda spark, sf_dir, fn=fn: fn(share_package(spark), sf_dir)

@@ -6,11 +6,14 @@ library's BPE model. The cutting repeats the file's normalizer and splitter
 for blank-separated chunks of ASCII and the Latin letters U+00C0..U+00FF; any
 other chunk (and one with an apostrophe or ``<``, where contractions or special
 tokens may lie) is given to the library whole. Chunks are independent in this
-kind of tokenizer because white space is dropped.
+kind of tokenizer because white space is dropped. A file with another normalizer
+or splitter is detected when it is loaded; its texts go through the library whole.
 """
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 
 from tidystar.llm.common import SLICE_BYTES, blank_cuts, is_blank, mix64, ragged, seeded_words
@@ -34,23 +37,93 @@ def _classes() -> np.ndarray:
     return out
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """Byte-level alphabet: printable Latin-1 bytes stand for themselves, others from U+0100 on."""
     keep = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     rest = [b for b in range(256) if b not in set(keep)]
     return {**{b: chr(b) for b in keep}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
 
 
+_CLASS = _classes()
+
+#: The normalizer, splitter and word end that ``split_pieces`` repeats (fixed values of the file format).
+_PLAIN_RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "post_processor": None,
+}
+_PLAIN_MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None,
+                "end_of_word_suffix": "</w>", "byte_fallback": False, "ignore_merges": False}
+
+
+def has_plain_rules(spec: dict) -> bool:
+    """Whether a tokenizer file (its JSON) normalizes and splits as ``split_pieces`` does.
+
+    Added tokens must be found in raw text only, hold ``<`` and no blank, so that they lie in odd chunks.
+    """
+    added = all(not (t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"])
+                and "<" in t["content"] and not any(c.isspace() for c in t["content"])
+                for t in spec.get("added_tokens") or [])
+    model = spec["model"]
+    return added and all(spec.get(k) == v for k, v in _PLAIN_RULES.items()) \
+        and all(model.get(k) == v for k, v in _PLAIN_MODEL.items())
+
+
+def split_pieces(data: np.ndarray, offsets: np.ndarray):
+    """Lower-cased bytes, piece starts and ends, and which pieces are odd chunks.
+
+    Holds for files that ``has_plain_rules`` accepts.
+    """
+    n = len(data)
+    kind = _CLASS[data]
+    lower = data + ((data >= 65) & (data <= 90)).astype(np.uint8) * np.uint8(32)
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    if len(lead):
+        tail = data[lead + 1]
+        letter = (tail != 0x97) & (tail != 0xB7)
+        lead, tail = lead[letter], tail[letter]
+        kind[lead] = kind[lead + 1] = _LETTER
+        lower[lead + 1] += (tail < 0x9F).astype(np.uint8) * np.uint8(32)
+    begins = np.zeros(n, bool)
+    begins[offsets[:-1][offsets[:-1] < n]] = True
+    blank = is_blank(data)
+    odd = np.flatnonzero(kind == _ODD)
+    if len(odd):
+        chunk = begins.copy()
+        chunk[1:] |= blank[:-1]
+        at = np.flatnonzero(chunk & ~blank)
+        stop = np.append(np.flatnonzero(blank | begins), n)
+        hit = np.unique(np.searchsorted(at, odd, "right") - 1)
+        ends = stop[np.searchsorted(stop, at[hit], "right")]
+        kind[ragged(at[hit], ends - at[hit])] = _ODD
+    first = begins | (kind == _DIGIT)
+    first[1:] |= kind[1:] != kind[:-1]
+    first[0] = True
+    edges = np.flatnonzero(first)
+    ends = np.append(edges[1:], n)
+    real = kind[edges] != _BLANK
+    starts, ends = edges[real], ends[real]
+    return lower, starts, ends, kind[starts] == _ODD
+
+
 class BatchEncoder:
     """Ids of whole texts, as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        # no texts are cut or padded here, whatever the file says
+        spec["truncation"] = spec["padding"] = None
+        self._plain = has_plain_rules(spec)
+        self._tokenizer = Tokenizer.from_str(json.dumps(spec))
         self._model = self._tokenizer.model
-        self._letters = _byte_letters()
-        self._class = _classes()
+        self._letters = byte_letters()
         slots = 1 << _SLOT_BITS
         self._keys = np.zeros((3, slots), np.uint64)
         self._len = np.zeros(slots, np.int64)
@@ -64,49 +137,21 @@ class BatchEncoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, concatenated, and their bounds."""
+        if not self._plain:  # rules that the cutting does not repeat: whole texts by the library
+            raw = data.tobytes()
+            found = [self._chunk(raw[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+            bounds = np.cumsum([0, *map(len, found)])
+            return np.fromiter((i for f in found for i in f), np.uint32, int(bounds[-1])), bounds
         if len(offsets) == 2 and len(data) > 2 * SLICE_BYTES:
             parts = [self._encode(data[a:b], np.array([0, b - a]))[0] for a, b in blank_cuts(data)]
             ids = np.concatenate(parts)
             return ids, np.array([0, len(ids)])
         return self._encode(data, offsets)
 
-    def _split(self, data: np.ndarray, offsets: np.ndarray):
-        """Lower-cased bytes, piece starts and ends, and which pieces are odd chunks."""
-        n = len(data)
-        kind = self._class[data]
-        lower = data + ((data >= 65) & (data <= 90)).astype(np.uint8) * np.uint8(32)
-        lead = np.flatnonzero(data[:-1] == 0xC3)
-        if len(lead):
-            tail = data[lead + 1]
-            letter = (tail != 0x97) & (tail != 0xB7)
-            lead, tail = lead[letter], tail[letter]
-            kind[lead] = kind[lead + 1] = _LETTER
-            lower[lead + 1] += (tail < 0x9F).astype(np.uint8) * np.uint8(32)
-        begins = np.zeros(n, bool)
-        begins[offsets[:-1][offsets[:-1] < n]] = True
-        blank = is_blank(data)
-        odd = np.flatnonzero(kind == _ODD)
-        if len(odd):
-            chunk = begins.copy()
-            chunk[1:] |= blank[:-1]
-            at = np.flatnonzero(chunk & ~blank)
-            stop = np.append(np.flatnonzero(blank | begins), n)
-            hit = np.unique(np.searchsorted(at, odd, "right") - 1)
-            ends = stop[np.searchsorted(stop, at[hit], "right")]
-            kind[ragged(at[hit], ends - at[hit])] = _ODD
-        first = begins | (kind == _DIGIT)
-        first[1:] |= kind[1:] != kind[:-1]
-        first[0] = True
-        edges = np.flatnonzero(first)
-        ends = np.append(edges[1:], n)
-        real = kind[edges] != _BLANK
-        starts, ends = edges[real], ends[real]
-        return lower, starts, ends, kind[starts] == _ODD
-
     def _encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        lower, starts, ends, odd = self._split(data, offsets)
+        lower, starts, ends, odd = split_pieces(data, offsets)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         sizes = ends - starts
