@@ -3,6 +3,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 from html import unescape
 
 import pytest
@@ -215,3 +216,30 @@ def test_random_markup_never_fails():
         html = "".join(rng.choice(parts) for _ in range(rng.randint(0, 40)))
         path, size = html_extract.best_path(html)
         assert len(html_extract.main_text(html, path)) >= size * (size > 0)
+
+
+@pytest.mark.parametrize("html,text", [
+    (f"<article><h1 class='page-header'>T</h1><p>{PROSE}</p></article>", f"T\n\n{PROSE.strip()}"),
+    (f"<article><div class='post-header'><h1>T</h1></div><p>{PROSE}</p></article>", f"T\n\n{PROSE.strip()}"),
+    (f"<article><header><h1>T</h1><nav>no</nav></header><p>{PROSE}</p></article>", f"T\n\n{PROSE.strip()}"),
+    (f"<header><h1>site</h1></header><article><p>{PROSE}</p></article>", PROSE.strip()),
+    *[(f"<article><p>{PROSE}</p><{tag}>kept</{tag.split()[0]}></article>", f"{PROSE.strip()}\n\nkept") for tag in (
+        "p class='ad-hoc'", "p class='notice-period'", "section id='form-of-words'", "table class='table-header'")],
+    *[(f"<article><p>{PROSE}</p><div class='{name}'>gone</div></article>", PROSE.strip()) for name in (
+        "ad", "top-ad-slot", "cookie_notice", "comments-area", "sidebar-left", "main-menu")],
+])
+def test_only_whole_names_of_furniture_drop(html, text):
+    assert html_extract.main_text(html, None) == text
+
+
+@pytest.mark.parametrize("html", [
+    "<div>" * 50_000 + "</i>" * 50_000, "<i>" * 50_000 + "<div>" * 50_000 + "</i>" * 50_000,
+    "<b>" * 50_000 + "<p>x</p>" * 50_000, "<b>" * 50_000 + "x<hr>" * 50_000,
+    "<ul><li><ul>" + "<blockquote>" * 50_000 + "<li>x</li>" * 50_000,
+    "".join(f"<div class='c{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}q'>x" for i in range(50_000)),
+], ids=range(6))
+def test_extraction_is_linear(html):
+    begun = time.perf_counter()
+    path, _ = html_extract.best_path(html)
+    html_extract.main_text(html, path)
+    assert time.perf_counter() - begun < 8  # both passes; quadratic work takes minutes

@@ -18,9 +18,11 @@ A block is the text between two block-level boundaries: character references
 decoded, white space runs one space, trimmed; blocks join by a blank line.
 
 Left out: menus, headers, footers, sidebars, notices, adverts, forms and comments,
-by tag, role or the first or last word of a class or id, and what is not shown
-(scripts, styles, drawings, hidden elements). ``article`` and ``main`` never go by
-their own names, and no name empties a page that has text (see ``Page``).
+by tag, role or a class or id that says nothing else (all its words name furniture or
+where it stands), and what is not shown (scripts, styles, drawings, hidden elements).
+``article``, ``main`` and headings never go by their own names, the heading in the header of an
+article stays, and no name empties a page that has text (see ``Page``). Work is
+linear in the page, however deep or ill-formed its markup.
 
 Defined results: NULL or empty html gives the empty text; a NULL url has the
 empty host, whose pages vote together; unclosed or stray tags are closed as a
@@ -59,11 +61,16 @@ LAYOUT = frozenset((
 ASIDE = frozenset((
     "ad ads advert adverts advertisement advertising adsense comment comments consent cookie cookies disqus gdpr notice "
     "notices notification sponsored").split())
+#: Words that place or shape a box; a name of furniture has only these beside its furniture words.
+PLACE = frozenset((
+    "area banner bar block bottom box col column container fixed floating global group holder inner item items left "
+    "link links list main mobile outer page panel placeholder primary reader readers region right row secondary "
+    "section side site slot sticky sub thread top unit user users widget wrap wrapper").split())
 #: Whole names of content: a name beside them only counts if it is furniture as a whole.
 CONTENT = frozenset("article content entry hentry post story".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _FURNITURE_ROLES = frozenset(
     "navigation banner contentinfo complementary search form menu menubar dialog alert toolbar".split())
-_PRE_WORDS = frozenset("has with no not without is tag category".split())
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
            "th": ("td", "th"), "option": ("option",), "optgroup": ("option", "optgroup"),
            "tbody": ("tr", "td", "th", "tbody", "thead"), "tfoot": ("tr", "td", "th", "tbody", "thead")}
@@ -83,10 +90,16 @@ _WORDS = re.compile(r"[A-Za-z0-9]+")
 
 class Element:
     __slots__ = ("tag", "step", "parent", "dropped", "gone", "named", "size", "headed", "score", "order",
-                 "key", "home")
+                 "key", "home", "block", "within", "titled", "closed")
 
     def __init__(self, tag, step, parent, dropped, gone, named, order):
         self.tag, self.step, self.parent, self.dropped, self.order = tag, step, parent, dropped, order
+        self.closed = False  # ended while elements inside it were still open
+        # the nearest block; the nearest article or main; whether only the header of an article is what drops it
+        self.block = self if tag in BLOCK or parent is None else parent.block
+        self.within = self if tag in ("article", "main") else parent.within if parent is not None else None
+        self.titled = parent is not None and gone and (
+            parent.titled or (tag == "header" and not parent.gone and parent.within is not None))
         self.gone, self.named = gone, named  # dropped by tag, role or hidden; furniture by class or id
         self.size, self.headed, self.score = 0, tag in ("h1", "main"), 0.0
         self.key = 0  # number of the path
@@ -97,18 +110,18 @@ class Element:
         while node is not None and node.tag != "html":
             steps.append(node.step)
             node = node.parent
-        return ">".join(reversed(steps))
+        return " ".join(reversed(steps))  # no step has a blank
 
 
 def _furniture(names: list[str]) -> frozenset | None:
-    """LAYOUT or ASIDE if a class or id names page furniture: its first or last word does."""
+    """LAYOUT or ASIDE if a class or id names page furniture: all its words do, or place it."""
     content = not CONTENT.isdisjoint(n.lower() for n in names)
     for name in names:
-        words = [w.lower() for w in _WORDS.findall(name)]
-        if not words or words[0] in _PRE_WORDS or (content and len(words) > 1):
+        words = {w.lower() for w in _WORDS.findall(name)}
+        if not words or (content and len(words) > 1):
             continue
         for kind in (ASIDE, LAYOUT):
-            if words[0] in kind or words[-1] in kind:
+            if not words.isdisjoint(kind) and words <= ASIDE | LAYOUT | PLACE:
                 return kind
     return None
 
@@ -143,6 +156,9 @@ class Page:
 
     def _open(self, tag: str, attrs: str, parent: Element | None) -> Element:
         step, gone, named = tag, (parent is not None and parent.gone) or tag in DROPPED, None
+        # the heading in the header of an article is its title
+        title = tag in _HEADINGS and parent is not None and parent.titled
+        gone = gone and not title
         if attrs and not attrs.isspace():
             classes, ids, role, hidden = "", "", "", False
             for m in _ATTR.finditer(attrs):
@@ -158,11 +174,11 @@ class Page:
             names = classes.split()
             if tag not in ("html", "body", "main"):
                 gone = gone or hidden or role in _FURNITURE_ROLES
-                if tag != "article" and not gone and len(self.elements) not in self.kept:
+                if tag != "article" and tag not in _HEADINGS and not gone and len(self.elements) not in self.kept:
                     named = _furniture([*names, *ids.split()])
             if names:
                 step = tag + "." + ".".join(sorted({_DIGITS.sub("0", c.lower()) for c in names}))
-        dropped = gone or named is not None or (parent is not None and parent.dropped)
+        dropped = gone or named is not None or (parent is not None and parent.dropped and not title)
         element = Element(tag, step, parent, dropped, gone, named, len(self.elements))
         if parent is not None:
             element.key = self._keys.setdefault((parent.key, step), len(self._keys) + 1)
@@ -171,28 +187,40 @@ class Page:
 
     def _parse(self, html: str) -> None:
         root = self._open("body", "", None)
-        stack = [root]
+        # places in the stack of the open elements of a tag, and of open blocks
+        stack, places, blocks = [root], {}, [0]
         buffer: list[str] = []
         linked, links = 0, 0
 
+        def nearest(tags) -> int:
+            return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
         def flush():
             nonlocal linked
             if buffer:
                 text = " ".join("".join(buffer).split())
                 stack[-1].size += max(len(text) - linked, 0)
                 if text and not stack[-1].dropped:
-                    owner = stack[-1]
-                    while owner.tag not in BLOCK and owner.parent is not None:
-                        owner = owner.parent
-                    self.blocks.append((owner, text, linked))
+                    self.blocks.append((stack[-1].block, text, linked))
                 buffer.clear()
             linked = 0
 
-        def close(i: int):
+        def cut(i: int):
+            """Take the elements from place ``i`` on from the stack."""
             nonlocal links
-            flush()
-            links -= sum(e.tag == "a" for e in stack[i:])
+            for e in stack[i:]:
+                if not e.closed:
+                    places[e.tag].pop()
+                    links -= e.tag == "a"
             del stack[i:]
+            while stack[-1].closed:
+                stack.pop()
+            while blocks[-1] >= len(stack):
+                blocks.pop()
+
+        def close(i: int):
+            flush()
+            cut(i)
 
         at, size = 0, len(html)
         while at < size:
@@ -211,22 +239,20 @@ class Page:
                 continue
             tag = name.lower()
             if m["end"]:
-                i = len(stack) - 1
-                while i > 0 and stack[i].tag != tag:
-                    i -= 1
+                i = nearest((tag,))
                 if i <= 0:
                     if tag in BLOCK:
                         flush()
                 elif tag in BLOCK:
                     close(i)
-                elif any(e.tag in BLOCK for e in stack[i + 1:]):
-                    links -= stack[i].tag == "a"
-                    del stack[i]
+                elif blocks[-1] > i:  # an inline element ends inside a block that it holds
+                    links -= tag == "a"
+                    places[tag].pop()
+                    stack[i].closed = True
                 else:
-                    if any(e.dropped for e in stack[i:]) and not stack[i - 1].dropped:
+                    if (stack[-1].dropped or stack[i].dropped) and not stack[i].parent.dropped:
                         flush()
-                    links -= sum(e.tag == "a" for e in stack[i:])
-                    del stack[i:]
+                    cut(i)
                 continue
             if tag in ("html", "body"):
                 if tag == "body" and m["attrs"]:
@@ -246,43 +272,52 @@ class Page:
                 continue
             if tag in BLOCK:
                 flush()
-                closes = _CLOSES.get(tag)
-                if closes:
-                    for i in range(len(stack) - 1, 0, -1):
-                        if stack[i].tag in closes:
-                            close(i)
-                            if tag in ("li", "option") or tag not in ("tr", "tbody", "tfoot", "dt", "dd"):
-                                break
-                        elif stack[i].tag in _SCOPE and stack[i].tag not in closes:
-                            break
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag == "p":
-                        close(i)
-                        break
-                    if stack[i].tag in BLOCK:
+                closes = _CLOSES.get(tag, ())
+                scope = _SCOPE.difference(closes) if closes else ()
+                while closes and (i := nearest(closes)) > nearest(scope):
+                    close(i)
+                    if tag not in ("tr", "tbody", "tfoot", "dt", "dd"):
                         break
+                if stack[blocks[-1]].tag == "p":
+                    close(blocks[-1])
             element = self._open(tag, m["attrs"], stack[-1])
-            if element.dropped and not stack[-1].dropped and tag not in BLOCK:
+            if element.dropped != stack[-1].dropped and tag not in BLOCK:
                 flush()
             if m["attrs"].endswith("/") and tag not in BLOCK:
                 continue
+            places.setdefault(tag, []).append(len(stack))
+            if tag in BLOCK:
+                blocks.append(len(stack))
             stack.append(element)
             links += tag == "a"
         flush()
 
     def best(self) -> Element | None:
         """The container with most text of its own: full weight one level up, less above."""
+        weight = [0.0] * len(self.elements)
         for owner, text, linked in self.blocks:
-            weight = len(text) - 1.5 * linked
-            node, share = owner, 1.0
-            while node is not None:
-                if node.tag in CONTAINER:
-                    node.score += weight * share * (1.5 if node.tag in ("article", "main") else 1.0)
-                    share *= 0.75
-                node = node.parent
+            weight[owner.order] += len(text) - 1.5 * linked
+        for e in reversed(self.elements):  # passed up once
+            passed = weight[e.order]
+            if e.tag in CONTAINER:
+                e.score = passed * (1.5 if e.tag in ("article", "main") else 1.0)
+                passed *= 0.75
+            if e.parent is not None:
+                weight[e.parent.order] += passed
         scored = [e for e in self.elements if e.score > 0]
         return max(scored, key=lambda e: (e.score, -e.order)) if scored else None
 
+    def first_on(self, path: str) -> Element | None:
+        """The first container on a generalised path, found step by step."""
+        steps, key = path.split(" "), 0
+        if steps[0] != self.elements[0].step:
+            return None
+        for step in steps[1:]:
+            key = self._keys.get((key, step))
+            if key is None:
+                return None
+        return next((e for e in self.elements if e.key == key and e.tag in CONTAINER), None)
+
     def whole(self, node: Element) -> Element:
         """The furthest container around the elements on the path of ``node`` that adds text outside links.
 
@@ -334,12 +369,10 @@ def main_text(html: str | None, path: str | None) -> str:
     if not html:
         return ""
     page = Page(html)
-    firsts = {e.key: e for e in reversed(page.elements) if e.tag in CONTAINER} if path else {}
-    for node in firsts.values():
-        if node.path() == path:
-            text = page.within(page.whole(node))
-            if text:
-                return text
+    node = page.first_on(path) if path else None
+    text = page.within(page.whole(node)) if node is not None else ""
+    if text:
+        return text
     return page.within(page.whole(page.best() or page.elements[0]))
 
 
