@@ -71,12 +71,49 @@ def test_a_rare_label_is_learned(documents, make_docs):
     assert np.mean([r["lang_pred"] == "de" for r in got]) >= 0.95
 
 
-def test_more_labels_than_can_be_learned_are_an_error(make_docs, monkeypatch):
-    monkeypatch.setattr(language_id, "MAX_LANGS", 2)
-    two = [(i, "some words", lang) for i, lang in enumerate(("a", "b", "und", None, "a"))]
-    assert language_id.fit(make_docs(two), F.lit(True)).labels == ["a", "b"]
-    with pytest.raises(ValueError, match="labels"):
-        language_id.fit(make_docs([*two, (9, "other words", "c")]), F.lit(True))
+def test_every_label_is_learned_however_many(make_docs, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE_DOCS", 100)  # fewer than labels: one document of each
+    rows = [(i, f"some words {i} of it", f"l{i % 300:03}") for i in range(900)] + [(1000, "x y", "und"), (1001, "x", None)]
+    model = language_id.fit(make_docs(rows), F.lit(True), epochs=1)
+    assert model.labels == [f"l{i:03}" for i in range(300)]
+    got = language_id.predict(make_docs(rows[:5]), model, ["doc_id"]).collect()
+    assert all(r["lang_pred"] in model.labels and 0 < r["score"] <= 1 for r in got)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 300])
+def test_language_bound_can_reject_for_any_number_of_labels(n):
+    least = corpus_pipeline.least_language_score(n)
+    assert (least == 1) if n == 1 else 1 / n < least < 1 / n + 0.1
+
+
+def test_uncertain_texts_are_rejected(spark, make_docs, monkeypatch):
+    """With two labels the bound lies above one half: text that is as much of one as of the other goes."""
+    flat = language_id.LanguageModel(["a", "b"], *(np.zeros_like(x) if not isinstance(x, list) else [np.zeros_like(y) for y in x]
+                                                   for x in _tiny_network()))
+    monkeypatch.setattr(language_id, "fit", lambda docs, learn: flat)
+    assert corpus_pipeline.keep_identified(spark, make_docs([(1, "some words")]), SF).count() == 0
+
+
+def _tiny_network():
+    width = len(language_id.WIDTHS) * language_id.FILTERS
+    return (np.zeros((language_id.N_SYMBOLS, language_id.EMBED)),
+            [np.zeros((w, language_id.EMBED, language_id.FILTERS)) for w in language_id.WIDTHS],
+            np.zeros(width), np.zeros((width, 2)), np.zeros(2))
+
+
+def test_ridge_weights_equal_a_direct_solution(spark, documents):
+    """The partition-summed normal equations against one least-squares problem over all labelled rows."""
+    labels = read_table(spark, SF, "labels")
+    model = quality.fit(spark, documents, labels, F.lit(True))
+    marked = {r["doc_id"]: float(r["quality"]) for r in labels.where("quality IS NOT NULL").collect()}
+    rows = [r for r in documents.select("doc_id", "text").collect() if r["doc_id"] in marked]
+    z = model.features(quality.document_stats(pa.array([r["text"] for r in rows]))) / quality._SCALE
+    y = np.array([marked[r["doc_id"]] for r in rows])
+    n, width = z.shape
+    # the penalty as rows of their own, none for the constant
+    ridge = np.sqrt(quality.RIDGE * n) * np.eye(width)[:-1]
+    direct = np.linalg.lstsq(np.concatenate([z, ridge]), np.concatenate([y, np.zeros(width - 1)]), rcond=None)[0]
+    assert np.allclose(z @ direct, z @ model.weights, atol=1e-6)
 
 
 def test_quality_of_held_out_documents(spark):
@@ -150,7 +187,8 @@ def test_pipeline_of_odd_documents(spark, odd_docs):
     docs = odd_docs
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
-    assert docs.count() >= 0
+    kept = {r["doc_id"] for r in docs.select("doc_id").collect()}
+    assert kept <= {*range(len(ODD_TEXTS)), None, 99} and not kept & {0, 1, 2, 8}  # no text, or none with letters
     empty = odd_docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF)

@@ -157,8 +157,8 @@ class Brute:
 
 
 def test_op11_query_equals_brute_force(spark):
-    rows = [(d, t) for d, t in documents(spark) if len(t or "") < 6000]
-    docs = spark.read.parquet(f"{SF001}/documents.parquet").where("text IS NULL OR length(text) < 6000")
+    rows = [(d, t) for d, t in documents(spark) if len(t or "") < 1500]
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").where("text IS NULL OR length(text) < 1500")
     assert rows_of(token_alignment.align_tokenizers(spark, docs, A_PATH, B_PATH)) == Brute().table(rows)
     assert queries.op11_exact_text_alignment(spark, SF001).count() == len(documents(spark))
 

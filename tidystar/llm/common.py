@@ -59,6 +59,24 @@ def cut_lineage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Keys with more than this part (1 in so many) of all rows are joined by broadcast.
+HOT = 1000
+
+
+def join_hot(rows: DataFrame, by_key: DataFrame, key: str, n_rows: str, how_many: int = HOT) -> DataFrame:
+    """Inner join on ``key`` that no hot key makes uneven.
+
+    ``by_key`` has one row per key, with the number of its rows in ``n_rows``. Keys with more than
+    one in ``how_many`` of all those rows are fewer than ``how_many`` and are broadcast;
+    the rest is shuffled, no key with more than that share.
+    """
+    total = by_key.agg(F.sum(n_rows)).first()[0] or 0
+    is_hot = F.col(n_rows) * how_many > F.lit(total)
+    hot = F.broadcast(by_key.where(is_hot))
+    rest = rows.join(hot.select(key), key, "left_anti").join(by_key.where(~is_hot), key)
+    return rows.join(hot, key).select(rest.columns).union(rest)
+
+
 def hash_remainder(id_col, divisor: int):
     """crc32 of the id as text, modulo ``divisor`` (NULL for a NULL id)."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % divisor

@@ -2,8 +2,9 @@
 
 Training, on the driver in numpy, uses a bounded sample of labelled rows:
 ``DOCS_PER_LANG`` documents of each label, chosen by a hash of id and text, with
-an excerpt of ``EXCERPT`` characters each. Every label is learned, with the same
-share of the training steps; more than ``MAX_LANGS`` labels are an error.
+an excerpt of ``EXCERPT`` characters each; with so many labels that this exceeds
+``SAMPLE_DOCS`` documents, fewer of each, but at least one. Every label is learned, however
+many there are, with the same share of the training steps.
 The network embeds bytes, applies filters of widths 2, 3 and 4, takes the
 maximum over a window and a softmax over the labels.
 
@@ -32,7 +33,7 @@ from tidystar.llm.common import SLICE_BYTES, annotate, text_buffers
 
 #: Bounds of the training sample.
 DOCS_PER_LANG = 400
-MAX_LANGS = 256
+SAMPLE_DOCS = 256 * DOCS_PER_LANG
 EXCERPT = 1024
 #: Bytes of a window.
 WINDOW = 128
@@ -207,20 +208,18 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", lang_col: str =
     """Learn from a bounded sample of the rows of ``docs`` where ``learn`` holds."""
     rows = docs.where(learn).where((F.col(lang_col) != UNDETERMINED) & F.col(text_col).rlike(r"\p{L}")) \
         .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(MAX_LANGS + 1).collect()}
-    if len(counts) > MAX_LANGS:
-        raise ValueError(f"column {lang_col} has more than {MAX_LANGS} labels")
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # the model's outputs
     labels = sorted(counts)
     if not labels:
         return LanguageModel([])
+    docs_per_lang = max(1, min(docs_per_lang, SAMPLE_DOCS // len(labels)))
     key = F.xxhash64("id", "text")
     # of a frequent label about four times the wanted rows pass a threshold on the key, so
     # that few rows of it meet in one task; the smallest keys among them are taken
-    share = F.lit(0)
-    for label in labels:
-        bound = int(min(1.0, 4 * docs_per_lang / counts[label]) * (2 ** 31 - 1))
-        share = F.when(F.col("lang") == label, bound).otherwise(share)
-    rows = rows.where(F.pmod(key, F.lit(2 ** 31 - 1)) < share)
+    shares = docs.sparkSession.createDataFrame(
+        [(label, int(min(1.0, 4 * docs_per_lang / n) * (2 ** 31 - 1))) for label, n in counts.items()],
+        "lang string, share bigint")
+    rows = rows.join(F.broadcast(shares), "lang").where(F.pmod(key, F.lit(2 ** 31 - 1)) < F.col("share"))
     begin = F.pmod(key, F.greatest(F.length("text") - EXCERPT, F.lit(1)))
     sample = rows.select(
         "lang", key.alias("key"), F.substring("text", begin.cast("int") + 1, F.lit(EXCERPT)).alias("excerpt"))
@@ -228,7 +227,9 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", lang_col: str =
         .where(F.col("n") <= docs_per_lang).orderBy("lang", "key", "excerpt").collect()
     data, offsets = text_buffers(pa.array([r["excerpt"] for r in sample], pa.string()))
     x, doc = windows(data, offsets)
-    y = np.array([labels.index(r["lang"]) for r in sample])[doc]
+    number = {label: i for i, label in enumerate(labels)}
+    y = np.array([number[r["lang"]] for r in sample])[doc]
+    del sample, data
     lettered = (x > 2).any(axis=1)
     return _train(x[lettered][:, :WINDOW], y[lettered], labels, epochs, seed)
 

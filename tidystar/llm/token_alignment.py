@@ -41,13 +41,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidystar.llm.common import cut_lineage, ragged, slices
+from tidystar.llm.common import HOT, cut_lineage, join_hot, ragged, slices
 from tidystar.llm.word_bpe import byte_letters
 
 #: Text bytes of a block.
 BLOCK_BYTES = 8 << 20
-#: A text with more than this part (1 in so many) of all rows is joined by broadcast.
-HOT = 1000
 #: Characters aligned at a time.
 PART_CHARS = 1 << 18
 #: Stretches and their characters that a task remembers before it starts anew.
@@ -370,12 +368,9 @@ def align_tokenizers(spark: SparkSession, docs: DataFrame, a_path: str, b_path:
             "key binary, copies bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, "
             "n_best bigint, count_sum bigint"), "measured")
 
-    total = docs.count()
-    hot = F.broadcast(measured.where(F.col("copies") * HOT > F.lit(total)).drop("copies"))
     keyed = docs.where("text != ''").select("id", F.unhex(F.sha2("text", 256)).alias("key"))
     out = ["id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
-    rest = keyed.join(hot.select("key"), "key", "left_anti") \
-        .join(measured.where(F.col("copies") * HOT <= F.lit(total)), "key")
+    told = join_hot(keyed, measured, "key", "copies", HOT)
     blank = docs.where("text IS NULL OR text = ''").select(
         "id", *(F.lit(0).cast("bigint").alias(c) for c in out[1:-1]), F.lit("").alias("groups_sha256"))
-    return keyed.join(hot, "key").select(out).union(rest.select(out)).union(blank).withColumnRenamed("id", id_col)
+    return told.select(out).union(blank).withColumnRenamed("id", id_col)
