@@ -14,12 +14,17 @@ from pyspark.sql import functions as F
 from tidystar.llm import language_id, near_dedup, packing, quality
 from tidystar.llm.common import cut_lineage, fresh_name, read_table, share_package, tokenizer_path
 
-#: A text whose best language is less likely than this is rejected.
-LEAST_LANGUAGE_SCORE = 0.3
+#: How far the best language of a kept text is at least from chance (0) towards certainty (1).
+LEAST_CERTAINTY = 1 / 15
 #: A text whose quality score is lower is rejected.
 LEAST_QUALITY = 0.3
 
 
+def least_language_score(n_labels: int) -> float:
+    """A text whose best language is less likely than this is rejected: relative to chance among the labels."""
+    return 1 / n_labels + LEAST_CERTAINTY * (1 - 1 / n_labels)
+
+
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with letters whose language the model recognises (NULL or letterless texts go).
 
@@ -32,7 +37,7 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         return docs.where(F.col("text").rlike(r"\p{L}"))
     found = language_id.predict(docs, model, docs.columns, lang_out=lang, score_out=score)
     return found.where((F.col(lang) != language_id.UNDETERMINED)
-                       & (F.col(score) >= LEAST_LANGUAGE_SCORE)).drop(lang, score)
+                       & (F.col(score) >= least_language_score(len(model.labels)))).drop(lang, score)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
