@@ -353,17 +353,20 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _present(name: str) -> bool:
+    try:
+        return importlib.util.find_spec(name) is not None
+    except ModuleNotFoundError:  # the package of the module is absent
+        return False
+
+
 def _training_data():
-    """The query modules of the training-data operators, where they are present."""
-    found = []
-    for name in ("tidystar.llm.queries", "corpus_pipeline"):
-        try:
-            present = importlib.util.find_spec(name) is not None
-        except ModuleNotFoundError:  # the package of the module is absent
-            present = False
-        if present:
-            found.append(importlib.import_module(name))
-    return found
+    """The query modules of the training-data operators, where they are present.
+
+    The corpus pipeline is part of them: it is left out where their package is absent.
+    """
+    names = [n for n in ("tidystar.llm.queries", "corpus_pipeline") if _present(n)]
+    return [importlib.import_module(n) for n in names] if "tidystar.llm.queries" in names else []
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
