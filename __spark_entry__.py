@@ -26,10 +26,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidystar.functions import privacy as P  # noqa: E402
 from tidystar.functions import rules as R  # noqa: E402
-from tidystar.operators import checks, protect, reports, stage  # noqa: E402
+from tidystar.operators import checks, date_order, distinct, moments, protect, ranges, reports, stage  # noqa: E402
 from tidystar.plans.layers import build_layers, ingest_folder, run_layers  # noqa: E402
+from tidystar.plans.publish import read_published, run_published  # noqa: E402
 from tidystar.session import scratch_path  # noqa: E402
-from tidystar.sources import driver_raw  # noqa: E402
+from tidystar.sources import driver_raw, versions  # noqa: E402
 from tidystar.sources.csv_folder import write_raw_csv  # noqa: E402
 from tidystar.sources.tables import read_layer  # noqa: E402
 
@@ -317,14 +318,24 @@ def q_check_dropped_rows(spark, sf_dir):
 # --- reports (R1-R3) -------------------------------------------------------------
 # The reports read the published (protected) layer written by the layered run,
 # as the reference's last phase reads the tables of the earlier phases.
-def published_layer(spark: SparkSession, sf_dir: str):
+def _layer_run(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the written layers."""
     def make():
         out = scratch_path(spark, "layers")
         raw = dict(zip(("customers", "products", "orders"), _raw(spark, sf_dir)))
         run_layers(spark, raw, out, country=COUNTRY, key_type=KEY_TYPE)
         return out
 
-    out = _once(spark, sf_dir, "layers", make)
+    return _once(spark, sf_dir, "layers", make)
+
+
+def _analytics(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the written, unprotected star schema."""
+    return read_layer(spark, os.path.join(_layer_run(spark, sf_dir), "analytics", name))
+
+
+def published_layer(spark: SparkSession, sf_dir: str):
+    out = _layer_run(spark, sf_dir)
 
     def read(name):
         return read_layer(spark, os.path.join(out, "protected", name)).drop("fecha_carga")
@@ -347,6 +358,110 @@ def q_report_zscore_outliers(spark, sf_dir):
     return reports.zscore_outliers(fact, 2.0)
 
 
+# --- exact statistics and distinct counts that merge (A2, A4, A5) ------------------
+def q_exact_stats_by_month(spark, sf_dir):
+    """States per month, and the states of all months merged."""
+    fact = _analytics(spark, sf_dir, "fact_ventas")
+    months = moments.moment_states(
+        fact.select(F.year("order_date").cast("bigint").alias("ano"), F.month("order_date").cast("bigint").alias("mes"),
+                    "total_amount_usd"), ["ano", "mes"], "total_amount_usd")
+    null = F.lit(None).cast("bigint")
+    both = months.withColumn("part", F.lit("month")).unionByName(
+        moments.merge_states(months, []).select(F.lit("all").alias("part"), null.alias("ano"), null.alias("mes"), *moments.STATE))
+    return moments.with_moments(both).select("part", "ano", "mes", "n", F.round("mean", 4).alias("mean"),
+                                             F.round("deviation", 4).alias("deviation"))
+
+
+def _orders_with_repeated_ids(spark, sf_dir):
+    """The fact, and its order numbers without the line number: an order has several rows.
+
+    The key map of all (customer, order) pairs is written once.
+    """
+    fact = _analytics(spark, sf_dir, "fact_ventas").withColumn("order_id", F.expr("order_id div 10"))
+
+    def make():
+        out = scratch_path(spark, "order-map")
+        distinct.dense_key_map(fact, "customer_id", "order_id").write.parquet(out)
+        return out
+
+    return fact, read_layer(spark, _once(spark, sf_dir, "order-map", make))
+
+
+def q_distinct_orders_by_quarter(spark, sf_dir):
+    fact, numbers = _orders_with_repeated_ids(spark, sf_dir)
+    dated = fact.withColumns({"ano": F.year("order_date").cast("bigint"), "mes": F.month("order_date").cast("bigint"),
+                              "trimestre": F.quarter("order_date").cast("bigint")})
+    months = distinct.distinct_states(dated, numbers, "customer_id", "order_id", ["ano", "trimestre", "mes"])
+    return distinct.count_all(distinct.merge_states(months, ["ano", "trimestre"]), ["ano", "trimestre"], "n_orders")
+
+
+def q_distinct_orders_by_customer(spark, sf_dir):
+    fact, numbers = _orders_with_repeated_ids(spark, sf_dir)
+    states = distinct.distinct_states(fact.withColumn("ano", F.year("order_date").cast("bigint")), numbers,
+                                      "customer_id", "order_id", ["ano"])
+    return distinct.count_by_owner(states, numbers, "customer_id", ["ano"], "n_orders")
+
+
+def q_report_top_customers_distinct(spark, sf_dir):
+    fact, numbers = _orders_with_repeated_ids(spark, sf_dir)
+    return reports.top_customers_by_distinct_orders(fact, numbers, _analytics(spark, sf_dir, "dim_customers"), 3)
+
+
+# --- keyed update and publish (S10, S11, E1) ---------------------------------------
+def q_keyed_update_email(spark, sf_dir):
+    """The customers layer after the e-mails of the latest quarter's buyers were hashed in place."""
+    def make():
+        root, fact = scratch_path(spark, "customers"), _analytics(spark, sf_dir, "fact_ventas")
+        versions.create(spark, root, _analytics(spark, sf_dir, "dim_customers"), "customer_id",
+                        spark.sparkContext.defaultParallelism)
+        bounds = reports.latest_quarter_bounds(fact)
+        buyers = fact.where(F.col("order_date") >= bounds.getField("lo")).select("customer_id").distinct()
+        changes = versions.read_version(spark, root).join(buyers, "customer_id", "left_semi") \
+            .select("customer_id", P.hash_column("email").alias("email"))
+        versions.update_by_key(spark, root, changes, "customer_id")
+        return root
+
+    return versions.read_version(spark, _once(spark, sf_dir, "customers", make))
+
+
+def q_published_fact(spark, sf_dir):
+    """The fact that readers of the published run see."""
+    def make():
+        root = scratch_path(spark, "published")
+        raw = dict(zip(("customers", "products", "orders"), _raw(spark, sf_dir)))
+        run_published(spark, raw, root, "first", country=COUNTRY, key_type=KEY_TYPE)
+        return root
+
+    return read_published(spark, _once(spark, sf_dir, "published", make), "fact_ventas")
+
+
+# --- date order per source (C6, N4) and range join (J5) ----------------------------
+def q_date_order_decisions(spark, sf_dir):
+    return date_order.decide(date_order.evidence(driver_raw.raw_order_dates(spark, sf_dir), "source", ["order_date"]))
+
+
+def q_date_order_cast(spark, sf_dir):
+    raw = driver_raw.raw_order_dates(spark, sf_dir)
+    return date_order.read_dates(raw, q_date_order_decisions(spark, sf_dir), "source", "order_date", "order_moment")
+
+
+def q_join_calendar_ranges(spark, sf_dir):
+    """Orders and revenue of overlapping ranges: every three months in a row, and every year."""
+    fact = _analytics(spark, sf_dir, "fact_ventas").select("order_date", "total_amount_usd")
+
+    def spans(name, unit, months):
+        start = F.trunc("order_date", unit)
+        return fact.where("order_date IS NOT NULL").select(
+            F.lit(name).alias("span"), start.cast("timestamp_ntz").alias("range_start"),
+            F.last_day(F.add_months(start, months - 1)).cast("timestamp_ntz").alias("range_end")).distinct()
+
+    joined = ranges.range_join(fact, spans("quarter", "month", 3).union(spans("year", "year", 12)),
+                               "order_date", "range_start", "range_end", ranges.day_bins(92))
+    return joined.groupBy("span", "range_start", "range_end").agg(
+        F.count(F.lit(1)).alias("n_orders"),
+        F.sum(F.col("total_amount_usd").cast(reports.SUM_TYPE)).cast(reports.SUM_TYPE).alias("revenue_total"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in list(globals().items())
     if name.startswith("q_") and callable(fn)

@@ -17,6 +17,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .distinct import count_by_owner, distinct_states
+from .moments import deviation, mean, moment_states
+
 SUM_TYPE = "decimal(38,2)"
 
 
@@ -64,6 +67,21 @@ def top_customers_latest_quarter(fact: DataFrame, dim_c: DataFrame, n: int = 3,
                        F.asc("customer_id")).limit(n)
 
 
+def top_customers_by_distinct_orders(fact: DataFrame, key_map: DataFrame, dim_c: DataFrame, n: int = 3) -> DataFrame:
+    """R1 where order ids repeat: distinct orders by the bitmaps of ``operators.distinct``.
+
+    ``key_map`` numbers the (customer_id, order_id) pairs of the fact, or of more rows.
+    """
+    bounds = latest_quarter_bounds(fact)
+    in_quarter = fact.filter((F.col("order_date") >= bounds.getField("lo"))
+                             & (F.col("order_date") <= bounds.getField("hi")))
+    states = distinct_states(in_quarter, key_map, "customer_id", "order_id", [])
+    counts = count_by_owner(states, key_map, "customer_id", [], "cantidad_pedidos")
+    named = counts.join(dim_c.select("customer_id", "first_name", "last_name"), on="customer_id", how="inner")
+    return named.select("customer_id", full_name().alias("nombre_completo"), "cantidad_pedidos") \
+        .orderBy(F.desc("cantidad_pedidos"), F.asc("nombre_completo"), F.asc("customer_id")).limit(n)
+
+
 def revenue_by_month_category(fact: DataFrame, dim_p: DataFrame) -> DataFrame:
     """R2: gross revenue (sum of totals, not net) by year, month and category.
 
@@ -77,11 +95,9 @@ def revenue_by_month_category(fact: DataFrame, dim_p: DataFrame) -> DataFrame:
 
 
 def total_stats(fact: DataFrame, col: str = "total_amount_usd"):
-    """A4/A5: mean (exact decimal sum / count, as double) and sample deviation."""
-    x = F.col(col)
-    mean = F.sum(x.cast(SUM_TYPE)).cast("double") / F.nullif(F.count(x), F.lit(0))
-    sd = F.stddev_samp(x.cast("double"))
-    return fact.agg(F.struct(mean.alias("mean"), sd.alias("sd")).alias("s")).scalar()
+    """A4/A5: scalar (mean, sd), the same bits for every order and partitioning of the rows."""
+    state = moment_states(fact, [], col)
+    return state.select(F.struct(mean().alias("mean"), F.when(F.col("n") > 1, deviation()).alias("sd")).alias("s")).scalar()
 
 
 def zscore_outliers(fact: DataFrame, threshold: float = 2.0,

@@ -83,49 +83,59 @@ def build_reports(fact: DataFrame, dim_c: DataFrame, dim_p: DataFrame,
 
 def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
                country: str = stage.DEFAULT_COUNTRY, check: bool = True, key_type: str = "int",
-               on_step: Callable[[str, float], None] | None = None) -> Reports:
+               on_step: Callable[[str, float], None] | None = None, is_done: Callable[[str], bool] | None = None,
+               set_done: Callable[[str], None] | None = None) -> Reports:
     """Write stage, analytics and protected layers under ``out_dir``; return the reports.
 
     ``raw`` maps ``customers``, ``products`` and ``orders`` to raw text
     tables (from ``sources.csv_folder.load_raw_folder`` or the driver tables).
-    ``on_step(name, seconds)`` is called after each layer is written.
+    ``on_step(name, seconds)`` is called after each layer is written. A layer for which
+    ``is_done(name)`` holds is taken as it lies there; ``set_done(name)`` is called for every other
+    one once it is complete (see ``plans.publish``).
     """
     def path(name: str) -> str:
         return os.path.join(out_dir, name)
 
     clock = [time.perf_counter()]
 
+    def done(name: str) -> bool:
+        return is_done is not None and is_done(name)
+
     def step(name: str) -> None:
+        if set_done:
+            set_done(name)
         now = time.perf_counter()
         if on_step:
             on_step(name, now - clock[0])
         clock[0] = now
 
     # Stage layer: one write per table, load stamp added on write only.
-    built = build_layers(raw["customers"], raw["products"], raw["orders"], country, key_type)
-    in_parallel(*[
-        (lambda df=df, name=name: write_layer(with_load_stamp(df, "fecha_actualizacion_stage"),
-                                              path(name)))
-        for name, df in (("stg_orders", built.stg_orders),
-                         ("stg_customers", built.stg_customers),
-                         ("stg_products", built.stg_products))])
+    if not done("stage"):
+        built = build_layers(raw["customers"], raw["products"], raw["orders"], country, key_type)
+        in_parallel(*[
+            (lambda df=df, name=name: write_layer(with_load_stamp(df, "fecha_actualizacion_stage"),
+                                                  path(name)))
+            for name, df in (("stg_orders", built.stg_orders),
+                             ("stg_customers", built.stg_customers),
+                             ("stg_products", built.stg_products))])
+        step("stage")
     stg_c = read_layer(spark, path("stg_customers")).drop("fecha_actualizacion_stage")
     stg_p = read_layer(spark, path("stg_products")).drop("fecha_actualizacion_stage")
     stg_o = read_layer(spark, path("stg_orders")).drop("fecha_actualizacion_stage")
-    step("stage")
 
     # Analytics layer (unprotected; kept private to the run).
-    dim_c = model.dim_customers(stg_c, key_type)
-    dim_p = model.dim_products(stg_p, key_type)
-    in_parallel(lambda: write_layer(dim_c, path("analytics/dim_customers")),
-                lambda: write_layer(dim_p, path("analytics/dim_products")))
+    if not done("analytics"):
+        in_parallel(lambda: write_layer(model.dim_customers(stg_c, key_type), path("analytics/dim_customers")),
+                    lambda: write_layer(model.dim_products(stg_p, key_type), path("analytics/dim_products")))
+        write_layer(model.fact_sales(stg_o, read_layer(spark, path("analytics/dim_customers")),
+                                     read_layer(spark, path("analytics/dim_products")), key_type),
+                    path("analytics/fact_ventas"))
+        step("analytics")
     dim_c = read_layer(spark, path("analytics/dim_customers"))
     dim_p = read_layer(spark, path("analytics/dim_products"))
-    write_layer(model.fact_sales(stg_o, dim_c, dim_p, key_type), path("analytics/fact_ventas"))
     fact = read_layer(spark, path("analytics/fact_ventas"))
-    step("analytics")
 
-    if check:
+    if check and not done("checks"):
         # Keys and the declared VARCHAR(n) sizes: any offending row fails the run,
         # as the reference's constraints would fail its inserts. One grouped scan
         # per table covers its key and its text sizes. References hold by the
@@ -142,17 +152,18 @@ def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     # Protected layer: the only one the reports read.
     # The fact is sorted by order date inside each task (no shuffle): Parquet
     # row groups then cover narrow date ranges, so date-bounded reads (R1) skip most.
-    in_parallel(
-        lambda: write_layer(with_load_stamp(protect.protect_sales(fact))
-                            .sortWithinPartitions("order_date"),
-                            path("protected/fact_ventas")),
-        lambda: write_layer(with_load_stamp(protect.protect_customers(dim_c)),
-                            path("protected/dim_customers")),
-        lambda: write_layer(with_load_stamp(dim_p), path("protected/dim_products")))
+    if not done("protect"):
+        in_parallel(
+            lambda: write_layer(with_load_stamp(protect.protect_sales(fact))
+                                .sortWithinPartitions("order_date"),
+                                path("protected/fact_ventas")),
+            lambda: write_layer(with_load_stamp(protect.protect_customers(dim_c)),
+                                path("protected/dim_customers")),
+            lambda: write_layer(with_load_stamp(dim_p), path("protected/dim_products")))
+        step("protect")
     p_dim_c = read_layer(spark, path("protected/dim_customers")).drop("fecha_carga")
     p_dim_p = read_layer(spark, path("protected/dim_products")).drop("fecha_carga")
     p_fact = read_layer(spark, path("protected/fact_ventas")).drop("fecha_carga")
-    step("protect")
     found = build_reports(p_fact, p_dim_c, p_dim_p, keys_checked=check)
     found.dropped = dropped_rows(raw["customers"], raw["products"], raw["orders"],
                                  stg_c, stg_p, stg_o, key_type)

@@ -305,3 +305,22 @@ def raw_orders(spark: SparkSession, base_dir: str) -> DataFrame:
     src = load_table(spark, base_dir, "lineitem").join(
         load_table(spark, base_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     return _select(src, order_exprs("spark"))
+
+
+# --- order dates whose sources write them in different orders (C6, N4) --------------
+# One source per priority: month first, day first, day first with short years, a source
+# whose days never exceed 12, and one that mixes both. Valid in Spark and DuckDB.
+_TWO = "lpad(CAST({} AS STRING), 2, '0')"
+_DAY, _MONTH, _YEAR = _TWO.format("day(o_orderdate)"), _TWO.format("month(o_orderdate)"), "CAST(year(o_orderdate) AS STRING)"
+ORDER_DATE_TEXT = f"""CASE o_orderpriority
+    WHEN '1-URGENT' THEN {_MONTH} || '/' || {_DAY} || '/' || {_YEAR}
+    WHEN '2-HIGH' THEN {_DAY} || '/' || {_MONTH} || '/' || {_YEAR}
+    WHEN '3-MEDIUM' THEN '"' || {_DAY} || '-' || {_MONTH} || '-' || substr({_YEAR}, 3, 2) || '"'
+    WHEN '4-NOT SPECIFIED' THEN {_TWO.format("(day(o_orderdate) - 1) % 12 + 1")} || '/' || {_MONTH} || '/' || {_YEAR}
+    ELSE CASE WHEN o_orderkey % 2 = 0 THEN {_DAY} || '/' || {_MONTH} ELSE {_MONTH} || '/' || {_DAY} END || '/' || {_YEAR} END"""
+
+
+def raw_order_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """o_orderkey, source, order_date (text) of every order."""
+    return load_table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_orderpriority AS source", f"{ORDER_DATE_TEXT} AS order_date")
