@@ -33,6 +33,7 @@ import hashlib
 import json
 import os
 import re
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -49,7 +50,7 @@ BLOCK_BYTES = 8 << 20
 #: Characters aligned at a time.
 PART_CHARS = 1 << 18
 #: Stretches and their characters that a task remembers before it starts anew.
-MEMO = 1 << 18
+MEMO = 1 << 17
 MEMO_CHARS = 1 << 23
 #: New stretches given to the libraries as one text.
 TOGETHER = 256
@@ -66,14 +67,14 @@ class TokenizerA:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
-        spec["truncation"] = spec["padding"] = None
-        self._library = Tokenizer.from_str(json.dumps(spec))
+        self._library = Tokenizer.from_file(path)
+        self._library.no_truncation()
+        self._library.no_padding()
         self._library.encode_special_tokens = True
-        split = spec.get("pre_tokenizer") or {}
+        split = self._library.pre_tokenizer
+        split = json.loads(split.__getstate__()) if split is not None else {}
         #: Whether stretches that begin with a blank are encoded independently.
-        self.by_stretch = spec.get("normalizer") is None and split.get("type") == "ByteLevel" \
+        self.by_stretch = self._library.normalizer is None and split.get("type") == "ByteLevel" \
             and split.get("use_regex") is True and split.get("add_prefix_space") is False
         byte_of = {letter: byte for byte, letter in byte_letters().items()}
         self.token_bytes = {i: bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
@@ -253,6 +254,12 @@ class Aligner:
                 *_summed(pairs, np.ones(len(pairs), np.int64)))
 
 
+@lru_cache(maxsize=1)
+def _aligner(a_path: str, b_path: str) -> Aligner:
+    """One for all tasks of a worker process."""
+    return Aligner(a_path, b_path)
+
+
 def _summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct codes in order and the sums of their counts."""
     if not len(codes):
@@ -273,7 +280,7 @@ def aligned_texts(texts: DataFrame, a_path: str, b_path: str) -> DataFrame:
     names = ["block", "key", "copies", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "codes", "links"]
 
     def run(batches):
-        aligner, block, held = Aligner(a_path, b_path), TaskContext.get().partitionId() << 32, 0
+        aligner, block, held = _aligner(a_path, b_path), TaskContext.get().partitionId() << 32, 0
         for batch in slices(batches, "text"):
             texts, blocks = batch.column("text").to_pylist(), []
             found = aligner.measure(texts)
