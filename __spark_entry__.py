@@ -17,6 +17,7 @@ import importlib
 import importlib.util
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,11 +27,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidystar.functions import privacy as P  # noqa: E402
 from tidystar.functions import rules as R  # noqa: E402
-from tidystar.operators import checks, date_order, distinct, moments, protect, ranges, reports, stage  # noqa: E402
+from tidystar.operators import checks, date_order, distinct, model, moments, protect, ranges, reports, stage  # noqa: E402
 from tidystar.plans.layers import build_layers, ingest_folder, run_layers  # noqa: E402
 from tidystar.plans.publish import read_published, run_published  # noqa: E402
 from tidystar.session import scratch_path  # noqa: E402
-from tidystar.sources import driver_raw, versions  # noqa: E402
+from tidystar.sources import catalog, driver_raw, versions  # noqa: E402
 from tidystar.sources.csv_folder import write_raw_csv  # noqa: E402
 from tidystar.sources.tables import read_layer  # noqa: E402
 
@@ -462,6 +463,57 @@ def q_join_calendar_ranges(spark, sf_dir):
         F.sum(F.col("total_amount_usd").cast(reports.SUM_TYPE)).cast(reports.SUM_TYPE).alias("revenue_total"))
 
 
+# --- catalog tables (S5, S8, S9, C20) and collation (N2) ----------------------------
+def _table(spark, sf_dir, name, make):
+    """A catalog table that ``make(table, path)`` fills once."""
+    def once():
+        table = f"{name}_{uuid.uuid4().hex[:12]}"
+        make(table, scratch_path(spark, name))
+        return table
+
+    return _once(spark, sf_dir, f"table-{name}", once)
+
+
+def _bucketed(spark, sf_dir, name, key, df):
+    return spark.table(_table(spark, sf_dir, name, lambda table, path: catalog.save_bucketed(
+        df, table, key, 2 * spark.sparkContext.defaultParallelism, path)))
+
+
+def q_catalog_known_customers(spark, sf_dir):
+    """J1 over bucketed tables: staged orders whose customer the dimension holds."""
+    out = _layer_run(spark, sf_dir)
+    orders = _bucketed(spark, sf_dir, "stg_orders", "customer_id", read_layer(spark, os.path.join(out, "stg_orders")))
+    customers = _bucketed(spark, sf_dir, "dim_customers", "customer_id", _analytics(spark, sf_dir, "dim_customers"))
+    return model.keep_existing(orders, customers, "customer_id").drop("fecha_actualizacion_stage")
+
+
+def q_declared_dim_customers(spark, sf_dir):
+    """The dimension written into its declared table."""
+    dim = _analytics(spark, sf_dir, "dim_customers")
+
+    def make(table, path):
+        catalog.declare(spark, table, [*catalog.declared_columns(dim, model.CUSTOMER_TEXT_LIMITS), catalog.LOAD_STAMP], path)
+        catalog.insert(dim, table)
+
+    return spark.table(_table(spark, sf_dir, "declared_customers", make)).drop("fecha_carga")
+
+
+def q_view_fact_ventas(spark, sf_dir):
+    """The fact with net amounts computed on read; its files hold none."""
+    fact = _analytics(spark, sf_dir, "fact_ventas")
+    table = _table(spark, sf_dir, "plain_fact", lambda table, path: fact.drop("net_amount_usd").write
+                   .format("parquet").option("path", path).saveAsTable(table))
+    return catalog.net_amount_view(spark, table, f"view_of_{table}").select(fact.columns)
+
+
+def q_collated_customers_by_country(spark, sf_dir):
+    """Raw customers per country in any case, and whether that is the country kept by the stage."""
+    raw = driver_raw.raw_customers(spark, sf_dir).select(catalog.case_blind(R.clean_text("country", upper=False)).alias("country"))
+    return raw.groupBy("country").agg(F.count(F.lit(1)).alias("n_rows")) \
+        .select(F.upper(F.col("country").cast("string")).alias("country"),
+                (F.col("country") == catalog.case_blind(F.lit(COUNTRY.title()))).alias("is_kept"), "n_rows")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in list(globals().items())
     if name.startswith("q_") and callable(fn)
