@@ -59,15 +59,42 @@ def test_ball_tree_bounds_hold():
     rng = np.random.default_rng(2)
     x, q = rng.integers(-200, 200, (500, 6)).astype(float), rng.integers(-200, 200, (20, 6)).astype(float)
     tree = exact_topk.BallTree(x, 16)
-    bounds = tree.bounds(q)
-    assert sorted(i for _, rows in tree.leaves for i in rows) == list(range(500))
-    for n, (_, rows) in enumerate(tree.leaves):
-        assert ((q @ x[rows].T).max(axis=1) <= bounds[:, n]).all()
+    norm = np.sqrt((q ** 2).sum(axis=1))
+    assert sorted(i for rows in tree.leaves.values() for i in rows) == list(range(500))
+
+    def under(node):
+        return tree.leaves[node] if node in tree.leaves else np.concatenate([under(c) for c in tree.children[node]])
+
+    for node in range(len(tree.centers)):
+        assert ((q @ x[under(node)].T).max(axis=1) <= tree.bound(node, q, norm)).all()
+
+
+def test_subtrees_that_no_query_enters_are_not_bounded(monkeypatch):
+    """Clustered rows: the branches far from all queries are cut off near the root."""
+    rng = np.random.default_rng(5)
+    centers = rng.normal(0, 1000, (32, 6))
+    x = np.floor(np.repeat(centers, 64, axis=0) + rng.normal(0, 5, (2048, 6)))
+    q, ids = x[:8] + 1, np.arange(2048)
+    tree, bounded = exact_topk.BallTree(x, 32), set()
+    plain = exact_topk.BallTree.bound
+    monkeypatch.setattr(exact_topk.BallTree, "bound", lambda self, node, *a: (bounded.add(node), plain(self, node, *a))[1])
+    best = exact_topk.search_shard(tree, ids, x, np.full(8, -1), q, 5, np.full(8, -np.inf))
+    products = q @ x.T
+    expected = [sorted(zip(-row, ids))[:5] for row in products]
+    assert [[(-s, i) for s, i in zip(a, b)] for a, b in zip(best.scores, best.ids)] == expected
+    assert len(bounded) < len(tree.centers) / 2
+
+
+def test_scores_beyond_64_bits_are_the_nearest_number(spark):
+    rows = [(0, [1e300, 1.0]), (1, [1e300, 2.0]), (2, [-1e300, 5.0]), (3, [0.0, 7.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = exact_topk.top_k_inner_product(df, F.col("vec_id") % 50 == 0, k=5, scale=1.0).collect()
+    assert sorted(tuple(r) for r in got) == [(0, 1, 1, 2 ** 63 - 1), (0, 2, 3, 7), (0, 3, 2, -2 ** 63)]
 
 
-def test_neighbours_of_few_rows_are_exact(vectors):
+def test_neighbours_of_a_whole_share_are_exact(vectors):
     rows, df = vectors
-    got = permutation_index.nearest_neighbours(df, F.col("vec_id") % 50 == 0, k=10).collect()
+    got = permutation_index.nearest_neighbours(df, F.col("vec_id") % 50 == 0, k=10, share=1.0).collect()
     expected = brute(usable(rows, False), 50, 10, lambda a, b: math.dist(a, b), 1)
     assert [(r[0], r[1], r[2]) for r in sorted(tuple(r) for r in got)] == [e[:3] for e in expected]
     assert np.allclose([r[3] for r in sorted(tuple(r) for r in got)], [e[3] for e in expected], rtol=0, atol=1e-9)
@@ -114,6 +141,15 @@ def test_recall_of_the_index(spark):
     assert hits >= 0.9 * 10 * len(found)
 
 
+def test_every_query_gets_its_number_from_small_shards(spark):
+    """No size switch: the share holds for small shards too, and never gives fewer than asked for."""
+    rng = np.random.default_rng(6)
+    for n in (3, 12, 300):
+        df = spark.createDataFrame([(i, rng.normal(size=8).tolist()) for i in range(n)], "vec_id bigint, embedding array<double>")
+        got = permutation_index.nearest_neighbours(df, F.col("vec_id") == 0, k=10, share=0.01).collect()
+        assert len(got) == min(10, n - 1) and len({r["vec_id"] for r in got}) == len(got)
+
+
 def test_footrule_of_an_index():
     rng = np.random.default_rng(3)
     x, pivots = rng.normal(size=(40, 5)), rng.normal(size=(12, 5))

@@ -1,11 +1,11 @@
 """Exact top-k inner-product search with a ball tree per shard.
 
-Every shard of candidates builds a ball tree. For a block of queries the tree's
-nodes are bounded by ``q.c + |q| r`` (a node never above its parent), leaves are
-visited per query in falling order of their bounds, and a query stops at the
-first bound below its current k-th score. The k-th score starts from a bounded
-set of seed rows (those of largest norm), scored for every query in every shard,
-so all shards share a true lower bound from the start.
+Every shard of candidates builds a ball tree once; all queries stream past it. A batch of
+queries goes down the tree together: at each node the queries whose upper bound
+``q.c + |q| r`` is below their current k-th score leave, and a subtree that no query enters is
+never bounded. The others visit the child of higher bound first. The k-th score starts from a
+bounded set of seed rows (those of largest norm): every query is scored against them
+once, and its k-th score goes with it to all shards as their shared lower bound.
 
 Scores are integers: components are ``floor(scale * x)`` in doubles. Sums stay
 exact in doubles below 2^53; beyond that the leaf products use Python integers.
@@ -13,8 +13,8 @@ exact in doubles below 2^53; beyond that the leaf products use Python integers.
 Defined results: rows with a NULL id or vector, or a NULL or non-finite
 component, take no part; vectors meet only vectors of their length; candidates
 that carry the query's id are its own and left out; other repeated rows are each
-candidates; equal scores go to the smaller id. An empty table gives an empty
-result.
+candidates; equal scores go to the smaller id. A score beyond 64 bits counts as the nearest
+64-bit number. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidystar.llm.vector_blocks import meet, one_row_per_query, unpack, usable_vectors
 
@@ -31,13 +32,14 @@ BLOCK_ROWS = 2048
 LEAF_ROWS = 128
 #: Rows of largest norm that give every query its first k-th score.
 SEEDS = 2048
+_MOST = 2 ** 63 - 1
 
 
 class BallTree:
     """Nodes with centres and radii; rows are split at the median of a far pair's direction."""
 
     def __init__(self, x: np.ndarray, leaf_rows: int = LEAF_ROWS):
-        self.centers, self.radii, self.parents, self.leaves = [], [], [], []
+        self.centers, self.radii, self.children, self.leaves = [], [], [], {}
         stack = [(np.arange(len(x)), -1)]
         while stack:
             rows, parent = stack.pop()
@@ -47,9 +49,11 @@ class BallTree:
             node = len(self.centers)
             self.centers.append(center)
             self.radii.append(away.max())
-            self.parents.append(parent)
+            self.children.append([])
+            if parent >= 0:
+                self.children[parent].append(node)
             if len(rows) <= leaf_rows or not away.max():
-                self.leaves.append((node, np.sort(rows)))
+                self.leaves[node] = np.sort(rows)
                 continue
             a = part[away.argmax()]
             b = part[((part - a) ** 2).sum(axis=1).argmax()]
@@ -57,17 +61,11 @@ class BallTree:
             half = len(rows) // 2
             stack.append((rows[order[:half]], node))
             stack.append((rows[order[half:]], node))
-        self.centers, self.radii = np.array(self.centers), np.array(self.radii)
-
-    def bounds(self, q: np.ndarray) -> np.ndarray:
-        """(queries, leaves) upper bounds of the inner products in each leaf."""
-        norm = np.sqrt((q ** 2).sum(axis=1))[:, None]
-        reach = np.sqrt((self.centers ** 2).sum(axis=1)) + self.radii
-        bound = q @ self.centers.T + norm * self.radii + 1e-9 * norm * reach + 1e-6
-        for node, parent in enumerate(self.parents):
-            if parent >= 0:
-                np.minimum(bound[:, node], bound[:, parent], out=bound[:, node])
-        return bound[:, [node for node, _ in self.leaves]]
+        self.reach = [np.sqrt((c ** 2).sum()) + r for c, r in zip(self.centers, self.radii)]
+
+    def bound(self, node: int, q: np.ndarray, norm: np.ndarray) -> np.ndarray:
+        """Upper bounds of the inner products of queries with the rows of a node."""
+        return q @ self.centers[node] + norm * (self.radii[node] + 1e-9 * self.reach[node]) + 1e-6
 
 
 def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -111,25 +109,53 @@ def _without_own(scores: np.ndarray, query_ids: np.ndarray, ids: np.ndarray) ->
     return scores
 
 
-def search_shard(ids, x, query_ids, q, k: int, floor: np.ndarray, leaf_rows: int = LEAF_ROWS) -> Best:
+def search_shard(tree: BallTree, ids, x, query_ids, q, k: int, floor: np.ndarray) -> Best:
     """The k best rows of one shard for each query that can reach ``floor`` (its known k-th score)."""
     best = Best(len(q), k)
-    tree = BallTree(x, leaf_rows)
-    bounds = tree.bounds(q)
-    order = np.argsort(-bounds, axis=1, kind="stable")
-    for turn in range(order.shape[1]):
-        leaf = order[:, turn]
-        known = np.maximum(best.scores[:, -1].astype(float), floor)
-        active = np.flatnonzero(bounds[np.arange(len(q)), leaf] >= known)
-        if not len(active):
-            break
-        for one in np.unique(leaf[active]):
-            at = active[leaf[active] == one]
-            rows = tree.leaves[one][1]
+    norm = np.sqrt((q ** 2).sum(axis=1))
+    everyone = np.arange(len(q))
+    stack = [(0, everyone, tree.bound(0, q, norm))]
+    while stack:
+        node, at, bound = stack.pop()
+        enters = bound >= np.maximum(best.scores[at, -1].astype(float), floor[at])
+        at, bound = at[enters], bound[enters]
+        if not len(at):
+            continue
+        if node in tree.leaves:
+            rows = tree.leaves[node]
             best.offer(at, _without_own(_products(q[at], x[rows]), query_ids[at], ids[rows]), ids[rows])
+            continue
+        left, right = tree.children[node]
+        # a child is never above its parent
+        of_left, of_right = (np.minimum(tree.bound(c, q[at], norm[at]), bound) for c in (left, right))
+        to_left = of_left >= of_right
+        for group, order in ((to_left, ((right, of_right), (left, of_left))), (~to_left, ((left, of_left), (right, of_right)))):
+            if group.any():  # the last one pushed is visited first
+                stack += [(child, at[group], of_child[group]) for child, of_child in order]
     return best
 
 
+def _with_floor(queries: DataFrame, seed_of: dict, k: int) -> DataFrame:
+    """Queries with their k-th best score among the seeds (-inf if there are fewer)."""
+    def run(batches):
+        for batch in batches:
+            floor = np.full(batch.num_rows, -np.inf)
+            dims = np.asarray(batch.column("dim"))
+            for dim in np.unique(dims).tolist():
+                at = np.flatnonzero(dims == dim)
+                if dim not in seed_of:
+                    continue
+                ids, x = seed_of[dim]
+                part = batch.take(pa.array(at))
+                q = np.asarray(part.column("vector").flatten(), float).reshape(len(at), dim)
+                first = Best(len(at), k)
+                first.offer(np.arange(len(at)), _without_own(_products(q, x), np.asarray(part.column("vec_id")), ids), ids)
+                floor[at] = first.scores[:, -1].astype(float)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(floor)], names=[*batch.schema.names, "floor"])
+
+    return queries.mapInArrow(run, T.StructType([*queries.schema, T.StructField("floor", T.DoubleType())]))
+
+
 def top_k_inner_product(df: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0,
                         id_col: str = "vec_id", vector_col: str = "embedding",
                         shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -150,24 +176,23 @@ def top_k_inner_product(df: DataFrame, is_query: Column, k: int = 5, scale: floa
                         np.array([s["vector"] for s in mine], float).reshape(len(mine), dim))
 
     names = ["query_id", "vec_id", "score"]
-    types = [pa.int64(), pa.int64(), pa.int64()]
-
-    def run(candidates: pa.Table, asked: pa.Table) -> pa.Table:
-        if not candidates.num_rows or not asked.num_rows:
-            return pa.table([pa.array([], t) for t in types], names=names)
-        (ids, x), (query_ids, q) = unpack(candidates), unpack(asked)
-        floor = np.full(len(q), -np.inf)
-        if q.shape[1] in seed_of:
-            seed_ids, seed_x = seed_of[q.shape[1]]
-            first = Best(len(q), k)
-            first.offer(np.arange(len(q)), _without_own(_products(q, seed_x), query_ids, seed_ids), seed_ids)
-            floor = first.scores[:, -1].astype(float)
-        best = search_shard(ids, x, query_ids, q, k, floor)
-        at, place = np.nonzero(best.scores > -np.inf)
-        return pa.table([pa.array(query_ids[at]), pa.array(best.ids[at, place]),
-                         pa.array([int(s) for s in best.scores[at, place]], pa.int64())], names=names)
-
-    found = meet(rows, queries, run, "query_id bigint, vec_id bigint, score bigint", shard_rows, block_rows)
+
+    def make(candidates: pa.Table):
+        ids, x = unpack(candidates)
+        tree = BallTree(x)
+
+        def answer(asked: pa.Table) -> pa.Table:
+            query_ids, q = unpack(asked)
+            order = np.argsort(asked.column("vec_id").to_numpy(), kind="stable")
+            best = search_shard(tree, ids, x, query_ids, q, k, asked.column("floor").to_numpy()[order])
+            at, place = np.nonzero(best.scores > -np.inf)
+            scores = [max(min(int(s), _MOST), -_MOST - 1) for s in best.scores[at, place]]
+            return pa.table([pa.array(query_ids[at]), pa.array(best.ids[at, place]), pa.array(scores, pa.int64())],
+                            names=names)
+
+        return answer
+
+    found = meet(rows, _with_floor(queries, seed_of, k), make, "query_id bigint, vec_id bigint, score bigint", shard_rows, block_rows)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -6,13 +6,14 @@ them with its position. A query reads the inverted files of its own nearest
 pivots, adds up the footrule distance of the two orders (a pivot missing from a
 prefix counts as standing just behind it), keeps the ``RERANK`` share of the
 shard's vectors with the smallest distance and reranks them by exact Euclidean
-distance. Every shard answers every block of queries; the merged result is the
-best of all shards.
+distance. Every shard answers every query; the merged result is the best of all
+shards.
 
 Every row is indexed. Equal vectors of a shard are one entry, so a flood of copies
 cannot push others out; nor can rows with the query's own id, however many. The share reranked is a
-fraction of the shard, not a fixed number, and never below ``LEAST`` entries, so
-each query gets all candidates if there are fewer than asked for.
+fraction of the shard at every size, and at least as many entries as are asked for, so
+each query gets all candidates if there are fewer. A shard's index is built once and
+all queries stream past it.
 
 Defined results: rows with a NULL id or vector, a NULL or non-finite component,
 or only zeros take no part; vectors meet only vectors of their length;
@@ -35,7 +36,6 @@ PIVOTS = 512
 PREFIX = 128
 #: Share of a shard's distinct vectors that is reranked.
 RERANK = 0.35
-LEAST = 256
 SHARD_ROWS = 8192
 BLOCK_ROWS = 2048
 
@@ -98,20 +98,29 @@ def _distinct(ids: np.ndarray, x: np.ndarray):
     return x[first[by_id]], [ids[order[a:a + c]] for a, c in zip(begins[by_id], counts[by_id])], place[which]
 
 
-def search_shard(ids, x, query_ids, q, pivots, k: int, prefix: int, share: float, least: int):
-    """(query_id, vec_id, distance) of the k nearest found in one shard (in id order) for each query.
+class Shard:
+    """The index of one shard (rows in id order)."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, pivots: np.ndarray, prefix: int):
+        self.ids = ids
+        self.x, self.members, self.entries = _distinct(ids, x)
+        self.index = PermutationIndex(self.x, pivots, prefix)
+        self.smallest = np.array([m[0] for m in self.members])
+
+
+def search_shard(shard: Shard, query_ids: np.ndarray, q: np.ndarray, k: int, share: float, least: int = 0):
+    """(query_id, vec_id, distance) of the k nearest found in one shard for each query.
 
     Rows with the query's id are left out before anything is cut.
     """
-    x, members, entries = _distinct(ids, x)
-    index = PermutationIndex(x, pivots, prefix)
-    smallest = np.array([m[0] for m in members])
+    ids, x, members, entries, smallest = shard.ids, shard.x, shard.members, shard.entries, shard.smallest
+    index, pivots = shard.index, shard.index.pivots
     begins, ends = np.searchsorted(ids, query_ids), np.searchsorted(ids, query_ids, side="right")
     out = []
     for query_id, vector, order, a, b in zip(query_ids.tolist(), q, nearest_pivots(q, pivots, index.prefix), begins, ends):
         others = {e: members[e][members[e] != query_id] for e in np.unique(entries[a:b]).tolist()}
         alone = np.array([e for e, m in others.items() if not len(m)], np.int64)
-        at = index.nearest(order, share, least, alone)
+        at = index.nearest(order, share, max(least, k), alone)
         first_id = smallest
         if len(others) > len(alone):
             first_id = smallest.copy()
@@ -128,11 +137,12 @@ def search_shard(ids, x, query_ids, q, pivots, k: int, prefix: int, share: float
 
 def nearest_neighbours(df: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id",
                        vector_col: str = "embedding", n_pivots: int = PIVOTS, prefix: int = PREFIX,
-                       share: float = RERANK, least: int = LEAST, shard_rows: int = SHARD_ROWS,
+                       share: float = RERANK, least: int = 0, shard_rows: int = SHARD_ROWS,
                        block_rows: int = BLOCK_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score (Euclidean distance) of the k nearest found for every query.
 
-    ``is_query`` is a condition on the column ``vec_id``.
+    ``is_query`` is a condition on the column ``vec_id``. ``share`` of each shard is reranked, or ``least``
+    entries, or k, whichever is most.
     """
     rows = usable_vectors(df, id_col, vector_col, zero=False)
     queries = one_row_per_query(rows, is_query)
@@ -144,15 +154,17 @@ def nearest_neighbours(df: DataFrame, is_query: Column, k: int = 10, id_col: str
 
     names, types = ["query_id", "vec_id", "score"], [pa.int64(), pa.int64(), pa.float64()]
 
-    def run(candidates: pa.Table, asked: pa.Table) -> pa.Table:
-        found = []
-        if candidates.num_rows and asked.num_rows:
-            (ids, x), (query_ids, q) = unpack(candidates), unpack(asked)
-            mine = pivots.get(x.shape[1], x[:1])  # a rare length without pivots: its first vector
-            found = search_shard(ids, x, query_ids, q, mine, k, prefix, share, least)
-        columns = list(zip(*found)) or [[], [], []]
-        return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+    def make(candidates: pa.Table):
+        ids, x = unpack(candidates)
+        # a rare length without pivots: its first vector
+        shard = Shard(ids, x, pivots.get(x.shape[1], x[:1]), prefix)
+
+        def answer(asked: pa.Table) -> pa.Table:
+            columns = list(zip(*search_shard(shard, *unpack(asked), k, share, least))) or [[], [], []]
+            return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
+        return answer
 
-    found = meet(rows, queries, run, "query_id bigint, vec_id bigint, score double", shard_rows, block_rows)
+    found = meet(rows, queries, make, "query_id bigint, vec_id bigint, score double", shard_rows, block_rows)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

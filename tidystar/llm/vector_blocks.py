@@ -1,9 +1,10 @@
-"""Vectors dealt to shards and queries dealt to blocks, met block by block.
+"""Vectors dealt to shards, queries streamed past them.
 
 A stated query set meets all rows without a cross join of rows: candidates are
-dealt evenly to shards of about ``shard_rows`` rows, queries to blocks of about
-``block_rows`` rows, and every (shard, block) pair is one Arrow group of bounded
-size. Vectors of different lengths never meet.
+dealt evenly to shards of about ``shard_rows`` rows, and every query is sent once to every
+shard. A shard's rows come first in its partition and become its index, once; its queries
+follow in Arrow batches, so a task holds one shard and one batch, however many queries there
+are. Vectors of different lengths never meet.
 """
 
 from __future__ import annotations
@@ -35,17 +36,40 @@ def one_row_per_query(rows: DataFrame, is_query: Column) -> DataFrame:
         .withColumn("dim", F.size("vector"))
 
 
-def meet(rows: DataFrame, queries: DataFrame, fn, schema: str, shard_rows: int, block_rows: int) -> DataFrame:
-    """``fn(candidates, queries)`` on the Arrow tables of every (dim, shard, block)."""
-    n_rows, n_queries = rows.count(), queries.count()
-    shards = max(1, -(-n_rows // shard_rows))
-    blocks = max(1, -(-n_queries // block_rows))
-    dealt = rows.withColumn("shard", (F.monotonically_increasing_id() % shards).cast("int")) \
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    asked = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")) \
-        .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    keys = ["dim", "shard", "block"]
-    return dealt.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(fn, schema)
+def meet(rows: DataFrame, queries: DataFrame, make, schema: str, shard_rows: int, block_rows: int) -> DataFrame:
+    """What ``make(candidates)``, a function of a table of queries, gives for every (dim, shard).
+
+    ``rows`` and ``queries`` hold vec_id, vector and dim, ``queries`` perhaps more columns.
+    """
+    shards = max(1, -(-rows.count() // shard_rows))
+    more = [c for c in queries.columns if c not in ("vec_id", "vector", "dim")]
+    dealt = rows.select("vec_id", "vector", "dim", *(F.lit(None).cast(queries.schema[c].dataType).alias(c) for c in more),
+                        (F.monotonically_increasing_id() % shards).cast("int").alias("shard"), F.lit(0).alias("turn"))
+    asked = queries.select("vec_id", "vector", "dim", *more,
+                           F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("turn"))
+
+    def run(batches):
+        shard, held, answer = None, [], None
+        for batch in batches:
+            key = [np.asarray(batch.column(c)) for c in ("dim", "shard", "turn")]
+            cuts = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1 if batch.num_rows else []
+            for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+                if a == b:
+                    continue
+                here = (key[0][a], key[1][a])
+                if here != shard:
+                    shard, held, answer = here, [], None
+                part = batch.slice(a, b - a)
+                if not key[2][a]:
+                    held.append(part)
+                elif held or answer:
+                    if answer is None:
+                        answer, held = make(pa.Table.from_batches(held)), []
+                    for at in range(0, part.num_rows, block_rows):
+                        yield from answer(pa.Table.from_batches([part.slice(at, block_rows)])).to_batches()
+
+    return dealt.union(asked).repartition("dim", "shard").sortWithinPartitions("dim", "shard", "turn", "vec_id") \
+        .mapInArrow(run, schema)
 
 
 def unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
