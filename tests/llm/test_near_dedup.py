@@ -77,3 +77,39 @@ def test_keep_one_per_group_keeps_all_columns(spark, odd_docs):
 def test_empty_table(spark, make_docs):
     assert near_dedup.near_duplicates(spark, make_docs([]), 2).count() == 0
     assert near_dedup.keep_one_per_group(spark, make_docs([]), 2).count() == 0
+
+
+def brute_by_matrix(rows, k):
+    """As ``brute``, with all intersections from one product of set matrices."""
+    import numpy as np
+
+    sets = [shingles(t, k) for _, t in rows]
+    number = {g: i for i, g in enumerate(sorted(set().union(*sets)))}
+    x = np.zeros((len(rows), len(number)), np.float32)
+    for i, s in enumerate(sets):
+        x[i, [number[g] for g in s]] = 1
+    common, size = x @ x.T, x.sum(axis=1)
+    linked = 100 * common >= 80 * (size[:, None] + size - common)
+    label = np.arange(len(rows))
+    while True:
+        low = np.array([label[row].min() for row in linked])
+        if (low == label).all():
+            return {rows[i][0]: min(rows[j][0] for j in np.flatnonzero(label == label[i])) for i in range(len(rows))}
+        label = low
+
+
+@pytest.mark.parametrize("tile", [64, 4096])
+def test_a_family_of_thousands_in_many_components(spark, make_docs, monkeypatch, tile):
+    monkeypatch.setattr(near_dedup, "TILE", tile)
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(60)]
+    texts = set()
+    while len(texts) < 3000:
+        copy = base.copy()
+        for _ in range(rng.choice([1, 2, 4, 5, 6, 8])):
+            copy[rng.randrange(60)] = f"v{rng.randrange(40)}"
+        texts.add(" ".join(copy))
+    rows = list(enumerate(sorted(texts)))
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(spark, make_docs(rows), 2).collect()}
+    want = brute_by_matrix(rows, 2)
+    assert got == want and len(set(want.values())) > 20

@@ -16,8 +16,8 @@ row per class, so large groups of copies cost one row each.
 4. Survivors are confirmed on full sets. Components of confirmed links follow by
    distributed minimum-label propagation with pointer jumping.
 5. Classes that met the same central class but still lie in different components
-   are searched for links: pairs are tested by estimate and full sets inside the
-   join, and only links leave it; components are then closed.
+   are searched for links, in tiles of bounded size: pairs are tested by estimate and
+   full sets inside the join, and only links leave it; components are then closed.
 
 With 24 bands of 4 rows (the first 96 minima) a pair of similarity 0.8 shares no
 band with probability 3e-6, and the margin is more than 4 standard deviations of
@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidystar.llm.common import (SLICE_BYTES, annotate, blank_cuts, cut_lineage,
-                                 fresh_name, is_blank, mix64, seeded_words, slices,
+                                 fresh_name, is_blank, join_hot, mix64, seeded_words, slices,
                                  text_buffers)
 
 N_HASHES = 512
@@ -47,6 +47,8 @@ ROWS = 4
 BITS = 2
 #: How far below the threshold a b-bit estimate may lie before a pair is dropped.
 MARGIN = 0.09
+#: Classes of a head in one tile of the search across components.
+TILE = 256
 _WORDS64 = N_HASHES * BITS // 64
 _SIG = [f"s{i}" for i in range(_WORDS64)]
 
@@ -264,29 +266,52 @@ def _cross_links(spark: SparkSession, docs: DataFrame, buckets: DataFrame, class
                  k: int, threshold: float) -> DataFrame | None:
     """Links between classes that met the same central class but lie in different components.
 
-    Pairs are tested where they meet and only links leave the join. First a semi
-    join finds the classes that have any partner across components by the estimate;
-    only those bring their sets. Band keys of two classes hold no untested pair.
+    A pair across components has a stray: a class that is not in its centre's component. So
+    only strays ask, and only heads with strays are looked at. Askers and asked of a head
+    are dealt to tiles of about ``TILE`` rows, and each pair of tiles is a join key of its own,
+    so a head of any size spreads over many tasks. Pairs are tested where they meet and
+    only links leave the join; a semi join by the estimate tells first which classes bring
+    their sets.
     """
-    rows = buckets.where("n > 2").select("head", "node").distinct().join(labels, "node", "left") \
-        .select("head", "node", F.coalesce("label", "node").alias("comp"))
-    split = rows.groupBy("head").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
-        .where(F.col("lo") != F.col("hi")).select("head")
-    rows = rows.join(split, "head", "left_semi").join(classes.select("node", "n_shingles", *_SIG), "node")
-    x, y = rows.alias("x"), rows.alias("y")
-    near = cut_lineage(spark, x.join(
-        y, (F.col("x.head") == F.col("y.head")) & (F.col("x.comp") != F.col("y.comp"))
-        & estimate_passes("x", "y", threshold), "left_semi"), "near")
+    met = buckets.where("n > 2").select("head", "node").distinct()
+    heads = met.groupBy("head").agg(F.count("*").alias("size")) \
+        .join(labels.select(F.col("node").alias("head"), F.col("label").alias("main")), "head", "left") \
+        .select("head", "size", F.coalesce("main", "head").alias("main"))
+    rows = met.join(labels, "node", "left").select("head", "node", F.coalesce("label", "node").alias("comp"))
+    rows = cut_lineage(spark, join_hot(rows, heads, "head", "size"), "met")
+    strays = rows.where("comp != main").groupBy("head").agg(F.count("*").alias("strays"), F.first("size").alias("size"))
+    strays = cut_lineage(spark, strays, "strays")
+    if strays.isEmpty():
+        return None
+    rows = join_hot(rows.drop("size"), strays, "head", "size") \
+        .join(classes.select("node", "n_shingles", *_SIG), "node")
+    rows = cut_lineage(spark, rows, "mixed")
+
+    def tile(rows_of: str, seed: int):
+        return F.pmod(F.xxhash64("node", F.lit(seed)), F.ceil(F.col(rows_of) / TILE)).alias
+
+    def every(rows_of: str):
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col(rows_of) / TILE) - 1)).alias
+
+    def tiles(found: DataFrame) -> tuple[DataFrame, DataFrame, object]:
+        """Askers, asked, and when two of them are a pair across components."""
+        x = found.where("comp != main").select("*", tile("strays", 1)("tx"), every("size")("ty")).alias("x")
+        y = found.select("*", tile("size", 2)("ty"), every("strays")("tx")).alias("y")
+        same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("head", "tx", "ty")]
+        return x, y, same[0] & same[1] & same[2] & (F.col("x.comp") != F.col("y.comp"))
+
+    x, y, pair = tiles(rows)
+    pair = pair & estimate_passes("x", "y", threshold)
+    near = cut_lineage(spark, x.join(y, pair, "left_semi").select("node")
+                       .union(y.join(x, pair, "left_semi").select("node")).distinct(), "near")
     if near.isEmpty():
         return None
-    sets = cut_lineage(spark, _sets_of(docs, classes, near.select("node").distinct(), k), "sets")
-    full = near.join(sets.dropDuplicates(["node"]), "node")
-    x, y = full.alias("x"), full.alias("y")
+    sets = cut_lineage(spark, _sets_of(docs, classes, near, k), "sets").dropDuplicates(["node"])
+    x, y, pair = tiles(rows.join(sets, "node"))
     pct = round(100 * threshold)
     common = F.size(F.array_intersect("x.shingles", "y.shingles"))
     linked = (100 + pct) * common >= pct * (F.col("x.n_shingles") + F.col("y.n_shingles"))
-    return (x.join(y, (F.col("x.head") == F.col("y.head")) & (F.col("x.comp") < F.col("y.comp"))
-                   & estimate_passes("x", "y", threshold) & linked)
+    return (x.join(y, pair & estimate_passes("x", "y", threshold) & linked)
             .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct())
 
 

@@ -180,12 +180,14 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, learn: Column,
         phase=rng.uniform(0, 2 * np.pi, FEATURES))
 
     gram, right = np.zeros((2, FEATURES + 1, FEATURES + 1)), np.zeros((2, FEATURES + 1))
-    for r in _normal_parts(rows, model).collect():  # bounded by FEATURES squared
-        value = float(r["value"])
-        if r["j"] < 0:
-            right[r["fold"], r["i"]] = value / _SCALE
-        else:
-            gram[r["fold"], r["i"], r["j"]] = gram[r["fold"], r["j"], r["i"]] = value / _SCALE ** 2
+    parts = _normal_parts(rows, model).toArrow()  # bounded by FEATURES squared
+    fold, i, j = (parts.column(c).to_numpy() for c in ("fold", "i", "j"))
+    value = parts.column("value").cast(pa.float64()).to_numpy()
+    of_label = j < 0
+    right[fold[of_label], i[of_label]] = value[of_label] / _SCALE
+    fold, i, j, value = (x[~of_label] for x in (fold, i, j, value))
+    gram[fold, i, j] = gram[fold, j, i] = value / _SCALE ** 2
+    del parts, fold, i, j, value
     model.weights = _solve(gram.sum(axis=0), right.sum(axis=0))
     other = [_solve(gram[1 - f], right[1 - f]) for f in (0, 1)]
 
