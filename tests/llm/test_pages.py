@@ -105,6 +105,18 @@ def test_rules_are_posted_under_their_rarest_token():
     assert set(index.by_token) == {"en", "a"} and len(index.always) == 1
 
 
+def test_many_rules_only_compile_what_their_tokens_fetch(spark):
+    rules = [url_filter.pattern_rule("block", f"^word{i}^") for i in range(20_000)] + [url_filter.host_rule("block", "org/")]
+    index = url_filter.RuleIndex(rules, {})
+    assert index.judge("a.org/word17/x") == ("org/", "block", None) and index.judge("a.com/word17") == (None, "block", "^word17^")
+    assert len(index._compiled) == 2
+    pages = make(spark, [(1, "http://a.com/word19999?", ""), (2, "http://a.com/word20000", ""), (3, "http://b.org/", "")])
+    got = {r["page_id"]: (r["rule"], r["verdict"], r["pattern"]) for r in url_filter.judge_urls(spark, pages, rules).collect()}
+    assert got == {1: (None, "block", "^word19999^"), 2: (None, "allow", None), 3: ("org/", "block", None)}
+    counts = url_filter.token_counts(spark, pages.selectExpr("url AS target"), ["a", "word20000", "none"])
+    assert counts == {"a": 2, "word20000": 1}
+
+
 @pytest.mark.parametrize("name", ["op3_warc_transactions", "op4_rarest_token_url_rules"])
 def test_against_sql(spark, name):
     con = duck_connection(SF)

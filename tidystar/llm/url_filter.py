@@ -4,8 +4,9 @@ A rule's pattern becomes a regular expression and a list of literal tokens
 (runs of a-z and 0-9) that every matching URL holds whole. Spark counts the
 rules' tokens over all URLs; each rule is posted under its rarest token. A URL's
 tokens fetch the candidate rules, and only those (and the few rules without a
-sure token) run their expressions. Judging is one narrow pass; the index is a
-bounded driver-side table (``MAX_RULES``).
+sure token) run their expressions, each compiled when it is first needed. Tokens that no
+rule has are dropped before anything is shuffled. Judging is one narrow pass; the index
+is as large as the caller's rule list, which every task gets.
 
 Two kinds of rules:
 
@@ -30,7 +31,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_RULES = 1_000_000
 _TOKEN = re.compile(r"[a-z0-9]+")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _FOLD = str.maketrans(_UPPER, _LOWER)
@@ -78,16 +78,23 @@ class RuleIndex:
     """Rules by their rarest token."""
 
     def __init__(self, rules: list[Rule], counts: dict[str, int]):
-        self.by_token: dict[str, list[tuple[int, Rule, re.Pattern]]] = {}
-        self.always: list[tuple[int, Rule, re.Pattern]] = []
+        self.by_token: dict[str, list[tuple[int, Rule]]] = {}
+        self.always: list[tuple[int, Rule]] = []
+        self._compiled: dict[int, re.Pattern] = {}
         for number, rule in enumerate(rules):
-            entry = (number, rule, re.compile(rule.regex, re.S))
+            entry = (number, rule)
             if rule.tokens:
                 rarest = min(rule.tokens, key=lambda t: (counts.get(t, 0), t))
                 self.by_token.setdefault(rarest, []).append(entry)
             else:
                 self.always.append(entry)
 
+    def _fits(self, number: int, rule: Rule, text: str) -> bool:
+        regex = self._compiled.get(number)
+        if regex is None:
+            regex = self._compiled[number] = re.compile(rule.regex, re.S)
+        return regex.match(text) is not None
+
     def judge(self, target: str) -> tuple[str | None, str, str | None]:
         """(host rule, verdict, pattern) of host + path + query."""
         low = target.translate(_FOLD)
@@ -96,11 +103,11 @@ class RuleIndex:
             fits += self.by_token.get(token, ())
         fits.sort(key=lambda entry: entry[0])
         best = pattern = None
-        for _, rule, regex in fits:
+        for number, rule in fits:
             if rule.is_host:
-                if (best is None or len(rule.text) > len(best.text)) and regex.match(target):
+                if (best is None or len(rule.text) > len(best.text)) and self._fits(number, rule, target):
                     best = rule
-            elif pattern is None and regex.match(low):
+            elif pattern is None and self._fits(number, rule, low):
                 pattern = rule
         decided = best or pattern
         return (best.text if best else None, decided.action if decided else "allow",
@@ -114,16 +121,14 @@ def token_counts(spark: SparkSession, urls: DataFrame, tokens: list[str]) -> dic
     wanted = spark.createDataFrame([(t,) for t in tokens], "token string")
     found = urls.select(F.explode(F.array_distinct(F.split(
         F.translate("target", _UPPER, _LOWER), "[^a-z0-9]+"))).alias("token"))
-    # counted before the join: a token that most URLs share costs one row per task
-    return {r["token"]: r["n"] for r in found.groupBy("token").agg(F.count("*").alias("n"))
-            .join(wanted, "token", "left_semi").collect()}
+    # the rules' own tokens go to every task with the rules anyway; a token that most URLs share costs one row per task
+    return {r["token"]: r["n"] for r in found.join(F.broadcast(wanted), "token", "left_semi")
+            .groupBy("token").agg(F.count("*").alias("n")).collect()}
 
 
 def judge_urls(spark: SparkSession, pages: DataFrame, rules: list[Rule], id_col: str = "page_id",
                url_col: str = "url") -> DataFrame:
     """page_id, host, path, rule, verdict and pattern for every row."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
     host, path, tail = url_parts(F.col("url"))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")) \
         .select("page_id", host.alias("host"), path.alias("path"), tail.alias("tail")) \
