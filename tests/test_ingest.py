@@ -142,6 +142,14 @@ def test_part_files_are_aligned_by_name(spark, split):
     assert rows(df.select("id", "name", "more")) == [("1", "a", None), ("2", "b", None), ("3", "c", None), ("4", None, "x")]
 
 
+def test_many_different_headers(spark):
+    folder = make_folder({f"t/part{i:03}.csv": f"id,c{i}\n{i},x{i}\n".encode() for i in range(130)})
+    df = read_raw_csv(spark, os.path.join(folder, "t"))
+    assert set(df.columns) == {"id", *(f"c{i}" for i in range(130))}
+    got = {r["id"]: {k: v for k, v in r.asDict().items() if v is not None and k != "id"} for r in df.collect()}
+    assert got == {str(i): {f"c{i}": f"x{i}"} for i in range(130)}
+
+
 def test_odd_header_names(spark):
     folder = make_folder({"t.csv": "﻿a.b,x y,a.b,,\"q\"\"`\"\n1,2,3,4,5\n".encode("utf-8")})
     df = load_raw_folder(spark, folder)["raw_t"].df

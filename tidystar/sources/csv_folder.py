@@ -56,8 +56,6 @@ _SCHEME = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(?://[^/]*)?")
 
 #: Largest table of unusual splits (see ``_unusual``) that is broadcast.
 BROADCAST_ROWS = 200_000
-#: Most different headers among the part files of one table.
-MAX_HEADERS = 100
 
 
 @dataclass
@@ -285,7 +283,7 @@ def inspect_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .withColumn("header", F.first("header", ignorenulls=True).over(Window.partitionBy("file")))
 
 
-def _unusual(inspected: DataFrame, header_number) -> DataFrame:
+def _unusual(inspected: DataFrame) -> DataFrame:
     """(file, block, inside, latin, header, crossing) of the splits that are not plain.
 
     A plain split begins and ends outside quoted cells, in a UTF-8 file with the
@@ -304,7 +302,7 @@ def _unusual(inspected: DataFrame, header_number) -> DataFrame:
     bit = F.coalesce(F.col("last.bit"), F.lit(0)) + F.col("past") - F.coalesce(F.col("last.flips"), F.lit(0))
     rows = rows.withColumn("inside", bit % 2 == 1)
     ends_inside = F.when(F.col("inside"), F.col("from_in")).otherwise(F.col("from_out"))
-    return rows.select("file", "block", "inside", (~F.col("utf8")).alias("latin"), header_number.alias("header"),
+    return rows.select("file", "block", "inside", (~F.col("utf8")).alias("latin"), F.col("header_number").alias("header"),
                        (F.col("inside") | ends_inside).alias("crossing")) \
         .where("inside OR latin OR header > 0 OR crossing")
 
@@ -454,17 +452,15 @@ def read_raw_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """
     inspected = inspect_files(spark, path).cache()
     found = inspected.where("block = 0").groupBy("header", "utf8").agg(F.count(F.lit(1)).alias("n")) \
-        .orderBy(F.desc("n"), "header").limit(MAX_HEADERS + 1).collect()
+        .orderBy(F.desc("n"), "header").collect()  # the table's columns come from them
     if not found or any(h.header is None for h in found):
         raise ValueError(f"a file without a header record: {path}")
-    if len(found) > MAX_HEADERS:
-        raise ValueError(f"more than {MAX_HEADERS} different headers: {path}")
     headers = [header_names(h.header, PRIMARY_ENCODING if h.utf8 else FALLBACK_ENCODING) for h in found]
     columns = list(dict.fromkeys(c for own in headers for c in own))
-    number = F.lit(0)
-    for i, h in enumerate(found):
-        number = F.when((F.col("header") == F.lit(bytes(h.header))) & (F.col("utf8") == h.utf8), i).otherwise(number)
-    unusual = _unusual(inspected, number)
+    numbers = spark.createDataFrame([(bytes(h.header), h.utf8, i) for i, h in enumerate(found)],
+                                    "header binary, utf8 boolean, header_number int")
+    # as many rows as the table has different headers, all of which are on the driver
+    unusual = _unusual(inspected.join(F.broadcast(numbers), ["header", "utf8"]))
     some = unusual.limit(BROADCAST_ROWS + 1).collect()
     lines = _lines(spark, path).select("file", "block", "line")
     if len(some) <= BROADCAST_ROWS:  # a measured bound; a broadcast join keeps the lines' order
