@@ -164,3 +164,9 @@ def test_a_final_line_break_is_not_part_of_a_match(spark):
     assert col_values(spark, values, R.safe_decimal("v")) == [None] * 4
     assert col_values(spark, values, R.safe_timestamp("v")) == [None] * 4
     assert col_values(spark, values, R.match_or_default("v")) == ["NO DETERMINADO"] * 4
+
+
+def test_safe_timestamp_first_year(spark):
+    first = dt.datetime(1753, 1, 1)
+    assert col_values(spark, ["1753", "1752", "1753-01-01", "1752-12-31", "1752-12-31 23:59:59", "0000", "12-31-1752",
+                              "1752-12-31 23:59:59.999"], R.safe_timestamp("v")) == [first, None, first, *[None] * 4, first]

@@ -5,8 +5,8 @@ from types import SimpleNamespace
 
 import pytest
 
-from tidystar.session import ensure_checkpoint_dir, scratch_path
-from tidystar.sources.tables import with_load_stamp
+from tidystar.session import compile_small_methods, ensure_checkpoint_dir, scratch_path
+from tidystar.sources.tables import load_table, with_load_stamp
 
 
 def fake_session(master, conf=None, current=None):
@@ -34,3 +34,18 @@ def test_load_stamp_is_the_time_of_the_write(spark):
     rows = with_load_stamp(spark.range(3)).selectExpr("CAST(to_utc_timestamp(fecha_carga, current_timezone()) AS TIMESTAMP_NTZ) AS t").collect()
     after = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(seconds=1)
     assert len({r["t"] for r in rows}) == 1 and before <= rows[0]["t"] <= after
+
+
+def test_reading_a_table_keeps_generated_methods_small_in_any_session(spark, tmp_path):
+    name, usual = "spark.sql.codegen.hugeMethodLimit", spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    spark.range(3).write.parquet(str(tmp_path / "t.parquet"))
+    try:
+        spark.conf.unset(name)
+        spark.conf.set(name, "65535")  # Spark's default, as in sessions that others make
+        load_table(spark, str(tmp_path), "t")
+        assert spark.conf.get(name) == "8000"
+        spark.conf.set(name, "4000")
+        compile_small_methods(spark)
+        assert spark.conf.get(name) == "4000"
+    finally:
+        spark.conf.set(name, usual)

@@ -124,8 +124,9 @@ def safe_timestamp(c: Column | str) -> Column:
     millis = F.round(F.round(fraction * 3 / 10) * 10 / 3)
     ts = F.concat(date, F.lit(" "), time).try_cast("timestamp_ntz")
     ts = F.when(fraction > 0, ts + F.make_dt_interval(secs=(millis / 1000).cast("decimal(18,6)"))).otherwise(ts)
-    ts = F.when(s.rlike(plain), s.try_cast("timestamp_ntz")).otherwise(ts)
-    return F.when(ts >= F.lit(f"{MIN_YEAR}-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    ts = F.when(ts >= F.lit(f"{MIN_YEAR}-01-01 00:00:00").cast("timestamp_ntz"), ts)
+    # plain text begins with its year: no second cast to compare
+    return F.when(s.rlike(plain), F.when(s >= str(MIN_YEAR), s.try_cast("timestamp_ntz"))).otherwise(ts)
 
 
 def null_outside(x: Column | str, lo, hi) -> Column:

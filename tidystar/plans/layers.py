@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import model, protect, reports, stage
 from ..operators.checks import assert_empty, dropped_rows, key_and_length_violations
+from ..session import compile_small_methods
 from ..sources.csv_folder import RAW_PREFIX, list_csv_entries, raw_table
 from ..sources.tables import read_layer, with_load_stamp, write_layer
 
@@ -93,6 +94,8 @@ def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     ``is_done(name)`` holds is taken as it lies there; ``set_done(name)`` is called for every other
     one once it is complete (see ``plans.publish``).
     """
+    compile_small_methods(spark)
+
     def path(name: str) -> str:
         return os.path.join(out_dir, name)
 

@@ -35,6 +35,18 @@ BASE_CONF = {
 }
 
 
+def compile_small_methods(spark: SparkSession) -> SparkSession:
+    """Keep generated methods below the JVM's compile limit in a session that others made.
+
+    Without it the projections of the cleaning rules run interpreted there. A
+    lower limit of the session stays.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(name, "65535")) > int(BASE_CONF[name]):
+        spark.conf.set(name, BASE_CONF[name])
+    return spark
+
+
 def get_session(master: str | None = None, app_name: str = "tidystar",
                 shuffle_partitions: int | None = None,
                 extra_conf: dict[str, str] | None = None) -> SparkSession:

@@ -7,6 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import compile_small_methods
+
 
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan of a single split over the cluster's cores.
@@ -23,6 +25,7 @@ def spread(df: DataFrame) -> DataFrame:
 def load_table(spark: SparkSession, base_dir: str, name: str,
                parallel: bool = True) -> DataFrame:
     """Scan one Parquet table. Lazy: Catalyst prunes columns and pushes filters."""
+    compile_small_methods(spark)
     df = spark.read.parquet(os.path.join(base_dir, f"{name}.parquet"))
     return spread(df) if parallel else df
 
