@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidystar.llm import language_id, near_dedup, packing, quality
-from tidystar.llm.common import cut_lineage, fresh_name, read_table, share_package, tokenizer_path
+from tidystar.llm.common import cut_lineage, fresh_name, read_table, share_package, small_batches, tokenizer_path
 
 #: How far the best language of a kept text is at least from chance (0) towards certainty (1).
 LEAST_CERTAINTY = 1 / 15
@@ -30,7 +30,7 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Without any labelled document there is no language to miss: all texts with letters stay.
     """
-    share_package(spark)
+    share_package(small_batches(spark))
     lang, score = fresh_name(docs, "stage_lang"), fresh_name(docs, "stage_score")
     model = language_id.fit(docs, F.lit(True))
     if not model.labels:
@@ -42,7 +42,7 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose calibrated quality reaches ``LEAST_QUALITY``."""
-    share_package(spark)
+    share_package(small_batches(spark))
     score = fresh_name(docs, "stage_score")
     model = quality.fit(spark, docs, read_table(spark, sf_dir, "labels"), F.lit(True))
     return quality.score(docs, model, docs.columns, out=score).where(F.col(score) >= LEAST_QUALITY).drop(score)
@@ -50,13 +50,13 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles at a similarity of 0.8 or more."""
-    share_package(spark)
+    share_package(small_batches(spark))
     return near_dedup.keep_one_per_group(spark, docs, shingle_words=5, threshold=0.8)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences."""
-    share_package(spark)
+    share_package(small_batches(spark))
     return packing.pieces_digest(packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json")))
 
 

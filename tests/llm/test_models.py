@@ -8,7 +8,7 @@ import corpus_pipeline
 from tests.llm.conftest import LONG, ODD_TEXTS
 from tests.llm.test_near_dedup import brute
 from tidystar.llm import language_id, quality, queries
-from tidystar.llm.common import read_table
+from tidystar.llm.common import read_table, small_batches
 
 SF = "/root/testdata/sf0.01"
 
@@ -245,3 +245,26 @@ def test_ids_of_odd_documents_after_each_stage(spark, odd_docs):
     ids = {r["doc_id"] for r in third.collect()}
     assert ids == set(one_of_each_group(lettered))
     assert {r["doc_id"] for r in corpus_pipeline.pack(spark, third, SF).collect()} == ids
+
+
+def test_batches_that_go_to_python_are_bounded_by_bytes(spark, tmp_path):
+    name, usual = "spark.sql.execution.arrow.maxBytesPerBatch", spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.range(0, 48, 1, 1).selectExpr("id AS doc_id", "repeat('some words ', 50000) AS text")
+
+    def largest():
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+        return docs.mapInArrow(run, "n bigint").agg({"n": "max"}).first()[0]
+
+    try:
+        spark.conf.unset(name)
+        assert largest() > 20 << 20
+        corpus_pipeline.pack(spark, docs, str(tmp_path))
+        assert largest() < 8 << 20
+        spark.conf.set(name, "1000")
+        small_batches(spark)
+        assert spark.conf.get(name) == "1000"
+    finally:
+        spark.conf.set(name, usual)

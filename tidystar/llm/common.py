@@ -22,6 +22,8 @@ from tidystar.session import scratch_path
 
 #: Text bytes that a task unpacks into numpy arrays at a time.
 SLICE_BYTES = 1 << 20
+#: Bytes of a batch that a task hands to Python; more would lie in both processes at once.
+BATCH_BYTES = 4 * SLICE_BYTES
 
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
@@ -52,6 +54,18 @@ def share_package(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Bound the batches that go to Python by their bytes, whatever the length of the texts.
+
+    A lower number of bytes set in the session stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name).lower().rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+    return spark
+
+
 def cut_lineage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once under the shared checkpoint folder and read it back."""
     path = scratch_path(spark, name)
