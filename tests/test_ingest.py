@@ -6,6 +6,7 @@ import random
 import tempfile
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from tidystar.plans.layers import ingest_folder
@@ -191,3 +192,26 @@ def test_empty_or_missing_folder_or_header_is_an_error(spark):
         list_csv_entries(spark, "/nonexistent/tidystar/folder")
     with pytest.raises(ValueError, match="header"):
         load_raw_folder(spark, make_folder({"t.csv": b"\n\n"}))
+
+
+def test_a_record_of_several_lines_leaves_the_other_lines_regular():
+    lines = [b'1,"a ""b"""', b"  ", b'2,"x', b'y,""z', b'"', b"3,c\r", b'4,5" pipe', b'5,"d"\r', b"6,\"\",", b'7,"p\rq"']
+    plain, others = csv_folder.whole_lines(pa.array(lines, pa.binary()))
+    assert plain.to_pylist() == [lines[0], lines[5], lines[7], lines[8], lines[9]]
+    assert others == [b'2,"x\ny,""z\n"', b'4,5" pipe']
+    assert csv_folder.split_regular(pa.array([lines[i] for i in (0, 5, 7, 9)], pa.binary()), 2, "UTF-8")[1].to_pylist() \
+        == ['a "b"', "c", "d", "p\rq"]
+    assert csv_folder.whole_lines(pa.array([b"1,a", b'2,"open', b"still"], pa.binary())) is None
+
+
+def test_regular_lines_are_those_that_the_scanner_ends_outside():
+    rng = random.Random(2)
+    for _ in range(5000):
+        line = "".join(rng.choice(['"', ",", "a", "\r", '""']) for _ in range(rng.randint(0, 9))).encode()
+        if b'"' in line and not csv_folder.odd_lines(pa.array([line], pa.binary())):
+            cuts, inside = csv_folder.scan_line(line, False)
+            assert not inside and (not cuts or cuts == [(len(line) - 1, len(line))])
+            cells = csv_folder._parse([line.removesuffix(b"\r").decode()], ["x"] * 20, "")
+            width = sum(c[0] is not None for c in cells)
+            found = csv_folder.split_regular(pa.array([line], pa.binary()), width, "UTF-8")
+            assert [c[0].as_py() for c in found] == [c[0] for c in cells[:width]]

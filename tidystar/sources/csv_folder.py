@@ -33,6 +33,7 @@ import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import csv as pa_csv
@@ -180,28 +181,57 @@ def _blank(record: bytes) -> bool:
     return not record.strip(b" \t")
 
 
+#: Binary text of one whole record: quotes only around cells or doubled inside them, a CR only at its end.
+_REGULAR = r'^(?:"(?:[^"]|"")*"|[^",\r]*)(?:,(?:"(?:[^"]|"")*"|[^",\r]*))*\r?$'
+
+
+def odd_lines(lines: pa.Array) -> list[int]:
+    """Numbers of the lines with a quote that are not a record of regular cells by themselves."""
+    odd = pc.and_(pc.match_substring(lines, '"'), pc.invert(pc.match_substring_regex(lines, _REGULAR)))
+    return pc.indices_nonzero(odd).to_pylist()
+
+
 def whole_lines(lines: pa.Array) -> tuple[pa.Array, list[bytes]] | None:
-    """(lines without a quote, records with one) if every line is a record, else None.
+    """(lines that are regular records, the other records) if the lines end outside a cell, else None.
 
-    The lines begin outside a cell. Lines of blanks are left out; a line may end
-    with the CR of its line end.
+    The lines begin outside a cell. Only from a line that is not regular by itself on are
+    lines cut one by one, until its cell is closed. Lines of blanks are left out; a
+    line may end with the CR of its line end.
     """
-    quoted = pc.match_substring(lines, '"')
-    records = lines.filter(quoted).to_pylist()
-    for record in records:
-        cuts, inside = scan_line(record, False)
-        if inside or (cuts and cuts[0][0] < len(record) - 1):
-            return None
-    plain = lines.filter(pc.invert(quoted))
+    records, taken, at = [], [], 0
+    for i in odd_lines(lines):
+        if i < at:  # cut with a line before it
+            continue
+        held, inside, at = [], False, i
+        while at == i or inside:
+            if at == len(lines):
+                return None
+            line = lines[at].as_py()
+            cuts, inside = scan_line(line, inside)
+            begin = 0
+            for end, after in cuts:
+                records.append(b"".join([*held, line[begin:end]]))
+                held, begin = [], after
+            held.append(line[begin:])
+            if inside:
+                held.append(b"\n")
+            taken.append(at)
+            at += 1
+        records.append(b"".join(held))
+    plain = lines
+    if taken:
+        mask = np.ones(len(lines), bool)
+        mask[taken] = False
+        plain = lines.filter(pa.array(mask))
     begins = pc.is_in(pc.binary_slice(plain, 0, 1), value_set=pa.array([b"", b" ", b"\t", b"\r"], lines.type))
     if pc.any(begins).as_py():
         keep = [not (b and _blank(x.rstrip(b"\r"))) for b, x in zip(begins.to_pylist(), plain.to_pylist())]
         plain = plain.filter(pa.array(keep, pa.bool_()))
-    return plain, [r.removesuffix(b"\r") for r in records]
+    return plain, [r for r in records if not _blank(r)]
 
 
-def split_plain(lines: pa.Array, width: int, encoding: str) -> list[pa.Array] | None:
-    """Cells by column of records without quotes, or None if a record has another number of cells."""
+def split_regular(lines: pa.Array, width: int, encoding: str) -> list[pa.Array] | None:
+    """Cells by column of regular records, or None if a record has another number of cells."""
     data = b"\n".join(lines.to_pylist())
     if encoding != PRIMARY_ENCODING:
         data = data.decode(encoding).encode()
@@ -210,7 +240,7 @@ def split_plain(lines: pa.Array, width: int, encoding: str) -> list[pa.Array] |
         table = pa_csv.read_csv(
             pa.BufferReader(data),
             pa_csv.ReadOptions(use_threads=False, column_names=cells, block_size=max(len(data) + 1, 1 << 16)),
-            pa_csv.ParseOptions(quote_char=False),
+            pa_csv.ParseOptions(newlines_in_values=True),
             pa_csv.ConvertOptions(column_types=dict.fromkeys(cells, pa.string()), null_values=[], check_utf8=False))
     except pa.ArrowInvalid:
         return None
@@ -233,8 +263,8 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Array,
             continue
         files = batch.column("file").dictionary_encode().indices.to_numpy(zero_copy_only=False)
         blocks = batch.column("block").to_numpy(zero_copy_only=False)
-        edge = [0, *(i + 1 for i in range(len(blocks) - 1)
-                     if blocks[i] != blocks[i + 1] or files[i] != files[i + 1]), len(blocks)]
+        turns = np.flatnonzero((blocks[1:] != blocks[:-1]) | (files[1:] != files[:-1])) + 1
+        edge = [0, *turns.tolist(), len(blocks)]
         for a, b in zip(edge, edge[1:]):
             part = batch.slice(a, b - a)
             yield (part.column("file")[0].as_py(), int(blocks[a])), part.column("line"), part
@@ -264,9 +294,20 @@ def inspect_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
                                    if complete and not _blank(text)), None)
                     if header is not None:
                         break
-            for line in lines.filter(pc.match_substring(lines, '"')).to_pylist():
+            quoted = lines.filter(pc.match_substring(lines, '"'))
+            odd, at = iter([*odd_lines(quoted), len(quoted)]), 0
+            stop = next(odd)
+            while at < len(quoted):
+                if state == (False, False):  # regular lines leave it so
+                    while stop < at:
+                        stop = next(odd)
+                    at = stop
+                    if at == len(quoted):
+                        break
+                line = quoted[at].as_py()
                 r = scan_line(line, state[0])[1]
                 state = (r, r if state[0] == state[1] else scan_line(line, state[1])[1])
+                at += 1
         if now is not None:
             out.append((*now, *state, utf8, header))
         columns = list(zip(*out)) or [[]] * 6
@@ -351,13 +392,13 @@ def _records(lines: DataFrame, columns: list[str], headers: list[list[str]]) ->
         now, inside, skip, encoding, names = None, False, False, PRIMARY_ENCODING, columns
         held, held_first = b"", False  # what is open at the end of a batch
 
-        def out_whole(plain, quoted):
-            """Rows of a run of lines that are all records, or None."""
-            found = split_plain(plain, len(names), encoding) if len(plain) else [pa.array([], pa.string())] * len(names)
+        def out_whole(plain, others):
+            """Rows of a run of lines that ends outside a cell, or None."""
+            found = split_regular(plain, len(names), encoding) if len(plain) else [pa.array([], pa.string())] * len(names)
             if found is None:
                 return None
-            if quoted:
-                rest = _parse([r.decode(encoding) for r in quoted], names, now[0])
+            if others:
+                rest = _parse([r.decode(encoding) for r in others], names, now[0])
                 found = [pa.concat_arrays([a, pa.array(b, pa.string())]) for a, b in zip(found, rest)]
             n, by_name = len(found[0]), dict(zip(names, found))
             arrays = [by_name.get(c, pa.nulls(n, pa.string())) for c in columns]
