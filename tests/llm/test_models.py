@@ -1,4 +1,7 @@
 """op2, op5 and the pipeline: held-out accuracy and defined results."""
+import tracemalloc
+from types import SimpleNamespace
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -7,8 +10,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.llm.conftest import LONG, ODD_TEXTS
 from tests.llm.test_near_dedup import brute
-from tidystar.llm import language_id, quality, queries
-from tidystar.llm.common import read_table, small_batches
+from tidystar.llm import language_id, near_dedup, packing, quality, queries
+from tidystar.llm.common import read_table, small_batches, tokenizer_path
 
 SF = "/root/testdata/sf0.01"
 
@@ -268,3 +271,32 @@ def test_batches_that_go_to_python_are_bounded_by_bytes(spark, tmp_path):
         assert spark.conf.get(name) == "1000"
     finally:
         spark.conf.set(name, usual)
+
+
+def _most_held(operator, docs, monkeypatch) -> int:
+    """Most bytes of numpy and Python objects that the task of ``operator`` holds over 3 MB of mostly new words."""
+    tasks, rng = [], np.random.default_rng(3)
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: tasks.append(run))
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    operator(docs)
+    words = ["".join(w) for w in rng.choice([*"aeiounrstl"], (100_000, 6))]
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [i], "text": [" ".join(rng.choice(words, 600))]}) for i in range(750)]
+    batches = pa.Table.from_batches(batches).combine_chunks().to_batches()
+    assert len(batches) == 1 and batches[0].nbytes > 3_000_000
+    tracemalloc.start()
+    try:
+        assert sum(out.num_rows for out in tasks[0](iter(batches))) >= 750
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_packing_task_holds_little(make_docs, monkeypatch):
+    held = _most_held(lambda docs: packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json")),
+                      make_docs([]), monkeypatch)
+    assert held < 64 << 20
+
+
+def test_a_signature_task_holds_little(make_docs, monkeypatch):
+    held = _most_held(lambda docs: near_dedup.signatures(docs, 5, "doc_id", "text"), make_docs([]), monkeypatch)
+    assert held < 32 << 20

@@ -70,6 +70,19 @@ def test_word_bpe_equals_the_library():
             assert ids[bounds[i]:bounds[i + 1]].tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids, t
 
 
+def test_word_bpe_table_of_pieces_with_many_ids(monkeypatch):
+    """Pieces met again, with more ids than the table keeps and in a table too small for them."""
+    monkeypatch.setattr(word_bpe, "_SLOT_BITS", 4)
+    encoder, tokenizer = word_bpe.BatchEncoder(WORDS), Tokenizer.from_file(WORDS)
+    texts = ["qzxjvkqwzxjqvkzxwqjk and more", "the and of qzxjvk", "more of qzxjvkqwzxjqvkzxwqjk", None]
+    most = max(len(tokenizer.encode(w, add_special_tokens=False).ids) for w in texts[0].split())
+    assert most > word_bpe._KEPT
+    for _ in range(3):
+        ids, bounds = encoder.encode(*text_buffers(pa.array(texts, pa.string())))
+        for i, t in enumerate(texts):
+            assert ids[bounds[i]:bounds[i + 1]].tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids, t
+
+
 def _check_pieces(pieces, expected):
     """Every id lies in exactly one piece; windows are gapless and not over long. Returns the padding."""
     by_doc, by_seq = {}, {}

@@ -23,7 +23,7 @@ from tidystar.session import scratch_path
 #: Text bytes that a task unpacks into numpy arrays at a time.
 SLICE_BYTES = 1 << 20
 #: Bytes of a batch that a task hands to Python; more would lie in both processes at once.
-BATCH_BYTES = 4 * SLICE_BYTES
+BATCH_BYTES = SLICE_BYTES
 
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)

@@ -47,6 +47,8 @@ ROWS = 4
 BITS = 2
 #: How far below the threshold a b-bit estimate may lie before a pair is dropped.
 MARGIN = 0.09
+#: Text bytes hashed at a time; the arrays of the hashing take many times as many.
+HASHED_BYTES = SLICE_BYTES // 4
 #: Classes of a head in one tile of the search across components.
 TILE = 256
 _WORDS64 = N_HASHES * BITS // 64
@@ -201,7 +203,7 @@ def _nodes(keys: np.ndarray, full: np.ndarray, n: int) -> pa.Array:
 def signatures(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
     """One row per document: id, set size, class key, packed low bits, band keys."""
     def run(batches):
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", HASHED_BYTES):
             sizes, full, flat, bounds = _sets(batch.column("text"), k)
             n = len(sizes)
             sig, bands = np.zeros((n, _WORDS64), np.int64), [None] * n
@@ -227,7 +229,7 @@ def signatures(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame
 def class_sets(docs: DataFrame, k: int) -> DataFrame:
     """(node, shingles) of ``docs`` (columns doc_id, text): the sorted distinct hashes."""
     def run(batches):
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", HASHED_BYTES):
             _, full, flat, bounds = _sets(batch.column("text"), k)
             if len(full):
                 yield pa.RecordBatch.from_arrays(

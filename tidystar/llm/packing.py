@@ -34,12 +34,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidystar.llm.common import slices, text_buffers
+from tidystar.llm.common import SLICE_BYTES, slices, text_buffers
 from tidystar.llm.word_bpe import BatchEncoder
 
 TIERS = (256, 512, 1024, 2048)
 #: Windows' worth of tokens that a tier keeps back as filler for longer ones.
 HOLD = 16
+#: Text bytes encoded at a time; the arrays of the splitting take many times as many.
+ENCODED_BYTES = SLICE_BYTES // 4
 #: Tokens of a step group.
 STEP_TOKENS = 64 * 2048
 
@@ -176,7 +178,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, eos_id: int = 1, tiers=
                 + [pa.array(c, pa.binary() if name == "ids" else pa.int64())
                    for name, c in zip(_FIELDS[1:], columns[1:])], names=list(_FIELDS))
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", ENCODED_BYTES):
             arrow_id = batch.schema.field("doc_id").type
             ids, bounds = encoder.encode(*text_buffers(batch.column("text")))
             for doc_id, a, b in zip(batch.column("doc_id").to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist()):

@@ -21,7 +21,10 @@ from tidystar.llm.common import SLICE_BYTES, blank_cuts, is_blank, mix64, ragged
 _BLANK, _LETTER, _DIGIT, _OTHER, _ODD = range(5)
 #: Longest piece kept in the table, in bytes (three 64-bit words).
 _PIECE = 24
-_SLOT_BITS = 19
+#: Most ids of a piece kept in the table; the few pieces with more are encoded anew.
+_KEPT = 8
+#: Every worker holds a table of its own, and rare words fill it whatever its size: 57 bytes a slot.
+_SLOT_BITS = 18
 _MIX = seeded_words(21, 3, odd=True)
 _MASK = np.array([(1 << (8 * i)) - 1 for i in range(9)], np.uint64)
 
@@ -126,8 +129,8 @@ class BatchEncoder:
         self._letters = byte_letters()
         slots = 1 << _SLOT_BITS
         self._keys = np.zeros((3, slots), np.uint64)
-        self._len = np.zeros(slots, np.int64)
-        self._ids = np.zeros((slots, _PIECE), np.uint32)
+        self._len = np.zeros(slots, np.uint8)
+        self._ids = np.zeros((slots, _KEPT), np.uint32)
 
     def _piece(self, raw: bytes) -> list[int]:
         return [t.id for t in self._model.tokenize(raw.decode("latin-1").translate(self._letters))]
@@ -189,7 +192,7 @@ class BatchEncoder:
         bounds = np.concatenate([[0], np.cumsum(counts)])
         ids = np.empty(bounds[-1], np.uint32)
         at, many = short[known], counts[short[known]]
-        ids[ragged(bounds[at], many)] = self._ids.ravel()[ragged(slot[known] * _PIECE, many)]
+        ids[ragged(bounds[at], many)] = self._ids.ravel()[ragged(slot[known] * _KEPT, many)]
         at, many = short[new], counts[short[new]]
         ids[ragged(bounds[at], many)] = new_ids[ragged(new_at[which], many)]
         for i, f in zip(rest.tolist(), rest_ids):
@@ -198,10 +201,10 @@ class BatchEncoder:
         # new pieces take their slots; of two with one slot, the later stays
         place, last = np.unique(slot[one][::-1], return_index=True)
         keep = len(one) - 1 - last
-        keep = keep[new_len[keep] > 0]
+        keep = keep[(new_len[keep] > 0) & (new_len[keep] <= _KEPT)]
         place = slot[one][keep]
         for i in range(3):
             self._keys[i][place] = keys[i][one][keep]
         self._len[place] = new_len[keep]
-        self._ids.ravel()[ragged(place * _PIECE, new_len[keep])] = new_ids[ragged(new_at[keep], new_len[keep])]
+        self._ids.ravel()[ragged(place * _KEPT, new_len[keep])] = new_ids[ragged(new_at[keep], new_len[keep])]
         return ids, bounds[np.searchsorted(starts, offsets)]
