@@ -300,3 +300,69 @@ def test_a_packing_task_holds_little(make_docs, monkeypatch):
 def test_a_signature_task_holds_little(make_docs, monkeypatch):
     held = _most_held(lambda docs: near_dedup.signatures(docs, 5, "doc_id", "text"), make_docs([]), monkeypatch)
     assert held < 32 << 20
+
+
+def _random_model() -> quality.QualityModel:
+    rng = np.random.default_rng(4)
+    return quality.QualityModel(
+        mean=np.zeros(quality.N_STATS), scale=np.ones(quality.N_STATS), phase=rng.random(quality.FEATURES),
+        project=rng.normal(0, 1, (quality.N_STATS, quality.FEATURES)), weights=rng.normal(0, 1, quality.FEATURES + 1),
+        curve_x=np.array([0.0, 1.0]), curve_y=np.array([0.0, 1.0]))
+
+
+def test_a_quality_task_holds_little(make_docs, monkeypatch):
+    model = _random_model()
+    held = _most_held(lambda docs: quality.score(docs, model, ["doc_id"]), make_docs([]), monkeypatch)
+    assert held < 24 << 20
+
+
+def test_features_of_many_rows_are_not_held_at_once():
+    model, stats = _random_model(), np.random.default_rng(5).normal(0, 1, (20_000, quality.N_STATS))
+    tracemalloc.start()
+    try:
+        got = model.ridge(stats, model.weights)
+        held = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert held < 16 << 20  # all features take 41 MB
+    assert np.allclose(got, model.features(stats) @ model.weights / quality._SCALE)
+    assert len(model.ridge(stats[:0], model.weights)) == 0
+
+
+def test_one_long_text_is_counted_piece_by_piece():
+    quality.document_stats(pa.array(["a b"]))
+    tracemalloc.start()
+    try:
+        stats = quality.document_stats(pa.array([LONG * 5]))
+        held = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert held < 6 * len(LONG * 5)
+    share = {c: sum(LONG.count(x) for x in c) / len(LONG) for c in (" ", "\n", "alphbetgmsd", "42", ",'")}
+    got = stats[0, 4:] ** 2
+    assert np.allclose(got[[quality._SPACE, quality._NEWLINE, quality._LOWER, quality._DIGIT, quality._POINT]],
+                       list(share.values()))
+
+
+def test_sums_of_quality_partitions_are_exact(spark):
+    model, rng = _random_model(), np.random.default_rng(6)
+    rows = [(rng.normal(0, 1, quality.N_STATS).tolist(), float(k % 2), k % 3 % 2) for k in range(3000)]
+    got = quality._normal_parts(spark.createDataFrame(rows, "stats array<double>, label double, fold int").repartition(5), model)
+    z = model.features(np.array([r[0] for r in rows])).astype(np.int64)
+    y, fold = (np.array([r[k] for r in rows]).astype(np.int64) for k in (1, 2))
+    found = got.collect()
+    assert len(found) == 2 * (quality.FEATURES + 1) * (quality.FEATURES + 4) // 2
+    gram, right = ([np.einsum("ri,rj->ij", z[fold == f], z[fold == f]) for f in (0, 1)], [y[fold == f] @ z[fold == f] for f in (0, 1)])
+    for r in found:
+        want = right[r["fold"]][r["i"]] if r["j"] < 0 else gram[r["fold"]][r["i"], r["j"]]
+        assert r["high"] * 2 ** 32 + r["low"] == want
+
+
+def test_quality_query_bounds_its_batches(spark):
+    name, usual = "spark.sql.execution.arrow.maxBytesPerBatch", spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    try:
+        spark.conf.unset(name)
+        assert queries.queries()["op5_fourier_quality"](spark, SF).count() == 1000
+        assert int(spark.conf.get(name).lower().rstrip("b")) <= 1 << 20
+    finally:
+        spark.conf.set(name, usual)

@@ -175,12 +175,13 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return shift + np.arange(total)
 
 
-def annotate(df: DataFrame, text_col: str, keep: list[str], fields: str, make) -> DataFrame:
+def annotate(df: DataFrame, text_col: str, keep: list[str], fields: str, make,
+             max_bytes: int = SLICE_BYTES) -> DataFrame:
     """The ``keep`` columns of ``df`` and new columns computed from whole texts.
 
     ``make()`` runs once per task and returns a function from a text column to
-    the list of new Arrow arrays; ``fields`` names and types them. New names must
-    not clash with ``keep``. One narrow pass.
+    the list of new Arrow arrays; ``fields`` names and types them. It gets texts of
+    about ``max_bytes`` at a time. New names must not clash with ``keep``. One narrow pass.
     """
     types = T.StructType.fromDDL(fields)
     clash = {f.name.lower() for f in types} & {c.lower() for c in keep}
@@ -193,7 +194,7 @@ def annotate(df: DataFrame, text_col: str, keep: list[str], fields: str, make) -
 
     def run(batches):
         fn = make()
-        for batch in slices(batches, at):
+        for batch in slices(batches, at, max_bytes):
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(keep)], *fn(batch.column(at))], names=names)
 

@@ -28,14 +28,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidystar.llm.common import annotate, cut_lineage, text_buffers
-from tidystar.llm.near_dedup import word_hashes
+from tidystar.llm.common import SLICE_BYTES, annotate, cut_lineage, text_buffers
+from tidystar.llm.near_dedup import HASHED_BYTES, word_hashes
 
 FEATURES = 256
 BINS = 2048
 RIDGE = 1e-3
 #: Fixed point of a feature: 12 bits.
 _SCALE = 4096.0
+#: Rows whose features are held at a time, whatever the size of a batch.
+FEATURE_ROWS = 1024
 
 _SPACE, _NEWLINE, _LOWER, _UPPER, _DIGIT, _POINT, _BANG, _BAR, _SIGN, _HIGH, _CONTROL = range(11)
 N_STATS = 15
@@ -63,8 +65,9 @@ def document_stats(column: pa.Array) -> np.ndarray:
     """(texts, N_STATS) statistics of whole texts."""
     data, offsets = text_buffers(column)
     n, sizes = len(offsets) - 1, np.diff(offsets)
-    if n == 1:  # a very long text is alone in its slice
-        counts = np.bincount(_KINDS[data], minlength=16)[None].astype(float)
+    if n == 1:  # a very long text is alone in its slice; counting takes 8 bytes for each of its bytes
+        counts = sum((np.bincount(_KINDS[data[a:a + SLICE_BYTES]], minlength=16)
+                      for a in range(0, len(data), SLICE_BYTES)), np.zeros(16, np.int64))[None].astype(float)
     else:
         doc = np.repeat(np.arange(n, dtype=np.int64), sizes)
         counts = np.bincount(doc * 16 + _KINDS[data], minlength=16 * n)[:16 * n].reshape(n, 16).astype(float)
@@ -100,7 +103,10 @@ class QualityModel:
         return np.concatenate([z, np.full((len(z), 1), _SCALE)], axis=1)
 
     def ridge(self, stats: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        return self.features(stats) @ weights / _SCALE
+        out = np.empty(len(stats))
+        for at in _pieces(len(stats)):
+            out[at] = self.features(stats[at]) @ weights / _SCALE
+        return out
 
     def score(self, stats: np.ndarray) -> np.ndarray:
         if self.weights is None:
@@ -108,12 +114,19 @@ class QualityModel:
         return np.clip(np.interp(self.ridge(stats, self.weights), self.curve_x, self.curve_y), 0.0, 1.0)
 
 
+def _pieces(n: int) -> list[slice]:
+    return [slice(a, min(a + FEATURE_ROWS, n)) for a in range(0, n, FEATURE_ROWS)]
+
+
 def _stats_array(batch: pa.RecordBatch) -> np.ndarray:
     return np.asarray(batch.column("stats").flatten()).reshape(batch.num_rows, N_STATS)
 
 
 def _normal_parts(rows: DataFrame, model: QualityModel) -> DataFrame:
-    """Sums over all rows, by fold, of products of features (i <= j) and of feature and label (j = -1)."""
+    """Sums over all rows, by fold, of products of features (i <= j) and of feature and label (j = -1).
+
+    A sum is ``high * 2**32 + low``: sums of two longs stay exact however many partitions there are.
+    """
     upper = np.triu_indices(FEATURES + 1)
     i = np.concatenate([upper[0], np.arange(FEATURES + 1)]).astype(np.int32)
     j = np.concatenate([upper[1], np.full(FEATURES + 1, -1)]).astype(np.int32)
@@ -121,22 +134,25 @@ def _normal_parts(rows: DataFrame, model: QualityModel) -> DataFrame:
     def run(batches):
         sums = {}
         for batch in batches:
-            z = model.features(_stats_array(batch))
+            stats = _stats_array(batch)
             y = np.asarray(batch.column("label"), dtype=float)
             fold = np.asarray(batch.column("fold"))
-            for f in (0, 1):
-                part = z[fold == f]
-                gram, right = sums.setdefault(f, [np.zeros((FEATURES + 1, FEATURES + 1)), np.zeros(FEATURES + 1)])
-                gram += part.T @ part
-                right += part.T @ y[fold == f]
+            for at in _pieces(batch.num_rows):
+                z = model.features(stats[at])
+                for f in (0, 1):
+                    part = z[fold[at] == f]
+                    gram, right = sums.setdefault(f, [np.zeros((FEATURES + 1, FEATURES + 1)), np.zeros(FEATURES + 1)])
+                    gram += part.T @ part
+                    right += part.T @ y[at][fold[at] == f]
         for f, (gram, right) in sums.items():
             value = np.concatenate([gram[upper], right]).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(i), f, np.int32)), pa.array(i), pa.array(j), pa.array(value)],
-                names=["fold", "i", "j", "value"])
+                [pa.array(np.full(len(i), f, np.int32)), pa.array(i), pa.array(j),
+                 pa.array(value >> 32), pa.array(value & 0xFFFFFFFF)],
+                names=["fold", "i", "j", "high", "low"])
 
-    return rows.mapInArrow(run, "fold int, i int, j int, value bigint") \
-        .groupBy("fold", "i", "j").agg(F.sum(F.col("value").cast("decimal(38,0)")).alias("value"))
+    return rows.mapInArrow(run, "fold int, i int, j int, high bigint, low bigint") \
+        .groupBy("fold", "i", "j").agg(F.sum("high").alias("high"), F.sum("low").alias("low"))
 
 
 def _solve(gram: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -164,7 +180,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, learn: Column,
         .groupBy("doc_id").agg(F.max(F.col(label_col).cast("double")).alias("label"))
     stats = annotate(docs.where(learn), text_col, ["doc_id"], "stats array<double>", lambda: lambda column: [
         pa.FixedSizeListArray.from_arrays(pa.array(document_stats(column).ravel()), N_STATS)
-        .cast(pa.list_(pa.float64()))])
+        .cast(pa.list_(pa.float64()))], max_bytes=HASHED_BYTES)
     rows = cut_lineage(spark, stats.join(marked, "doc_id").select(
         "stats", "label", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int").alias("fold")), "labelled")
 
@@ -182,7 +198,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, learn: Column,
     gram, right = np.zeros((2, FEATURES + 1, FEATURES + 1)), np.zeros((2, FEATURES + 1))
     parts = _normal_parts(rows, model).toArrow()  # bounded by FEATURES squared
     fold, i, j = (parts.column(c).to_numpy() for c in ("fold", "i", "j"))
-    value = parts.column("value").cast(pa.float64()).to_numpy()
+    value = parts.column("high").to_numpy() * 2.0 ** 32 + parts.column("low").to_numpy()
     of_label = j < 0
     right[fold[of_label], i[of_label]] = value[of_label] / _SCALE
     fold, i, j, value = (x[~of_label] for x in (fold, i, j, value))
@@ -210,4 +226,4 @@ def score(docs: DataFrame, model: QualityModel, keep: list[str], text_col: str =
           out: str = "score") -> DataFrame:
     """The ``keep`` columns with the calibrated score of each whole text."""
     return annotate(docs, text_col, keep, f"{out} double",
-                    lambda: lambda column: [pa.array(model.score(document_stats(column)))])
+                    lambda: lambda column: [pa.array(model.score(document_stats(column)))], max_bytes=HASHED_BYTES)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidystar.llm import (byte_bpe, exact_topk, html_extract, language_id, near_dedup, packing,
                           periodic_runs, permutation_index, quality, token_alignment, url_filter, warc,
                           word_transducer)
-from tidystar.llm.common import hash_remainder, read_table, share_package, tokenizer_path
+from tidystar.llm.common import hash_remainder, read_table, share_package, small_batches, tokenizer_path
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ def op4_rarest_token_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs = read_table(small_batches(spark), sf_dir, "documents")
     held_out = F.coalesce(hash_remainder("doc_id", 5) == 0, F.lit(False))
     model = quality.fit(spark, docs, read_table(spark, sf_dir, "labels"), ~held_out)
     scored = quality.score(docs, model, ["doc_id"])
